@@ -6,7 +6,7 @@ the work is a partial aggregate over the data and the results are tiny.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelscope.operators.reshape import unpivot
@@ -68,101 +68,118 @@ def _binned(df: DataFrame, group_by: list[str], x: str, y: str) -> DataFrame:
                  F.sum(F.col("y") * F.col("y")).alias("syy")))
 
 
-def poly_recurrence(df: DataFrame, group_by: list[str], x: str, y: str,
-                    max_degree: int = 4) -> tuple[DataFrame, DataFrame]:
+def _poly_terms(xc, max_k: int) -> list:
+    """p_0 .. p_max_k at ``xc`` from the coefficient columns a_j, b_j."""
+    ps = [F.lit(1.0)]
+    if max_k >= 1:
+        ps.append(xc - F.col("a0"))
+    for j in range(1, max_k):
+        ps.append((xc - F.col(f"a{j}")) * ps[j] - F.col(f"b{j}") * ps[j - 1])
+    return ps
+
+
+def poly_fit(df: DataFrame, group_by: list[str], x: str, y: str, max_degree: int = 4) -> DataFrame:
     """Orthogonal-polynomial least squares, degrees 0..max_degree, per group.
 
     p0 = 1, p1 = x - a0, p(k+1) = (x - a_k) p_k - b_k p(k-1) with
     a_k = sum(w x p_k^2) / S_k, S_k = sum(w p_k^2), b_k = S_k / S_(k-1),
-    c_k = sum(p_k * sum y) / S_k. Each degree is one grouped aggregate over
-    the (group, x)-binned table plus a join of that tiny result back.
+    c_k = sum(p_k * sum y) / S_k, over the (group, x)-binned rows (weight w =
+    rows per bin), so the raw rows are aggregated once.
+
+    Degree k is one grouped aggregate of the binned rows joined with the
+    group's coefficients so far (a tiny table); p_k is recomputed from x by
+    the recurrence, and the earlier coefficients ride along in the aggregate,
+    so the plan grows linearly with the degree. A last pass gives the
+    in-sample SSE of every degree.
 
-    Returns (binned rows with p0..p_max columns, coefficients per group with
-    a_k, b_k, c_k, S_k, the number of distinct x ``m`` and the x range).
+    One row per group: n, m (distinct x), xmin, xmax, a_k, b_k, c_k, S_k,
+    sse1..sse_max.
     """
     g = list(group_by)
-    t = _binned(df, g, x, y).withColumn("p0", F.lit(1.0))
-    coef = t.groupBy(*g).agg(
+    b = _binned(df, g, x, y)
+    coef = b.groupBy(*g).agg(
         F.sum("w").alias("n"), F.count(F.lit(1)).alias("m"),
         F.min("x").alias("xmin"), F.max("x").alias("xmax"),
         F.sum("w").alias("S0"),
         (F.sum(F.col("w") * F.col("x")) / F.sum("w")).alias("a0"),
         (F.sum("sy") / F.sum("w")).alias("c0"))
-    t = t.join(coef.select(*g, "a0"), on=g).withColumn("p1", F.col("x") - F.col("a0")).drop("a0")
     for k in range(1, max_degree + 1):
-        pk = F.col(f"p{k}")
-        s = t.groupBy(*g).agg(
+        carried = [c for c in coef.columns if c not in g]
+        pk = _poly_terms(F.col("x"), k)[k]
+        j = b.join(coef, on=g)
+        coef = j.groupBy(*g).agg(
+            *[F.first(c).alias(c) for c in carried],
             F.sum(F.col("w") * pk * pk).alias(f"S{k}"),
             F.sum(F.col("w") * F.col("x") * pk * pk).alias(f"_xs{k}"),
             F.sum(pk * F.col("sy")).alias(f"_ys{k}"))
-        coef = coef.join(s, on=g)
         coef = (coef.withColumn(f"a{k}", F.try_divide(F.col(f"_xs{k}"), F.col(f"S{k}")))
                 .withColumn(f"b{k}", F.try_divide(F.col(f"S{k}"), F.col(f"S{k - 1}")))
                 .withColumn(f"c{k}", F.try_divide(F.col(f"_ys{k}"), F.col(f"S{k}")))
                 .drop(f"_xs{k}", f"_ys{k}"))
-        if k < max_degree:
-            t = (t.join(coef.select(*g, f"a{k}", f"b{k}"), on=g)
-                 .withColumn(f"p{k + 1}", (F.col("x") - F.col(f"a{k}")) * pk - F.col(f"b{k}") * F.col(f"p{k - 1}"))
-                 .drop(f"a{k}", f"b{k}"))
-    return t, coef
+    # last pass: SSE of each degree, sum over bins of (y - yhat)^2
+    carried = [c for c in coef.columns if c not in g]
+    ps = _poly_terms(F.col("x"), max_degree)
+    yhat = F.col("c0") * ps[0]
+    sse = []
+    for d in range(1, max_degree + 1):
+        yhat = yhat + F.col(f"c{d}") * ps[d]
+        sse.append(F.sum(F.col("syy") - 2 * yhat * F.col("sy") + F.col("w") * yhat * yhat).alias(f"sse{d}"))
+    return b.join(coef, on=g).groupBy(*g).agg(*[F.first(c).alias(c) for c in carried], *sse)
+
+
+def _rmse_col(d: int) -> Column:
+    """RMSE of degree d; NULL when the group has fewer than d+1 distinct x."""
+    return F.when(F.col("m") >= d + 1,
+                  F.sqrt(F.greatest(F.col(f"sse{d}"), F.lit(0.0)) / F.col("n")))
 
 
 def poly_fit_rmse(df: DataFrame, group_by: list[str], x: str, y: str,
-                  max_degree: int = 4) -> DataFrame:
+                  max_degree: int = 4, fit: DataFrame | None = None) -> DataFrame:
     """M5: in-sample RMSE of the least-squares polynomial of each degree
-    1..max_degree, per group. A degree needs at least degree+1 distinct x;
-    otherwise its RMSE is NULL (the fit is not identified)."""
+    1..max_degree, per group: (group, degree, rmse)."""
     g = list(group_by)
-    t, coef = poly_recurrence(df, g, x, y, max_degree)
-    cs = [f"c{k}" for k in range(max_degree + 1)]
-    t = t.join(coef.select(*g, *cs, "m"), on=g)
-    sse = []
-    yhat = F.lit(0.0)
-    for d in range(max_degree + 1):
-        yhat = yhat + F.col(f"c{d}") * F.col(f"p{d}")
-        if d >= 1:
-            # sum over the rows of a bin of (y - yhat)^2
-            sse.append(F.sum(F.col("syy") - 2 * yhat * F.col("sy") + F.col("w") * yhat * yhat).alias(f"sse{d}"))
-    res = t.groupBy(*g).agg(F.sum("w").alias("n"), F.max("m").alias("m"), *sse)
-    rows = []
-    for d in range(1, max_degree + 1):
-        rmse = F.when(F.col("m") >= d + 1,
-                      F.sqrt(F.greatest(F.col(f"sse{d}"), F.lit(0.0)) / F.col("n")))
-        rows.append(F.struct(F.lit(d).alias("degree"), rmse.alias("rmse")))
-    out = res.select(*g, F.explode(F.array(*rows)).alias("r"))
+    fit = fit if fit is not None else poly_fit(df, g, x, y, max_degree)
+    rows = [F.struct(F.lit(d).alias("degree"), _rmse_col(d).alias("rmse")) for d in range(1, max_degree + 1)]
+    out = fit.select(*g, F.explode(F.array(*rows)).alias("r"))
     return out.select(*g, F.col("r.degree").alias("degree"), F.col("r.rmse").alias("rmse"))
 
 
-def poly_best_degree(rmse: DataFrame, group_by: list[str]) -> DataFrame:
-    """M5: the degree with the smallest RMSE; a tie keeps the lower degree
-    (strictly-smaller comparison in degree order)."""
+def _best_degree_col(max_degree: int) -> Column:
+    """Degree with the smallest RMSE; strictly smaller wins, so ties keep the
+    lower degree (the reference's ``if rmse < best`` in degree order)."""
+    cands = [F.struct(_rmse_col(d).alias("rmse"), F.lit(d).alias("degree")) for d in range(1, max_degree + 1)]
+    valid = F.filter(F.array(*cands), lambda c: c["rmse"].isNotNull())
+    return F.array_min(valid)
+
+
+def poly_best_degree(rmse_or_fit: DataFrame, group_by: list[str], max_degree: int = 4) -> DataFrame:
+    """M5: the best degree per group, from :func:`poly_fit` rows or from the
+    long (group, degree, rmse) rows of :func:`poly_fit_rmse`."""
     g = list(group_by)
-    valid = rmse.filter(F.col("rmse").isNotNull())
-    best = valid.groupBy(*g).agg(
-        F.min_by(F.struct("degree", "rmse"), F.struct("rmse", "degree")).alias("b"))
+    if "sse1" in rmse_or_fit.columns:
+        b = rmse_or_fit.select(*g, _best_degree_col(max_degree).alias("b"))
+        return b.select(*g, F.col("b.degree").alias("best_degree"), F.col("b.rmse").alias("rmse"))
+    valid = rmse_or_fit.filter(F.col("rmse").isNotNull())
+    best = valid.groupBy(*g).agg(F.min(F.struct("rmse", "degree")).alias("b"))
     return best.select(*g, F.col("b.degree").alias("best_degree"), F.col("b.rmse").alias("rmse"))
 
 
 def fit_curve_grid(df: DataFrame, group_by: list[str], x: str, y: str,
                    points: int = 1000, max_degree: int = 4,
-                   degree_df: DataFrame | None = None) -> DataFrame:
+                   fit: DataFrame | None = None) -> DataFrame:
     """M6: the best-degree fit evaluated on ``points`` evenly spaced x from
     the group's min x to max x. Rows: (group, i, x, y)."""
     g = list(group_by)
-    _, coef = poly_recurrence(df, g, x, y, max_degree)
-    if degree_df is None:
-        degree_df = poly_best_degree(poly_fit_rmse(df, g, x, y, max_degree), g)
-    c = coef.join(degree_df.select(*g, "best_degree"), on=g)
+    fit = fit if fit is not None else poly_fit(df, g, x, y, max_degree)
+    c = fit.withColumn("best_degree", _best_degree_col(max_degree)["degree"])
     step = (F.col("xmax") - F.col("xmin")) / F.lit(points - 1)
     grid = c.select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
     xg = F.col("xmin") + F.col("i").cast("double") * step
     grid = grid.withColumn("gx", F.when(F.col("i") == points - 1, F.col("xmax")).otherwise(xg))
-    p_prev, p_cur = F.lit(1.0), F.col("gx") - F.col("a0")
-    yv = F.col("c0") + F.when(F.col("best_degree") >= 1, F.col("c1") * p_cur).otherwise(0.0)
-    for k in range(1, max_degree):
-        p_next = (F.col("gx") - F.col(f"a{k}")) * p_cur - F.col(f"b{k}") * p_prev
-        yv = yv + F.when(F.col("best_degree") >= k + 1, F.col(f"c{k + 1}") * p_next).otherwise(0.0)
-        p_prev, p_cur = p_cur, p_next
+    ps = _poly_terms(F.col("gx"), max_degree)
+    yv = F.col("c0")
+    for k in range(1, max_degree + 1):
+        yv = yv + F.when(F.col("best_degree") >= k, F.col(f"c{k}") * ps[k]).otherwise(0.0)
     return grid.select(*g, F.col("i").alias("i"), F.col("gx").alias("x"), yv.alias("y"))
 
 

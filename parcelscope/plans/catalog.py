@@ -734,8 +734,8 @@ def poly_fit_rmse(spark, d):
 
 @query("poly_best_degree")
 def poly_best_degree(spark, d):
-    r = stats.poly_fit_rmse(_fit_input(spark, d), FIT_G, FIT_X, FIT_Y)
-    return rounded(stats.poly_best_degree(r, FIT_G), 4)
+    fit = stats.poly_fit(_fit_input(spark, d), FIT_G, FIT_X, FIT_Y)
+    return rounded(stats.poly_best_degree(fit, FIT_G), 4)
 
 
 @query("fit_curve_grid")
