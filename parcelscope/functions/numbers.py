@@ -89,7 +89,7 @@ def first_match_count(arr, word: str, label_field: str = "label",
     build it, so the result does not depend on shuffle order.
     """
     matched = F.filter(as_col(arr), lambda x: x[label_field].contains(word))
-    return F.element_at(matched, 1)[count_field]
+    return F.get(matched, 0)[count_field]
 
 
 def housing_mix(total, single) -> dict[str, Column]:

@@ -9,6 +9,7 @@ them.
 
 from __future__ import annotations
 
+import math
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -26,14 +27,22 @@ def _vectors(df: DataFrame, features: list[str], keep: list[str]) -> DataFrame:
     ).select(*keep, "features")
 
 
+def spark_tol(tol: float, k: int, mean_var: float = 1.0) -> float:
+    """Convert a scikit-learn style tolerance (total squared centre shift
+    <= tol * mean feature variance) into Spark's (every centre moves less
+    than eps): eps = sqrt(tol * mean_var / k) stops no earlier than the
+    scikit-learn rule would."""
+    return math.sqrt(tol * mean_var / max(k, 1))
+
+
 def _fit(vec: DataFrame, k: int, seed: int, max_iter: int, tol: float) -> KMeansModel:
-    km = KMeans(k=k, seed=seed, initMode="random", maxIter=max_iter, tol=tol,
+    km = KMeans(k=k, seed=seed, initMode="random", maxIter=max_iter, tol=spark_tol(tol, k),
                 featuresCol="features", predictionCol="cluster")
     return km.fit(vec)
 
 
 def best_of_restarts(vec: DataFrame, k: int, seeds: list[int], max_iter: int = 300,
-                     tol: float = 1e-4, threads: int = 4) -> KMeansModel:
+                     tol: float = 1e-4, threads: int = 10) -> KMeansModel:
     """Fit once per seed (concurrently); keep the model with the lowest SSE."""
     with ThreadPoolExecutor(max_workers=max(1, min(threads, len(seeds)))) as pool:
         models = list(pool.map(lambda s: _fit(vec, k, s, max_iter, tol), seeds))
@@ -55,6 +64,9 @@ def kmeans_elbow(spark: SparkSession, df: DataFrame, features: list[str],
                  scale: bool = True) -> DataFrame:
     """M2: within-cluster SSE of the best of ``restarts`` random starts, per k.
 
+    ``tol`` follows scikit-learn (see :func:`spark_tol`); the data are
+    z-scored first, so the mean feature variance is 1.
+
     k=1 has one solution (the mean), whose SSE is the total sum of squares;
     Spark's KMeans needs k >= 2, so k=1 is that aggregate.
     """
@@ -82,9 +94,13 @@ def kmeans_assign(df: DataFrame, id_cols: list[str], features: list[str], k: int
     """M3: cluster label per row from the best of ``restarts`` fits."""
     data = zscore(df, features, keep=id_cols) if scale else df.select(*id_cols, *features)
     vec = _vectors(data, features, id_cols).persist()
-    model = best_of_restarts(vec, k, [seed + r for r in range(restarts)], max_iter, tol)
-    out = model.transform(vec).select(*id_cols, F.col("cluster").cast("int").alias("cluster"))
-    return out
+    try:
+        model = best_of_restarts(vec, k, [seed + r for r in range(restarts)], max_iter, tol)
+    finally:
+        vec.unpersist()
+    # labels are computed from the (uncached) scaled rows by the chosen model
+    return model.transform(_vectors(data, features, id_cols)).select(
+        *id_cols, F.col("cluster").cast("int").alias("cluster"))
 
 
 def kmeans_cost_k1(df: DataFrame, features: list[str], scale: bool = True) -> float:

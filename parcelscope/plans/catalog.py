@@ -55,6 +55,14 @@ def write_ordered_lines(df: DataFrame, order_col: str, value_col: str, path: str
 
 T_ = sd.table
 
+
+def cents_avg(col: str):
+    """Average of a money column rounded half-up to whole cents, computed from
+    exact integer cents (independent of the floating-point summation order)."""
+    cents = F.sum(F.round(F.col(col) * 100).cast("long"))
+    n = F.count(F.lit(1))
+    return F.floor((cents * 2 + n) / (n * 2)) / F.lit(100.0)
+
 # ----------------------------------------------------------------- sources
 
 
@@ -346,7 +354,9 @@ def occupancy_share(spark, d):
 @query("estimate_margin")
 def estimate_margin(spark, d):
     c = sd.customer_geo(spark, d, "c_acctbal")
-    a = c.groupBy("county").agg(F.round(F.avg("c_acctbal"), 2).alias("estimate"),
+    # the estimate is rounded half-up to whole cents from exact integer cents,
+    # so it does not depend on the floating-point order of the sum
+    a = c.groupBy("county").agg(cents_avg("c_acctbal").alias("estimate"),
                                 F.round(F.stddev_samp("c_acctbal"), 2).alias("margin"))
     text = fn.estimate_margin_text(F.format_string("%.2f", "estimate"), F.format_string("%.2f", "margin"))
     return a.select("county", "estimate", "margin", text.alias("text"))
@@ -661,7 +671,7 @@ def _quality_measures(spark, d):
     c = sd.customer_geo(spark, d, "c_acctbal", "c_mktsegment")
     return c.groupBy("state", "county").agg(
         F.count(F.lit(1)).alias("n_customers"),
-        F.round(F.avg("c_acctbal"), 2).alias("avg_acctbal"),
+        cents_avg("c_acctbal").alias("avg_acctbal"),
         F.round(F.min("c_acctbal"), 2).alias("min_acctbal"),
         F.round(F.max("c_acctbal"), 2).alias("max_acctbal"),
         F.count_if(F.col("c_mktsegment") == "BUILDING").alias("n_building"))

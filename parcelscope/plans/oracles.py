@@ -169,7 +169,7 @@ best AS (
 
 QUALITY = """{geo}, q AS (
   SELECT g.state, g.county, count(*) AS n_customers,
-    round(avg(c.c_acctbal), 2) AS avg_acctbal, round(min(c.c_acctbal), 2) AS min_acctbal,
+    floor((2 * sum(round(c.c_acctbal * 100)::BIGINT) + count(*))::DOUBLE / (2 * count(*))) / 100.0 AS avg_acctbal, round(min(c.c_acctbal), 2) AS min_acctbal,
     round(max(c.c_acctbal), 2) AS max_acctbal,
     count(*) FILTER (WHERE c.c_mktsegment = 'BUILDING') AS n_building
   FROM customer c JOIN geo g ON c.c_nationkey = g.n_nationkey GROUP BY ALL)""".format(geo=GEO)
@@ -248,7 +248,9 @@ ORACLES: dict[str, str] = {
       GROUP BY g.county""",
     "estimate_margin": f"""
       WITH {GEO}, a AS (
-        SELECT g.county, round(avg(c.c_acctbal), 2) AS estimate, round(stddev_samp(c.c_acctbal), 2) AS margin
+        SELECT g.county,
+               floor((2 * sum(round(c.c_acctbal * 100)::BIGINT) + count(*))::DOUBLE / (2 * count(*))) / 100.0 AS estimate,
+               round(stddev_samp(c.c_acctbal), 2) AS margin
         FROM customer c JOIN geo g ON c.c_nationkey = g.n_nationkey GROUP BY g.county)
       SELECT county, estimate, margin, printf('%.2f', estimate) || '±' || printf('%.2f', margin) AS text FROM a""",
     "commute_modes": f"WITH {USER_MODES} SELECT * FROM um",
