@@ -157,7 +157,7 @@ def poly_best_degree(rmse_or_fit: DataFrame, group_by: list[str], max_degree: in
     long (group, degree, rmse) rows of :func:`poly_fit_rmse`."""
     g = list(group_by)
     if "sse1" in rmse_or_fit.columns:
-        b = rmse_or_fit.select(*g, _best_degree_col(max_degree).alias("b"))
+        b = rmse_or_fit.select(*g, _best_degree_col(max_degree).alias("b")).filter(F.col("b").isNotNull())
         return b.select(*g, F.col("b.degree").alias("best_degree"), F.col("b.rmse").alias("rmse"))
     valid = rmse_or_fit.filter(F.col("rmse").isNotNull())
     best = valid.groupBy(*g).agg(F.min(F.struct("rmse", "degree")).alias("b"))
@@ -171,7 +171,9 @@ def fit_curve_grid(df: DataFrame, group_by: list[str], x: str, y: str,
     the group's min x to max x. Rows: (group, i, x, y)."""
     g = list(group_by)
     fit = fit if fit is not None else poly_fit(df, g, x, y, max_degree)
-    c = fit.withColumn("best_degree", _best_degree_col(max_degree)["degree"])
+    # groups without an identified degree (fewer than 2 distinct x) get no curve
+    c = fit.withColumn("best_degree", _best_degree_col(max_degree)["degree"]) \
+        .filter(F.col("best_degree").isNotNull())
     step = (F.col("xmax") - F.col("xmin")) / F.lit(points - 1)
     grid = c.select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
     xg = F.col("xmin") + F.col("i").cast("double") * step

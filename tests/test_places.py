@@ -158,3 +158,17 @@ def test_catalog_of_paths():
     paths = P.dataset_paths("/data/zoning", P.PLACES["colorado"])
     assert paths["parcels:weld-parcels.csv"] == "/data/zoning/Colorado/weld-parcels.csv"
     assert paths["QOL"] == "/data/zoning/QOL.csv"
+
+
+def test_analysis_on_feature_table(spark):
+    from parcelscope.plans import analysis
+    from parcelscope.plans import features as feat
+    ft = feat.county_features(spark, "/root/testdata/sf0.001")
+    res = analysis.analyze(spark, ft, feat.KEY, feat.FEATURES, min_share=0.0, k=3, ks=range(1, 4), restarts=2)
+    assert res["summary"].count() > 0
+    assert res["top_single"].count() == 5
+    assert [r.k for r in res["elbow"].collect()] == [1, 2, 3]
+    assert res["clusters"].count() == ft.filter("all_residential > 1").count()
+    best = res["best"].collect()
+    assert best and all(1 <= r.best_degree <= 4 for r in best)
+    assert res["curves"].count() == 1000 * res["best"].count()
