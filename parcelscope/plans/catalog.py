@@ -37,9 +37,27 @@ def query(name: str):
     return deco
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double column (both engines then agree on the value)."""
-    cols = [F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType)
+# Computed doubles are compared at this many significant digits: far above
+# the last-bit differences of two engines summing in different orders.
+SIG_DIGITS = 8
+
+
+def sig_round(c, s: int = SIG_DIGITS):
+    """Round to ``s`` significant digits with exact powers of ten (the same
+    arithmetic as the SQL side, so both engines land on the same double)."""
+    k = (F.lit(s - 1) - F.floor(F.log10(F.abs(c)))).cast("int")
+    ten = F.lit(10.0)
+    up = F.round(c * F.pow(ten, k)) / F.pow(ten, k)
+    down = F.round(c / F.pow(ten, -k)) * F.pow(ten, -k)
+    return F.when(c.isNull() | (c == 0) | F.isnan(c), c).when(k >= 0, up).otherwise(down)
+
+
+def rounded(df: DataFrame, digits: int | None = None) -> DataFrame:
+    """Round every double column: to ``digits`` decimals when given (money,
+    fixed grids), else to SIG_DIGITS significant digits."""
+    def r(c):
+        return F.round(c, digits) if digits is not None else sig_round(c)
+    cols = [r(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.DoubleType)
             else F.col(f.name) for f in df.schema.fields]
     return df.select(*cols)
 
@@ -739,18 +757,18 @@ def linear_fit(spark, d):
 
 @query("poly_fit_rmse")
 def poly_fit_rmse(spark, d):
-    return rounded(stats.poly_fit_rmse(_fit_input(spark, d), FIT_G, FIT_X, FIT_Y), 4)
+    return rounded(stats.poly_fit_rmse(_fit_input(spark, d), FIT_G, FIT_X, FIT_Y))
 
 
 @query("poly_best_degree")
 def poly_best_degree(spark, d):
     fit = stats.poly_fit(_fit_input(spark, d), FIT_G, FIT_X, FIT_Y)
-    return rounded(stats.poly_best_degree(fit, FIT_G), 4)
+    return rounded(stats.poly_best_degree(fit, FIT_G))
 
 
 @query("fit_curve_grid")
 def fit_curve_grid(spark, d):
-    return rounded(stats.fit_curve_grid(_fit_input(spark, d), FIT_G, FIT_X, FIT_Y), 3)
+    return rounded(stats.fit_curve_grid(_fit_input(spark, d), FIT_G, FIT_X, FIT_Y))
 
 
 @query("share_vs_feature")
@@ -764,9 +782,12 @@ def share_vs_feature(spark, d):
 
 @query("residential_profile")
 def residential_profile(spark, d):
-    rows = sd.parcel_rows(spark, d).filter(flt.keyword_any("label", sd.RESIDENTIAL_WORDS))
-    hist = agg.histogram_per_key(rows, "l_returnflag", "label")
-    totals = agg.count_per_key(rows, "l_returnflag", "key_total")
+    # parcels pre-aggregated per (source, label); the keyword filter runs on
+    # `part` before its join, and the per-source totals come from the
+    # histogram itself (no second pass over lineitem)
+    counts = sd.parcel_counts(spark, d, sd.RESIDENTIAL_WORDS, by=["l_returnflag"])
+    hist = counts.groupBy("l_returnflag", "label").agg(F.sum("n").cast("long").alias("n"))
+    totals = agg.histogram_total(hist, "l_returnflag", out_col="key_total")
     return hist.join(totals, "l_returnflag").withColumnRenamed("l_returnflag", "source")
 
 

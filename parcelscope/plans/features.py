@@ -40,14 +40,22 @@ def residential_mix(spark: SparkSession, d: str) -> DataFrame:
 
 
 def occupancy(spark: SparkSession, d: str) -> DataFrame:
-    o = sd.order_geo(spark, d, "o_orderstatus", "o_totalprice")
-    agg = o.groupBy(*KEY).agg(
+    """Order status shares per county; orders are aggregated per customer
+    before the customer join (one row per customer instead of per order)."""
+    o = sd.table(spark, d, "orders", "o_custkey", "o_orderstatus", "o_totalprice")
+    per_cust = o.groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(F.col("o_orderstatus") == "F").alias("occupied"),
         F.count_if(F.col("o_orderstatus") == "O").alias("vacant"),
-        F.avg("o_totalprice").alias("avg_order_price"))
+        F.sum("o_totalprice").alias("price"))
+    c = sd.customer_geo(spark, d)
+    j = per_cust.join(c, per_cust.o_custkey == c.c_custkey)
+    agg = j.groupBy(*KEY).agg(
+        F.sum("total").alias("total"), F.sum("occupied").alias("occupied"),
+        F.sum("vacant").alias("vacant"), F.sum("price").alias("price"))
     return agg.select(*KEY, ratio("occupied", "total").alias("occupied_share"),
-                      ratio("vacant", "total").alias("vacant_share"), "avg_order_price")
+                      ratio("vacant", "total").alias("vacant_share"),
+                      (F.col("price") / F.col("total")).alias("avg_order_price"))
 
 
 def customer_mix(spark: SparkSession, d: str) -> DataFrame:

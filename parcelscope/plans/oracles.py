@@ -84,8 +84,22 @@ ft AS (
   LEFT JOIN cm USING (state, county) LEFT JOIN sh USING (state, county))"""
 
 
-def _r(expr: str, name: str, digits: int = 6) -> str:
-    return f"round(({expr})::DOUBLE, {digits}) AS {name}"
+SIG_DIGITS = 8
+
+
+def sig(expr: str, s: int = SIG_DIGITS) -> str:
+    """Round to ``s`` significant digits, as the Spark side does."""
+    x = f"(({expr})::DOUBLE)"
+    k = f"(CAST({s - 1} - floor(log10(abs({x}))) AS INTEGER))"
+    return (f"(CASE WHEN {x} IS NULL OR {x} = 0 OR isnan({x}) THEN {x} "
+            f"WHEN {k} >= 0 THEN round({x} * pow(10.0, {k})) / pow(10.0, {k}) "
+            f"ELSE round({x} / pow(10.0, -{k})) * pow(10.0, -{k}) END)")
+
+
+def _r(expr: str, name: str, digits: int | None = None) -> str:
+    if digits is not None:
+        return f"round(({expr})::DOUBLE, {digits}) AS {name}"
+    return f"{sig(expr)} AS {name}"
 
 
 FEATURE_LONG = f"""{FEATURE_CTE},
@@ -413,8 +427,8 @@ ORACLES: dict[str, str] = {
         {_r("corr(l_quantity, l_extendedprice)", "corr")},
         {_r("regr_r2(l_extendedprice, l_quantity)", "r2")}
       FROM lineitem GROUP BY l_returnflag""",
-    "poly_fit_rmse": f"WITH {POLY} SELECT l_returnflag, degree, round(rmse, 4) AS rmse FROM rm",
-    "poly_best_degree": f"WITH {POLY} SELECT l_returnflag, best_degree, round(rmse, 4) AS rmse FROM best",
+    "poly_fit_rmse": f"WITH {POLY} SELECT l_returnflag, degree, {sig('rmse')} AS rmse FROM rm",
+    "poly_best_degree": f"WITH {POLY} SELECT l_returnflag, best_degree, {sig('rmse')} AS rmse FROM best",
     "fit_curve_grid": f"""
       WITH {POLY},
       gr AS (
@@ -426,11 +440,11 @@ ORACLES: dict[str, str] = {
       pv2 AS (SELECT *, (gx - a1) * q1 - b1 * 1.0 AS q2 FROM pv),
       pv3 AS (SELECT *, (gx - a2) * q2 - b2 * q1 AS q3 FROM pv2),
       pv4 AS (SELECT *, (gx - a3) * q3 - b3 * q2 AS q4 FROM pv3)
-      SELECT g AS l_returnflag, cast(i AS INTEGER) AS i, round(gx, 3) AS x,
-        round(c0 + CASE WHEN best_degree >= 1 THEN c1 * q1 ELSE 0 END
-                 + CASE WHEN best_degree >= 2 THEN c2 * q2 ELSE 0 END
-                 + CASE WHEN best_degree >= 3 THEN c3 * q3 ELSE 0 END
-                 + CASE WHEN best_degree >= 4 THEN c4 * q4 ELSE 0 END, 3) AS y
+      SELECT g AS l_returnflag, cast(i AS INTEGER) AS i, {sig("gx")} AS x,
+        {sig("c0 + CASE WHEN best_degree >= 1 THEN c1 * q1 ELSE 0 END"
+             " + CASE WHEN best_degree >= 2 THEN c2 * q2 ELSE 0 END"
+             " + CASE WHEN best_degree >= 3 THEN c3 * q3 ELSE 0 END"
+             " + CASE WHEN best_degree >= 4 THEN c4 * q4 ELSE 0 END")} AS y
       FROM pv4""",
     "share_vs_feature": f"""
       WITH {FEATURE_CTE},

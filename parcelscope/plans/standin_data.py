@@ -47,23 +47,28 @@ def part_labels(spark: SparkSession, d: str, words=None) -> DataFrame:
     return out.filter(flt.keyword_any("label", words)) if words else out
 
 
-def parcel_counts(spark: SparkSession, d: str, words=None) -> DataFrame:
-    """Parcels counted per (state, county, label): (state, county, label, n).
+def parcel_counts(spark: SparkSession, d: str, words=None, by: list[str] | None = None) -> DataFrame:
+    """Parcels counted per ([by...], state, county, label): (..., n).
 
+    ``by`` are extra lineitem columns kept as keys (e.g. ``l_returnflag``).
     Aggregated before each join: lineitems are first counted per
-    (supplier nation, part), then per (nation, label), so the joins with
-    ``part`` and the county spine see pre-aggregated rows, not lineitems.
+    (by, supplier, part) (map-side partial aggregation), then per (by, supplier
+    nation, part), then per (by, nation, label), so the joins with
+    ``supplier``, ``part`` and the county spine see pre-aggregated rows, not
+    lineitems. A residential word list filters ``part`` before its join.
     """
-    li = table(spark, d, "lineitem", "l_partkey", "l_suppkey")
+    by = list(by or [])
+    li = table(spark, d, "lineitem", "l_partkey", "l_suppkey", *by)
+    per_supp = li.groupBy(*by, "l_suppkey", "l_partkey").agg(F.count(F.lit(1)).alias("n"))
     s = table(spark, d, "supplier", "s_suppkey", "s_nationkey")
-    per_part = (li.join(s, li.l_suppkey == s.s_suppkey)
-                .groupBy("s_nationkey", "l_partkey").agg(F.count(F.lit(1)).alias("n")))
+    per_part = (per_supp.join(s, per_supp.l_suppkey == s.s_suppkey)
+                .groupBy(*by, "s_nationkey", "l_partkey").agg(F.sum("n").alias("n")))
     labels = part_labels(spark, d, words)
     per_label = (per_part.join(labels, per_part.l_partkey == labels.p_partkey)
-                 .groupBy("s_nationkey", "label").agg(F.sum("n").alias("n")))
+                 .groupBy(*by, "s_nationkey", "label").agg(F.sum("n").alias("n")))
     g = geo(spark, d)
     return (per_label.join(g, per_label.s_nationkey == g.n_nationkey)
-            .select("state", "county", "label", F.col("n").cast("long").alias("n")))
+            .select(*by, "state", "county", "label", F.col("n").cast("long").alias("n")))
 
 
 def parcel_rows(spark: SparkSession, d: str) -> DataFrame:
