@@ -25,15 +25,21 @@ _POS_MASK = (1 << 33) - 1
 
 
 def indexed_sort(df: DataFrame, order_by: list, group_by: list[str] | None = None,
-                 index_col: str = "row_idx", num_partitions: int | None = None) -> DataFrame:
+                 index_col: str = "row_idx", num_partitions: int | None = None,
+                 size_col: str | None = None) -> DataFrame:
     """Attach a 0-based ``index_col`` in ``order_by`` order, restarting per group.
 
     ``order_by`` items may be names or sort Columns (``F.desc("x")``). Ties get
-    distinct, arbitrary indices.
+    distinct, arbitrary indices: a hash of the whole row is the last sort
+    key, so a value repeated in many (different) rows is still spread over
+    several range partitions, and a retried task sees the same keys.
+    ``size_col`` also attaches the size of each row's group (from the same
+    count table, no extra pass).
     """
     group_by = list(group_by or [])
     orders = [as_col(c) for c in order_by]
-    keys = [F.col(g) for g in group_by] + orders
+    df = df.withColumn("_tb", F.xxhash64(*[F.col(c) for c in df.columns]))
+    keys = [F.col(g) for g in group_by] + orders + [F.col("_tb")]
     parted = (df.repartitionByRange(num_partitions, *keys) if num_partitions
               else df.repartitionByRange(*keys))
     s = (parted.sortWithinPartitions(*keys)
@@ -45,10 +51,15 @@ def indexed_sort(df: DataFrame, order_by: list, group_by: list[str] | None = Non
     counts = counts.withColumn(
         "_before",
         F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    out = s.join(counts.select(*group_by, "_pid", "_first", "_before"),
+    extra = []
+    if size_col:
+        whole = Window.partitionBy(*group_by) if group_by else Window.partitionBy()
+        counts = counts.withColumn(size_col, F.sum("_n").over(whole))
+        extra = [size_col]
+    out = s.join(counts.select(*group_by, "_pid", "_first", "_before", *extra),
                  on=[*group_by, "_pid"], how="inner")
     out = out.withColumn(index_col, (F.col("_before") + F.col("_pos") - F.col("_first")).cast("long"))
-    return out.drop("_pid", "_pos", "_first", "_before")
+    return out.drop("_pid", "_pos", "_first", "_before", "_tb")
 
 
 def with_group_sizes(df: DataFrame, group_by: list[str], size_col: str = "_size") -> DataFrame:
@@ -63,9 +74,18 @@ def exact_quantiles(df: DataFrame, value_col: str, qs: list[float],
     """Exact quantiles with linear interpolation (numpy / pandas / DuckDB
     ``quantile_cont`` semantics) per group, NULL values ignored.
 
-    No group is ever held in one task: ranks come from :func:`indexed_sort`,
-    then only the (at most 2 x len(qs)) rows bracketing each quantile are kept
-    and combined by a grouped aggregate.
+    No group is ever held in one task, and no hot value either:
+
+    1. values are counted per (group, value): a partial aggregate, so a value
+       held by a third of all rows becomes one weighted row;
+    2. the distinct values are range-partitioned on (group, value) (unique
+       keys, so partitions stay balanced and deterministic) and each gets the
+       number of rows before it: a running sum inside its range partition
+       plus the rows of its group in earlier partitions (a small
+       per-(group, partition) table);
+    3. value v covers ranks [before, before + count); only the values holding
+       the (at most 2 x len(qs)) bracketing ranks are kept and combined by a
+       grouped aggregate.
     """
     names = names or [f"q{int(round(q * 100))}" for q in qs]
     ungrouped = not group_by
@@ -74,21 +94,34 @@ def exact_quantiles(df: DataFrame, value_col: str, qs: list[float],
         # plain keyed aggregate / equi-join
         df = df.withColumn("_g", F.lit(0))
         group_by = ["_g"]
-    group_by = list(group_by)
-    vals = df.select(*group_by, F.col(value_col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    ranked = indexed_sort(vals, ["_v"], group_by, index_col="_r")
-    sizes = vals.groupBy(*group_by).agg(F.count(F.lit(1)).alias("_size"))
-    ranked = ranked.join(sizes, on=group_by, how="inner")
+    g = list(group_by)
+    vals = df.select(*g, F.col(value_col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    dv = vals.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    keys = [F.col(c) for c in g] + [F.col("_v")]
+    s = (dv.repartitionByRange(*keys).sortWithinPartitions(*keys)
+         .withColumn("_pid", F.spark_partition_id()))
+    local = Window.partitionBy(*g, "_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    s = s.withColumn("_local", F.coalesce(F.sum("_c").over(local), F.lit(0)))
+    part = s.groupBy(*g, "_pid").agg(F.sum("_c").alias("_n"))
+    earlier = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    part = (part.withColumn("_pbefore", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+            .withColumn("_size", F.sum("_n").over(Window.partitionBy(*g))))
+    ranked = s.join(part.select(*g, "_pid", "_pbefore", "_size"), on=[*g, "_pid"])
+    ranked = ranked.withColumn("_lo_r", F.col("_pbefore") + F.col("_local")) \
+        .withColumn("_hi_r", F.col("_lo_r") + F.col("_c") - 1)
+
+    def holds(r):
+        return (F.col("_lo_r") <= r) & (r <= F.col("_hi_r"))
+
     aggs = []
     wanted = F.lit(False)
     for q, name in zip(qs, names):
         h = F.lit(float(q)) * (F.col("_size") - 1)
         lo, hi = F.floor(h), F.ceil(h)
-        wanted = wanted | (F.col("_r") == lo) | (F.col("_r") == hi)
-        v_lo = F.max(F.when(F.col("_r") == lo, F.col("_v")))
-        v_hi = F.max(F.when(F.col("_r") == hi, F.col("_v")))
+        wanted = wanted | holds(lo) | holds(hi)
+        v_lo = F.max(F.when(holds(lo), F.col("_v")))
+        v_hi = F.max(F.when(holds(hi), F.col("_v")))
         frac = F.max(h - lo)
         aggs.append((v_lo + frac * (v_hi - v_lo)).alias(name))
-    picked = ranked.filter(wanted)
-    out = picked.groupBy(*group_by).agg(*aggs)
+    out = ranked.filter(wanted).groupBy(*g).agg(*aggs)
     return out.drop("_g") if ungrouped else out

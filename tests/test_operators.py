@@ -209,3 +209,15 @@ def test_kmeans_elbow_and_assign(spark):
     assert el[3] < el[2] < el[1] and el[3] < 1.0
     lab = cluster.kmeans_assign(df, ["id"], ["a", "b"], k=3, restarts=3).toPandas()
     assert lab.groupby(lab.id // 30).cluster.nunique().eq(1).all()
+
+
+def test_quantiles_with_one_hot_value(spark):
+    # a third of all rows share one value: ranks stay exact and spread out
+    vals = [7.0] * 400 + [float(i) for i in range(800)]
+    df = spark.createDataFrame([(v,) for v in vals], "v double").repartition(4)
+    got = exact_quantiles(df, "v", [0.1, 0.5, 0.9]).first()
+    want = np.quantile(np.array(vals), [0.1, 0.5, 0.9])
+    assert np.allclose([got.q10, got.q50, got.q90], want)
+    ranked = indexed_sort(df, ["v"], index_col="i", num_partitions=6, size_col="n")
+    pdf = ranked.toPandas()
+    assert sorted(pdf.i) == list(range(1200)) and (pdf.n == 1200).all()
