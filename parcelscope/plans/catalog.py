@@ -49,7 +49,9 @@ def sig_round(c, s: int = SIG_DIGITS):
     ten = F.lit(10.0)
     up = F.round(c * F.pow(ten, k)) / F.pow(ten, k)
     down = F.round(c / F.pow(ten, -k)) * F.pow(ten, -k)
-    return F.when(c.isNull() | (c == 0) | F.isnan(c), c).when(k >= 0, up).otherwise(down)
+    # |x| < 1e-9 (float noise around an exact zero, and -0.0) becomes 0.0
+    return (F.when(c.isNull() | F.isnan(c), c).when(F.abs(c) < 1e-9, F.lit(0.0))
+            .when(k >= 0, up).otherwise(down))
 
 
 def rounded(df: DataFrame, digits: int | None = None) -> DataFrame:

@@ -91,7 +91,7 @@ def sig(expr: str, s: int = SIG_DIGITS) -> str:
     """Round to ``s`` significant digits, as the Spark side does."""
     x = f"(({expr})::DOUBLE)"
     k = f"(CAST({s - 1} - floor(log10(abs({x}))) AS INTEGER))"
-    return (f"(CASE WHEN {x} IS NULL OR {x} = 0 OR isnan({x}) THEN {x} "
+    return (f"(CASE WHEN {x} IS NULL OR isnan({x}) THEN {x} WHEN abs({x}) < 1e-9 THEN 0.0::DOUBLE "
             f"WHEN {k} >= 0 THEN round({x} * pow(10.0, {k})) / pow(10.0, {k}) "
             f"ELSE round({x} / pow(10.0, -{k})) * pow(10.0, -{k}) END)")
 
