@@ -24,7 +24,7 @@ from parcelscope.operators.ordering import exact_quantiles
 from parcelscope.plans import features as feat
 from parcelscope.plans import standin_data as sd
 from parcelscope.session import scratch_path
-from parcelscope.sources import files, results, sinks
+from parcelscope.sources import catalog, files, results, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -160,12 +160,8 @@ CATALOG = [("region", "r_regionkey"), ("nation", "n_nationkey"), ("customer", "c
 
 @query("dataset_catalog")
 def dataset_catalog(spark, d):
-    frames = []
-    for name, key in CATALOG:
-        t = T_(spark, d, name, key)
-        frames.append(t.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(key).alias("n_keys"))
-                      .select(F.lit(name).alias("dataset"), "n_rows", "n_keys"))
-    return reshape.union_sources(frames)
+    entries = [(name, f"{d.rstrip('/')}/{name}.parquet", key) for name, key in CATALOG]
+    return catalog.profile(spark, entries)
 
 
 # The seven hand-typed places of the reference's analysis
@@ -258,7 +254,15 @@ def sink_csv_header(spark, d):
 
 @query("count_report_with_total")
 def count_report_with_total(spark, d):
-    return agg.label_report(T_(spark, d, "part", "p_type"), "p_type", "n")
+    # K3 end to end: write the report file (title, `label: n` lines, `Total: n`),
+    # read it back, drop the title line by position and parse the lines
+    counts = agg.count_by_value(T_(spark, d, "part", "p_type"), "p_type", "n")
+    report = sinks.count_report(counts, "p_type", "n", "Count of all part types")
+    path = sinks.write_report(report, scratch_path(spark, "type-report"))
+    lines = files.skip_first_rows(files.read_lines(spark, path), 1)
+    label = F.regexp_extract("value", r"^(.*): (\d+)$", 1)
+    n = F.regexp_extract("value", r"^(.*): (\d+)$", 2).cast("long")
+    return lines.select(label.alias("p_type"), n.alias("n"))
 
 
 # -------------------------------------------------------------- projections
