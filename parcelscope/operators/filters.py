@@ -36,17 +36,14 @@ def prefix(col, p: str) -> Column:
 def prefix_any(col, prefixes) -> Column:
     """text starts with any of ``prefixes``.
 
-    When all prefixes have the same length this is one ``substring ... IN``
-    test; otherwise an OR of ``startswith``.
+    An OR of ``startswith``: on a Parquet column Spark pushes it into the
+    scan (``Or(StringStartsWith, ...)``), where a ``substring(...) IN`` test
+    would not be.
     """
     c = as_col(col)
     prefixes = list(prefixes)
     if not prefixes:
         return F.lit(False)
-    lengths = {len(p) for p in prefixes}
-    if len(lengths) == 1:
-        n = lengths.pop()
-        return F.substring(c, 1, n).isin(*prefixes)
     return reduce(lambda a, b: a | b, [c.startswith(p) for p in prefixes])
 
 
