@@ -172,3 +172,52 @@ def test_analysis_on_feature_table(spark):
     best = res["best"].collect()
     assert best and all(1 <= r.best_degree <= 4 for r in best)
     assert res["curves"].count() == 1000 * res["best"].count()
+
+
+def _quoted_row(width, label_pos, label):
+    cells = [f"v{i}" for i in range(width)]
+    cells[1] = '"Main St, Unit 4"'  # a quoted comma before the label
+    cells[label_pos] = label
+    return ",".join(cells)
+
+
+def test_colorado_quoted_sources(spark, tmp_path):
+    r = str(tmp_path)
+    _write(f"{r}/Colorado/denver-parcels.csv", "\n".join(
+        ["h" * 5, _quoted_row(53, 51, "Single Family"), _quoted_row(53, 51, '"apt mid-rise>9 unt,1-9sty"'),
+         _quoted_row(53, 51, "Office")]) + "\n")
+    _write(f"{r}/Colorado/jefferson-parcels.csv", "\n".join(
+        ["header", "Duplex: Two Family,x,y", "Commercial,x,y", "Single Family,,"]) + "\n")
+    _write(f"{r}/Colorado/weld-parcels.csv", "\n".join(
+        ["header", _quoted_row(35, 33, "Mobile Home"), _quoted_row(35, 33, "Warehouse")]) + "\n")
+    prof = R.zoning_profile(spark, r, P.PLACES["colorado"])
+    per = {r_.county: r_.n for r_ in prof["per_county"].collect()}
+    assert per == {"denver": 2, "jefferson": 2, "weld": 2}
+    labels = {r_.label: r_.n for r_ in prof["residential_labels"].collect()}
+    assert labels == {"single family": 2, '"apt mid-rise>9 unt,1-9sty"': 1, "duplex: two family": 1,
+                      "mobile home": 1, "warehouse": 1, "Total": 6}
+    mix = {r_.county: (r_.all_residential, r_.sf_residential)
+           for r_ in R.housing_mix(spark, r, P.PLACES["colorado"]).collect()}
+    assert mix == {"denver": (2, 1), "jefferson": (2, 1), "weld": (2, 0)}
+
+
+def test_write_outputs_and_read_back(spark, root, tmp_path):
+    from parcelscope.plans.place_outputs import write_place_outputs
+    from parcelscope.sources import files, results
+    out = str(tmp_path / "outputs-ohio")
+    paths = write_place_outputs(spark, root, P.PLACES["ohio"], out)
+    rep = [r.value for r in spark.read.text(paths["countOfAllResidentialInOhio"]).collect()]
+    assert rep[0] == "Count of all types of Residential in Ohio" and rep[-1] == "Total: 6"
+    pairs = [r.value for r in spark.read.text(paths["countOfAllResidentialByCounty"]).collect()]
+    assert pairs == ["(adams,4)", "(van wert,2)"]
+    hist = [r.value for r in spark.read.text(paths["relevantResidentialByCounty"]).collect()]
+    assert hist[0] == "(adams,[(510: res-single family,2), (520: res-two family,1)])"
+    occ = results.parse_result_lines(spark, paths["occupancyByCounty"],
+                                     ["percentage_occupancy", "percentage_vacant"]).collect()
+    assert {(r.key, r.percentage_occupancy) for r in occ} == {("adams", "0.75"), ("van wert", "null")}
+    rec = results.record_block_pivot(files.read_lines(spark, paths["allQualitiesPlusHealth"]), 5,
+                                     ["key", "crime", "unemp", "cost", "health"]).orderBy("record")
+    first, second = rec.collect()
+    assert first.key == "(adams," and first.crime == "\tcrime_rate:11.0"
+    assert first.cost == "\tcostOfLiving:60510.05" and first.health == "\tmentalHealth:5.8)"
+    assert second.key == "(van wert," and second.health == "\tmentalHealth:null)"
