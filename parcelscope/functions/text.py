@@ -23,8 +23,7 @@ def split_pick(col, k: int, sep: str = ",") -> Column:
     Quotes are not honoured: ``"Adams County, Ohio"`` becomes two fields,
     exactly as a naive split does. Missing positions give NULL.
     """
-    pattern = sep if sep != "|" else r"\|"
-    return F.get(F.split(as_col(col), pattern, -1), k)
+    return F.get(F.split(as_col(col), _regex_escape(sep), -1), k)
 
 
 def split_quoted(col, keep_trailing_empty: bool = True) -> Column:

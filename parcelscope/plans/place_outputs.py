@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelscope.functions import render_pairs
 from parcelscope.operators.aggregates import nest_histogram
 from parcelscope.operators.reshape import render_record
 from parcelscope.plans import place_run as R
@@ -76,8 +77,6 @@ def write_place_outputs(spark: SparkSession, root: str, place: P.PlaceSpec, out_
                                  [(c, F.col(c)) for c in vals])
             line = F.concat(line, F.lit(")"))
         else:
-            body = F.concat_ws("", *[F.concat(F.lit(f"{c}:"), F.coalesce(F.col(c).cast("string"), F.lit("null")))
-                                     for c in vals])
-            line = _pair(F.col("county"), body)
+            line = _pair(F.col("county"), render_pairs([(c, F.col(c)) for c in vals]))
         paths[name] = _lines(m, "county", line, f"{base}/{name}", mode)
     return paths

@@ -71,18 +71,6 @@ def parcel_counts(spark: SparkSession, d: str, words=None, by: list[str] | None
             .select(*by, "state", "county", "label", F.col("n").cast("long").alias("n")))
 
 
-def parcel_rows(spark: SparkSession, d: str) -> DataFrame:
-    """One row per parcel (lineitem): (l_returnflag, state, county, label)."""
-    li = table(spark, d, "lineitem", "l_partkey", "l_suppkey", "l_returnflag")
-    s = table(spark, d, "supplier", "s_suppkey", "s_nationkey")
-    g = geo(spark, d)
-    lab = part_labels(spark, d)
-    return (li.join(s, li.l_suppkey == s.s_suppkey)
-            .join(g, F.col("s_nationkey") == g.n_nationkey)
-            .join(lab, li.l_partkey == lab.p_partkey)
-            .select("l_returnflag", "state", "county", "label"))
-
-
 def customer_geo(spark: SparkSession, d: str, *cols: str) -> DataFrame:
     """Customers with their (state, county)."""
     c = table(spark, d, "customer", "c_custkey", "c_nationkey", *cols)
