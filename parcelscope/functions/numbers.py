@@ -106,3 +106,19 @@ def housing_mix(total, single) -> dict[str, Column]:
 def mode_shares(total, parts: dict[str, object]) -> dict[str, Column]:
     """Each commute mode as a share of the total (missing total -> 1)."""
     return {name: share_with_guard(c, total) for name, c in parts.items()}
+
+
+def money_cents(col) -> Column:
+    """A 2-decimal money value as exact integer cents."""
+    return F.round(as_col(col).cast("double") * 100).cast("long")
+
+
+def money_sum(col) -> Column:
+    """Aggregate: exact sum of a 2-decimal money column (integer cents), as double."""
+    return F.sum(money_cents(col)).cast("double") / F.lit(100.0)
+
+
+def money_avg(col) -> Column:
+    """Aggregate: average of a 2-decimal money column from the exact cent sum,
+    so the result does not depend on the order rows are added in."""
+    return F.sum(money_cents(col)).cast("double") / F.count(as_col(col)).cast("double") / F.lit(100.0)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelscope.functions.numbers import housing_mix, ratio
+from parcelscope.functions.numbers import housing_mix, money_avg, money_cents, ratio
 from parcelscope.operators.joins import assemble
 from parcelscope.operators.ordering import exact_quantiles
 from parcelscope.plans import standin_data as sd
@@ -47,21 +47,22 @@ def occupancy(spark: SparkSession, d: str) -> DataFrame:
         F.count(F.lit(1)).alias("total"),
         F.count_if(F.col("o_orderstatus") == "F").alias("occupied"),
         F.count_if(F.col("o_orderstatus") == "O").alias("vacant"),
-        F.sum("o_totalprice").alias("price"))
+        F.sum(money_cents("o_totalprice")).alias("cents"))
     c = sd.customer_geo(spark, d)
     j = per_cust.join(c, per_cust.o_custkey == c.c_custkey)
     agg = j.groupBy(*KEY).agg(
         F.sum("total").alias("total"), F.sum("occupied").alias("occupied"),
-        F.sum("vacant").alias("vacant"), F.sum("price").alias("price"))
+        F.sum("vacant").alias("vacant"), F.sum("cents").alias("cents"))
     return agg.select(*KEY, ratio("occupied", "total").alias("occupied_share"),
                       ratio("vacant", "total").alias("vacant_share"),
-                      (F.col("price") / F.col("total")).alias("avg_order_price"))
+                      (F.col("cents").cast("double") / F.col("total").cast("double") / F.lit(100.0))
+                      .alias("avg_order_price"))
 
 
 def customer_mix(spark: SparkSession, d: str) -> DataFrame:
     c = sd.customer_geo(spark, d, "c_acctbal", "c_mktsegment")
     return c.groupBy(*KEY).agg(
-        F.avg("c_acctbal").alias("mean_acctbal"),
+        money_avg("c_acctbal").alias("mean_acctbal"),
         (F.lit(100.0) * F.avg(F.when(F.col("c_mktsegment") == "AUTOMOBILE", 1.0).otherwise(0.0))).alias("automobile_pct"),
         (F.lit(100.0) * F.avg(F.when(F.col("c_mktsegment") == "BUILDING", 1.0).otherwise(0.0))).alias("building_pct"))
 
@@ -75,7 +76,7 @@ def supplier_health(spark: SparkSession, d: str, cut: float = HEALTH_CUT) -> Dat
     s = sd.table(spark, d, "supplier", "s_nationkey", "s_acctbal").filter(F.col("s_acctbal") > cut)
     g = sd.geo(spark, d)
     return (s.join(g, s.s_nationkey == g.n_nationkey)
-            .groupBy(*KEY).agg(F.avg("s_acctbal").alias("supplier_health")))
+            .groupBy(*KEY).agg(money_avg("s_acctbal").alias("supplier_health")))
 
 
 def county_features(spark: SparkSession, d: str, zero_fill: bool = True) -> DataFrame:

@@ -6,6 +6,15 @@ conversations. Doubles are rounded like the Spark side.
 
 from __future__ import annotations
 
+def money_avg(c: str) -> str:
+    """Average of a 2-decimal money column from exact integer cents."""
+    return f"(sum(round({c} * 100)::BIGINT)::DOUBLE / count({c})::DOUBLE / 100.0)"
+
+
+def money_sum(c: str) -> str:
+    return f"(sum(round({c} * 100)::BIGINT)::DOUBLE / 100.0)"
+
+
 GEO = """geo AS (
   SELECT n.n_nationkey, lower(r.r_name) AS state, lower(n.n_name) AS county
   FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey)"""
@@ -49,19 +58,19 @@ occ AS (
   SELECT state, county,
          count(*) FILTER (WHERE o_orderstatus = 'F')::DOUBLE / count(*) AS occupied_share,
          count(*) FILTER (WHERE o_orderstatus = 'O')::DOUBLE / count(*) AS vacant_share,
-         avg(o_totalprice) AS avg_order_price
+         sum(round(o_totalprice * 100)::BIGINT)::DOUBLE / count(*)::DOUBLE / 100.0 AS avg_order_price
   FROM og GROUP BY ALL),
 cg AS (
   SELECT g.state, g.county, c.c_acctbal, c.c_mktsegment
   FROM customer c JOIN geo g ON c.c_nationkey = g.n_nationkey),
 cm AS (
-  SELECT state, county, avg(c_acctbal) AS mean_acctbal,
+  SELECT state, county, {money_avg("c_acctbal")} AS mean_acctbal,
          quantile_cont(c_acctbal, 0.5) AS median_acctbal,
          100.0 * avg(CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 1.0 ELSE 0.0 END) AS automobile_pct,
          100.0 * avg(CASE WHEN c_mktsegment = 'BUILDING' THEN 1.0 ELSE 0.0 END) AS building_pct
   FROM cg GROUP BY ALL),
 sh AS (
-  SELECT g.state, g.county, avg(s.s_acctbal) AS supplier_health
+  SELECT g.state, g.county, {money_avg("s.s_acctbal")} AS supplier_health
   FROM supplier s JOIN geo g ON s.s_nationkey = g.n_nationkey
   WHERE s.s_acctbal > 5000.0 GROUP BY ALL),
 ft AS (
