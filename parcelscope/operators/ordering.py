@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelscope.functions._util import as_col
 
@@ -100,8 +101,10 @@ def exact_quantiles(df: DataFrame, value_col: str, qs: list[float],
     keys = [F.col(c) for c in g] + [F.col("_v")]
     s = (dv.repartitionByRange(*keys).sortWithinPartitions(*keys)
          .withColumn("_pid", F.spark_partition_id()))
-    local = Window.partitionBy(*g, "_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    s = s.withColumn("_local", F.coalesce(F.sum("_c").over(local), F.lit(0)))
+    # rows of the same group before each value inside its range partition: a
+    # running sum over the already sorted partition (no re-shuffle)
+    schema = T.StructType(s.schema.fields + [T.StructField("_local", T.LongType(), False)])
+    s = s.mapInPandas(_running_before(g), schema)
     part = s.groupBy(*g, "_pid").agg(F.sum("_c").alias("_n"))
     earlier = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     part = (part.withColumn("_pbefore", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
@@ -125,3 +128,24 @@ def exact_quantiles(df: DataFrame, value_col: str, qs: list[float],
         aggs.append((v_lo + frac * (v_hi - v_lo)).alias(name))
     out = ranked.filter(wanted).groupBy(*g).agg(*aggs)
     return out.drop("_g") if ungrouped else out
+
+
+def _running_before(group_cols: list[str]):
+    """Per partition (rows sorted by group, then value): for each row, the
+    ``_c`` total of the earlier rows of its group in this partition. Runs on
+    Arrow batches; the running totals carry over from batch to batch."""
+    def run(batches):
+        carry: dict = {}
+        for pdf in batches:
+            if pdf.empty:
+                yield pdf.assign(_local=pdf["_c"].astype("int64"))
+                continue
+            key = (pdf[group_cols[0]] if len(group_cols) == 1
+                   else pdf[group_cols].apply(tuple, axis=1))
+            excl = pdf.groupby(key, sort=False)["_c"].cumsum() - pdf["_c"]
+            offset = key.map(lambda k: carry.get(k, 0))
+            pdf = pdf.assign(_local=(excl + offset).astype("int64"))
+            for k, tot in pdf.groupby(key, sort=False)["_c"].sum().items():
+                carry[k] = carry.get(k, 0) + int(tot)
+            yield pdf
+    return run
