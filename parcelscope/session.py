@@ -53,7 +53,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached without cluster configuration (local tests).
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: scratch data and lineage cuts "
+                               "need a folder every executor can reach (e.g. on HDFS or S3)")
+        # local mode only (tests, benchmarks): one machine, a private folder is shared
         configured = tempfile.mkdtemp(prefix="parcelscope-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -92,3 +92,10 @@ def test_sinks_round_trip_and_report(spark, tmpdir_path):
     out = sinks.write_report(rep, os.path.join(tmpdir_path, "report"))
     lines = [r.value for r in spark.read.text(out).collect()]
     assert lines == ["Count of all residential", "apt: 1", "house: 2", "Total: 3"]
+
+
+def test_scratch_paths_live_under_the_checkpoint_dir(spark):
+    from parcelscope.session import ensure_checkpoint_dir, scratch_path
+    base = ensure_checkpoint_dir(spark)
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a != b and a.startswith(base.rstrip("/")) and b.startswith(base.rstrip("/"))
