@@ -47,7 +47,8 @@ def part_labels(spark: SparkSession, d: str, words=None) -> DataFrame:
     return out.filter(flt.keyword_any("label", words)) if words else out
 
 
-def parcel_counts(spark: SparkSession, d: str, words=None, by: list[str] | None = None) -> DataFrame:
+def parcel_counts(spark: SparkSession, d: str, words=None, by: list[str] | None = None,
+                  by_nation_key: bool = False) -> DataFrame:
     """Parcels counted per ([by...], state, county, label): (..., n).
 
     ``by`` are extra lineitem columns kept as keys (e.g. ``l_returnflag``).
@@ -56,6 +57,8 @@ def parcel_counts(spark: SparkSession, d: str, words=None, by: list[str] | None
     nation, part), then per (by, nation, label), so the joins with
     ``supplier``, ``part`` and the county spine see pre-aggregated rows, not
     lineitems. A residential word list filters ``part`` before its join.
+    ``by_nation_key`` returns the nation key ``nk`` instead of joining the
+    county spine (for callers that attach it once, at the end).
     """
     by = list(by or [])
     li = table(spark, d, "lineitem", "l_partkey", "l_suppkey", *by)
@@ -66,6 +69,9 @@ def parcel_counts(spark: SparkSession, d: str, words=None, by: list[str] | None
     labels = part_labels(spark, d, words)
     per_label = (per_part.join(labels, per_part.l_partkey == labels.p_partkey)
                  .groupBy(*by, "s_nationkey", "label").agg(F.sum("n").alias("n")))
+    if by_nation_key:
+        return per_label.select(*by, F.col("s_nationkey").alias("nk"), "label",
+                                F.col("n").cast("long").alias("n"))
     g = geo(spark, d)
     return (per_label.join(g, per_label.s_nationkey == g.n_nationkey)
             .select(*by, "state", "county", "label", F.col("n").cast("long").alias("n")))
