@@ -207,7 +207,7 @@ def parse_result_lines(spark, d):
 def record_block_pivot(spark, d):
     n = T_(spark, d, "nation", "n_nationkey", "n_name")
     c = T_(spark, d, "customer", "c_nationkey", "c_acctbal")
-    per = c.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("c_acctbal"), 2).alias("s"),
+    per = c.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"), fn.money_sum("c_acctbal").alias("s"),
                                        F.min("c_acctbal").alias("lo"), F.max("c_acctbal").alias("hi"))
     j = n.join(per, n.n_nationkey == per.c_nationkey, "left")
     fields = ["n_name", "n_customers", "sum_acctbal", "min_acctbal", "max_acctbal"]
@@ -239,7 +239,7 @@ def sink_round_trip(spark, d):
 def sink_single_file(spark, d):
     c = T_(spark, d, "customer", "c_nationkey", "c_acctbal")
     per = c.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"),
-                                       F.round(F.sum("c_acctbal"), 2).alias("total_acctbal"))
+                                       fn.money_sum("c_acctbal").alias("total_acctbal"))
     path = sinks.write_single_file(per, scratch_path(spark, "nation-summary"), "csv")
     schema = "c_nationkey int, n long, total_acctbal double"
     return spark.read.schema(schema).option("header", True).csv(path)
@@ -268,13 +268,13 @@ def count_report_with_total(spark, d):
 # -------------------------------------------------------------- projections
 
 
-def _part_line(p):
+def _part_line():
     return F.concat_ws(",", *[F.col(c).cast("string") for c in PART_COLS])
 
 
 @query("split_pick")
 def split_pick(spark, d):
-    p = T_(spark, d, "part", *PART_COLS).select(_part_line(None).alias("line"))
+    p = T_(spark, d, "part", *PART_COLS).select(_part_line().alias("line"))
     return p.select(fn.split_pick("line", 0).cast("long").alias("p_partkey"),
                     fn.split_pick("line", 1).alias("p_name"),
                     fn.split_pick("line", 4).cast("int").alias("p_size"))
@@ -423,8 +423,8 @@ def single_measure(spark, d):
 def quality_array(spark, d):
     c = T_(spark, d, "customer", "c_nationkey", "c_acctbal")
     a = c.groupBy("c_nationkey").agg(F.array(
-        F.count(F.lit(1)).cast("double"), F.avg("c_acctbal"), F.min("c_acctbal"),
-        F.max("c_acctbal"), F.sum("c_acctbal")).alias("q"))
+        F.count(F.lit(1)).cast("double"), fn.money_avg("c_acctbal"), F.min("c_acctbal"),
+        F.max("c_acctbal"), fn.money_sum("c_acctbal")).alias("q"))
     names = ["n_customers", "avg_acctbal", "min_acctbal", "max_acctbal", "sum_acctbal"]
     return rounded(a.select("c_nationkey", *[fn.pick("q", i).alias(nm) for i, nm in enumerate(names)]))
 

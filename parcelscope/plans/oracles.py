@@ -230,15 +230,15 @@ ORACLES: dict[str, str] = {
       SELECT n.n_name, count(*) AS total, count(*) FILTER (WHERE o.o_orderstatus = 'O') AS open
       FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
       GROUP BY n.n_name""",
-    "record_block_pivot": """
-      WITH per AS (SELECT c_nationkey, count(*) AS n, round(sum(c_acctbal), 2) AS s,
+    "record_block_pivot": f"""
+      WITH per AS (SELECT c_nationkey, count(*) AS n, {money_sum("c_acctbal")} AS s,
                           min(c_acctbal) AS lo, max(c_acctbal) AS hi FROM customer GROUP BY c_nationkey)
       SELECT cast(row_number() OVER (ORDER BY n.n_nationkey) - 1 AS BIGINT) AS record, n.n_name,
              per.n AS n_customers, per.s AS sum_acctbal, per.lo AS min_acctbal, per.hi AS max_acctbal
       FROM nation n LEFT JOIN per ON n.n_nationkey = per.c_nationkey""",
     "sink_round_trip": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
-    "sink_single_file": """
-      SELECT c_nationkey, count(*) AS n, round(sum(c_acctbal), 2) AS total_acctbal
+    "sink_single_file": f"""
+      SELECT c_nationkey, count(*) AS n, {money_sum("c_acctbal")} AS total_acctbal
       FROM customer GROUP BY c_nationkey""",
     "sink_csv_header": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "count_report_with_total": """
@@ -289,9 +289,9 @@ ORACLES: dict[str, str] = {
       SELECT c_nationkey, {_r("quantile_cont(c_acctbal, 0.5)", "median_acctbal")}
       FROM customer GROUP BY c_nationkey""",
     "quality_array": f"""
-      SELECT c_nationkey, {_r("count(*)", "n_customers")}, {_r("avg(c_acctbal)", "avg_acctbal")},
+      SELECT c_nationkey, {_r("count(*)", "n_customers")}, {_r(money_avg("c_acctbal"), "avg_acctbal")},
         {_r("min(c_acctbal)", "min_acctbal")}, {_r("max(c_acctbal)", "max_acctbal")},
-        {_r("sum(c_acctbal)", "sum_acctbal")}
+        {_r(money_sum("c_acctbal"), "sum_acctbal")}
       FROM customer GROUP BY c_nationkey""",
     "strip_suffix": """
       SELECT c.c_custkey, lower(n.n_name) AS county FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey""",
