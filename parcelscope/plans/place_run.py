@@ -140,7 +140,8 @@ def read_census(spark: SparkSession, path: str, positions: dict[str, int],
     (name, <positions>) columns, all as text. Only the needed columns are
     parsed (CSV column pruning)."""
     n = max([P.CENSUS_NAME_POS, *positions.values()]) + 1
-    raw = spark.read.schema(files.string_schema(n)).option("header", False).csv(path)
+    raw = (spark.read.schema(files.string_schema(n)).option("header", False)
+           .option("quote", '"').option("escape", '"').csv(path))
     if rows is not None:
         raw = files.row_range_slice(raw, rows[0], rows[1], per_file=True)
     else:
