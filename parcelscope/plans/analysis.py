@@ -31,6 +31,11 @@ def analyze(spark: SparkSession, table: DataFrame, key: list[str], features: lis
       1000-point grid (M6).
     """
     t = table.filter(flt.threshold(total, ">", min_total))
+    # one row per county: a small table, so its size is cheap to know; k-means
+    # cannot ask for more clusters than rows
+    n_rows = t.count()
+    ks = [x for x in ks if x <= n_rows]
+    k = min(k, max(n_rows, 1))
     out: dict[str, DataFrame] = {}
     long_df = reshape.unpivot(t, key, features)
     out["summary"] = agg.describe_nonzero(long_df)
@@ -38,7 +43,10 @@ def analyze(spark: SparkSession, table: DataFrame, key: list[str], features: lis
     out["top_multi"] = reshape.top_k(t, multi_share, 5, key)
     out["scaled"] = stats.zscore(t, features, keep=key)
     out["elbow"] = cluster.kmeans_elbow(spark, t, features, ks=ks, restarts=restarts)
-    out["clusters"] = cluster.kmeans_assign(t, key, features, k=k, restarts=restarts)
+    if k >= 2:
+        out["clusters"] = cluster.kmeans_assign(t, key, features, k=k, restarts=restarts)
+    else:  # a single row or cluster: everything is cluster 0
+        out["clusters"] = t.select(*key, F.lit(0).alias("cluster"))
     others = [f for f in features if f != share]
     pairs = stats.share_vs_feature(t, key, share, others, min_share=min_share)
     out["pairs"] = pairs.join(out["clusters"], key, "left")

@@ -221,3 +221,16 @@ def test_write_outputs_and_read_back(spark, root, tmp_path):
     assert first.key == "(adams," and first.crime == "\tcrime_rate:11.0"
     assert first.cost == "\tcostOfLiving:60510.05" and first.health == "\tmentalHealth:5.8)"
     assert second.key == "(van wert," and second.health == "\tmentalHealth:null)"
+
+
+def test_cli_place_and_analysis(spark, root, tmp_path):
+    from parcelscope import cli
+    out = str(tmp_path / "cli")
+    assert cli.main(["place", "detroit", "--root", root, "--out", f"{out}/detroit"]) == 0
+    # title, 4 labels (one holds a newline, so it spans two lines) and the total
+    assert spark.read.text(f"{out}/detroit/countOfAllResidentialInDetroit").count() == 7
+    assert cli.main(["analysis", "--root", root, "--out", f"{out}/analysis", "--places", "ohio,detroit"]) == 0
+    stats = spark.read.option("header", True).csv(f"{out}/analysis/allStats")
+    assert stats.count() == 3 and len(stats.columns) == 25
+    assert spark.read.parquet(f"{out}/analysis/summary").count() > 0
+    assert spark.read.parquet(f"{out}/analysis/clusters").count() == 3
