@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from parcelscope.operators import aggregates as agg
 from parcelscope.operators import cluster, reshape, stats
 from parcelscope.operators import filters as flt
+from parcelscope.session import ensure_checkpoint_dir
 
 
 def analyze(spark: SparkSession, table: DataFrame, key: list[str], features: list[str],
@@ -30,9 +31,13 @@ def analyze(spark: SparkSession, table: DataFrame, key: list[str], features: lis
       ``best``: polynomial degrees 1-4 (M5); ``curves``: the best fit on a
       1000-point grid (M6).
     """
-    t = table.filter(flt.threshold(total, ">", min_total))
-    # one row per county: a small table, so its size is cheap to know; k-means
-    # cannot ask for more clusters than rows
+    # Every result below is its own action. The table has one row per county,
+    # so it is written once to the shared checkpoint directory (an eager
+    # checkpoint): the analyses read it instead of recomputing it from the
+    # parcel and census inputs ten times, and its lineage is cut.
+    ensure_checkpoint_dir(spark)
+    t = table.filter(flt.threshold(total, ">", min_total)).checkpoint(eager=True)
+    # k-means cannot ask for more clusters than rows
     n_rows = t.count()
     ks = [x for x in ks if x <= n_rows]
     k = min(k, max(n_rows, 1))
