@@ -57,12 +57,23 @@ def indexed_sort(df: DataFrame, order_by: list, group_by: list[str] | None = Non
         whole = Window.partitionBy(*group_by) if group_by else Window.partitionBy()
         counts = counts.withColumn(size_col, F.sum("_n").over(whole))
         extra = [size_col]
-    out = s.join(counts.select(*group_by, "_pid", "_first", "_before", *extra),
-                 on=[*group_by, "_pid"], how="inner")
+    out = _join_null_safe(s, counts.select(*group_by, "_pid", "_first", "_before", *extra),
+                          [*group_by, "_pid"])
     out = out.withColumn(index_col, (F.col("_before") + F.col("_pos") - F.col("_first")).cast("long"))
     return out.drop("_pid", "_pos", "_first", "_before", "_tb")
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner equi-join on ``keys`` where NULL matches NULL (a NULL group is a
+    group, as in SQL GROUP BY); the right side's key columns are dropped."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[f"_r_{k}"])
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, "inner").drop(*[f"_r_{k}" for k in keys])
+
+
 def with_group_sizes(df: DataFrame, group_by: list[str], size_col: str = "_size") -> DataFrame:
     """Attach the row count of each group (a partial aggregate joined back)."""
     sizes = df.groupBy(*group_by).agg(F.count(F.lit(1)).alias(size_col))
@@ -109,7 +120,7 @@ def exact_quantiles(df: DataFrame, value_col: str, qs: list[float],
     earlier = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     part = (part.withColumn("_pbefore", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
             .withColumn("_size", F.sum("_n").over(Window.partitionBy(*g))))
-    ranked = s.join(part.select(*g, "_pid", "_pbefore", "_size"), on=[*g, "_pid"])
+    ranked = _join_null_safe(s, part.select(*g, "_pid", "_pbefore", "_size"), [*g, "_pid"])
     ranked = ranked.withColumn("_lo_r", F.col("_pbefore") + F.col("_local")) \
         .withColumn("_hi_r", F.col("_lo_r") + F.col("_c") - 1)
 
@@ -130,22 +141,27 @@ def exact_quantiles(df: DataFrame, value_col: str, qs: list[float],
     return out.drop("_g") if ungrouped else out
 
 
+_NULL = "\x00<null>"
+
+
 def _running_before(group_cols: list[str]):
     """Per partition (rows sorted by group, then value): for each row, the
     ``_c`` total of the earlier rows of its group in this partition. Runs on
     Arrow batches; the running totals carry over from batch to batch."""
     def run(batches):
+        import pandas as pd
         carry: dict = {}
         for pdf in batches:
             if pdf.empty:
                 yield pdf.assign(_local=pdf["_c"].astype("int64"))
                 continue
-            key = (pdf[group_cols[0]] if len(group_cols) == 1
-                   else pdf[group_cols].apply(tuple, axis=1))
-            excl = pdf.groupby(key, sort=False)["_c"].cumsum() - pdf["_c"]
+            # NULL group keys form a group of their own (one sentinel for None/NaN)
+            cols = [pdf[c].astype(object).where(pdf[c].notna(), _NULL) for c in group_cols]
+            key = cols[0] if len(cols) == 1 else pd.Series(list(zip(*cols)), index=pdf.index)
+            excl = pdf["_c"].groupby(key, sort=False).cumsum() - pdf["_c"]
             offset = key.map(lambda k: carry.get(k, 0))
             pdf = pdf.assign(_local=(excl + offset).astype("int64"))
-            for k, tot in pdf.groupby(key, sort=False)["_c"].sum().items():
+            for k, tot in pdf["_c"].groupby(key, sort=False).sum().items():
                 carry[k] = carry.get(k, 0) + int(tot)
             yield pdf
     return run

@@ -221,3 +221,16 @@ def test_quantiles_with_one_hot_value(spark):
     ranked = indexed_sort(df, ["v"], index_col="i", num_partitions=6, size_col="n")
     pdf = ranked.toPandas()
     assert sorted(pdf.i) == list(range(1200)) and (pdf.n == 1200).all()
+
+
+def test_quantiles_and_ranks_keep_null_groups(spark):
+    rows = [(None, float(v)) for v in range(5)] + [("a", float(v)) for v in range(10, 13)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r.q50 for r in exact_quantiles(df, "v", [0.5], ["g"]).collect()}
+    assert got == {None: 2.0, "a": 11.0}
+    ranked = indexed_sort(df, ["v"], ["g"], index_col="i").collect()
+    assert sorted(r.i for r in ranked if r.g is None) == [0, 1, 2, 3, 4]
+    rows2 = [(None, 1, float(v)) for v in range(4)] + [("b", None, 9.0)]
+    df2 = spark.createDataFrame(rows2, "g string, h int, v double")
+    got2 = {(r.g, r.h): r.q50 for r in exact_quantiles(df2, "v", [0.5], ["g", "h"]).collect()}
+    assert got2 == {(None, 1): 1.5, ("b", None): 9.0}
