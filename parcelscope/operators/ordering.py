@@ -110,13 +110,15 @@ def exact_quantiles(df: DataFrame, value_col: str, qs: list[float],
     vals = df.select(*g, F.col(value_col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     dv = vals.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c"))
     keys = [F.col(c) for c in g] + [F.col("_v")]
-    s = (dv.repartitionByRange(*keys).sortWithinPartitions(*keys)
-         .withColumn("_pid", F.spark_partition_id()))
+    parted = (dv.repartitionByRange(*keys).sortWithinPartitions(*keys)
+              .withColumn("_pid", F.spark_partition_id()))
     # rows of the same group before each value inside its range partition: a
     # running sum over the already sorted partition (no re-shuffle)
-    schema = T.StructType(s.schema.fields + [T.StructField("_local", T.LongType(), False)])
-    s = s.mapInPandas(_running_before(g), schema)
-    part = s.groupBy(*g, "_pid").agg(F.sum("_c").alias("_n"))
+    schema = T.StructType(parted.schema.fields + [T.StructField("_local", T.LongType(), False)])
+    s = parted.mapInPandas(_running_before(g), schema)
+    # per-(group, partition) totals straight from the partitioned rows (the
+    # Python step runs once; both branches share the range exchange)
+    part = parted.groupBy(*g, "_pid").agg(F.sum("_c").alias("_n"))
     earlier = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     part = (part.withColumn("_pbefore", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
             .withColumn("_size", F.sum("_n").over(Window.partitionBy(*g))))
