@@ -99,3 +99,20 @@ def test_scratch_paths_live_under_the_checkpoint_dir(spark):
     base = ensure_checkpoint_dir(spark)
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.startswith(base.rstrip("/")) and b.startswith(base.rstrip("/"))
+
+
+def test_report_append_and_text_sink(spark, tmpdir_path):
+    df = spark.createDataFrame([("house",), ("apt",), ("house",)], "label string")
+    rep = sinks.count_report(count_by_value(df, "label"), "label", "n", "Count")
+    out = os.path.join(tmpdir_path, "rep")
+    sinks.write_report(rep, out)                 # default overwrite
+    sinks.write_report(rep, out, mode="append")  # a rerun appends, as the reference's writer did
+    lines = [r.value for r in spark.read.text(out).collect()]
+    assert sorted(lines) == sorted(["Count", "apt: 1", "house: 2", "Total: 3"] * 2)
+    t = sinks.write_text(df, os.path.join(tmpdir_path, "txt"))
+    assert sorted(r.value for r in spark.read.text(t).collect()) == ["apt", "house", "house"]
+    try:
+        sinks.write_text(df, t)  # errorifexists by default
+        raise AssertionError("expected the second write to fail")
+    except Exception as e:  # noqa: BLE001
+        assert "already exists" in str(e).lower() or "PATH_ALREADY_EXISTS" in str(e)
