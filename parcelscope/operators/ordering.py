@@ -74,12 +74,6 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
     return left.join(r, cond, "inner").drop(*[f"_r_{k}" for k in keys])
 
 
-def with_group_sizes(df: DataFrame, group_by: list[str], size_col: str = "_size") -> DataFrame:
-    """Attach the row count of each group (a partial aggregate joined back)."""
-    sizes = df.groupBy(*group_by).agg(F.count(F.lit(1)).alias(size_col))
-    return df.join(sizes, on=group_by, how="inner")
-
-
 def exact_quantiles(df: DataFrame, value_col: str, qs: list[float],
                     group_by: list[str] | None = None,
                     names: list[str] | None = None) -> DataFrame:
