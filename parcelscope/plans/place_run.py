@@ -214,12 +214,15 @@ def quality_of_life(spark: SparkSession, root: str, place: P.PlaceSpec) -> DataF
 
 def place_features(spark: SparkSession, root: str, place: P.PlaceSpec,
                    zero_fill: bool = True) -> DataFrame:
-    """J3 for one place: one row per county, the reference's 23 features."""
+    """J3 for one place: one row per county (or city), the reference's 23
+    features, plus ``level``: the geography of the parcel data (the census
+    and quality values of a city come from its county's rows)."""
     mix = housing_mix(spark, root, place)
     measures = census_measures(spark, root, place)
     spine = mix.select(*KEY)
-    return assemble(spine, [mix, *[m.dropDuplicates(KEY) for m in measures]], KEY,
-                    P.FEATURE_COLUMNS, zero_fill=zero_fill)
+    out = assemble(spine, [mix, *[m.dropDuplicates(KEY) for m in measures]], KEY,
+                   P.FEATURE_COLUMNS, zero_fill=zero_fill)
+    return out.select(*KEY, F.lit(place.level).alias("level"), *P.FEATURE_COLUMNS)
 
 
 def feature_table(spark: SparkSession, root: str, names: list[str] | None = None,

@@ -56,6 +56,7 @@ class PlaceSpec:
     nationwide_rows: tuple[int, int] = (0, 0)  # [lo, hi) rows of housing_race/financial
     single_area: bool = False             # one area: every census row belongs to it
     area: str | None = None               # key of the single area
+    level: str = "county"                 # geography of the parcel data: county | city
 
 
 # Census column positions (true CSV positions).
@@ -101,7 +102,8 @@ PLACES: dict[str, PlaceSpec] = {
         name="detroit", directory="Detroit", state="MI", state_name="michigan",
         parcels=(ParcelSource("detroit-parcels.csv", 14, county="detroit"),),
         rule=LabelRule(words=DETROIT_WORDS, single_words=("single family",)),
-        qol_prefix="MIWayne ", nationwide_rows=(7, 8), single_area=True, area="detroit"),
+        qol_prefix="MIWayne ", nationwide_rows=(7, 8), single_area=True, area="detroit",
+        level="city"),
     "placer": PlaceSpec(
         name="placer", directory="Placer", state="CA", state_name="california",
         parcels=(ParcelSource("placer-parcels.csv", 33, county="placer"),),
@@ -119,7 +121,7 @@ PLACES: dict[str, PlaceSpec] = {
         parcels=(ParcelSource("houston-parcels.csv", 34, county="houston"),),
         rule=LabelRule(words=HOUSTON_WORDS, single_words=("single-family",)),
         qol_prefix="TXHarris ", health_prefix="harris", nationwide_rows=(47, 48),
-        single_area=True, area="houston"),
+        single_area=True, area="houston", level="city"),
 }
 
 

@@ -149,6 +149,7 @@ def test_city_place(spark, root):
     assert len(ft) == 1
     d = ft[0]
     assert (d.state, d.county, d.all_residential, d.sf_residential) == ("michigan", "detroit", 4, 1)
+    assert d.level == "city"
     assert d.commute_time_in_mins == 52.3 and abs(d.percentage_public - 0.046) < 1e-12
     assert (d.crime_rate, d.white_percent, d.median_income) == (42.0, 52.4, 55867.0)
     assert d.mentalHealth == 0.0
@@ -231,6 +232,7 @@ def test_cli_place_and_analysis(spark, root, tmp_path):
     assert spark.read.text(f"{out}/detroit/countOfAllResidentialInDetroit").count() == 7
     assert cli.main(["analysis", "--root", root, "--out", f"{out}/analysis", "--places", "ohio,detroit"]) == 0
     stats = spark.read.option("header", True).csv(f"{out}/analysis/allStats")
-    assert stats.count() == 3 and len(stats.columns) == 25
+    assert stats.count() == 3 and len(stats.columns) == 26
+    assert {r.level for r in stats.select("level").collect()} == {"county", "city"}
     assert spark.read.parquet(f"{out}/analysis/summary").count() > 0
     assert spark.read.parquet(f"{out}/analysis/clusters").count() == 3
