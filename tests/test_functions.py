@@ -91,3 +91,11 @@ def test_housing_mix(spark):
     rows = df.select(m["multi"], m["single_share"], m["multi_share"]).collect()
     assert tuple(rows[0]) == (3, 0.7, 0.3)
     assert tuple(rows[1]) == (0, None, None)
+
+
+def test_strict_parse_throws_like_the_reference(spark):
+    import pytest
+    df = spark.createDataFrame([("N",)], "v string")
+    with pytest.raises(Exception):
+        df.select(fn.parse_int("v", strict=True)).collect()
+    assert df.select(fn.parse_int("v")).first()[0] is None
