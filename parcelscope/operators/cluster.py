@@ -1,52 +1,182 @@
-"""k-means on Spark ML (M2, M3) and a single Lloyd step as column expressions.
-
-Restarts: Spark's KMeans has no restart count, so each restart is a fit with
-its own seed and the lowest-cost model is kept. The fits are independent
-Spark jobs, so they are submitted from a small thread pool and run
-concurrently on the cluster; the input vectors are cached once for all of
-them.
+"""k-means (M2, M3): batched Lloyd iterations over DataFrames.
+
+The reference fits k = 1..10 with 10 random restarts each (90 models) and
+k = 6 with 10 restarts. Fitting them one by one costs one pass over the data
+per model per iteration. Here every model advances in the *same* pass:
+
+* each point is assigned to its nearest centre under every active model by
+  an Arrow-batched ``mapInPandas`` step (numpy distances per batch; the
+  centres, k x d numbers per model, travel with the function, so there is
+  no join of points with centres), which emits only per-(model, cluster)
+  partial sums;
+* one ``groupBy(model, cluster)`` sum of those gives every new centre; only
+  that small table (sum of k over the models, times d) comes back to the
+  driver;
+* a model stops when no centre moves by eps or more, where eps is
+  scikit-learn's tolerance translated per centre (:func:`spark_tol`), or
+  after ``max_iter`` passes.
+
+So a full elbow is one pass per Lloyd iteration over the points, not one per
+model per iteration. Initial centres are random points (scikit-learn's
+``init="random"``): the first k of the rows ordered by a seeded ``rand``.
+The points are persisted (memory and disk) for the iterations; a lost block
+is recomputed from its lineage.
 """
 
 from __future__ import annotations
 
 import math
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelscope.operators.stats import zscore
-
-
-def _vectors(df: DataFrame, features: list[str], keep: list[str]) -> DataFrame:
-    return VectorAssembler(inputCols=features, outputCol="features").transform(
-        df.select(*keep, *[F.col(f).cast("double").alias(f) for f in features])
-    ).select(*keep, "features")
+from parcelscope.operators.stats import zscore, zscore_params
 
 
 def spark_tol(tol: float, k: int, mean_var: float = 1.0) -> float:
     """Convert a scikit-learn style tolerance (total squared centre shift
-    <= tol * mean feature variance) into Spark's (every centre moves less
-    than eps): eps = sqrt(tol * mean_var / k) stops no earlier than the
+    <= tol * mean feature variance) into a per-centre one (every centre moves
+    less than eps): eps = sqrt(tol * mean_var / k) stops no earlier than the
     scikit-learn rule would."""
     return math.sqrt(tol * mean_var / max(k, 1))
 
 
-def _fit(vec: DataFrame, k: int, seed: int, max_iter: int, tol: float) -> KMeansModel:
-    km = KMeans(k=k, seed=seed, initMode="random", maxIter=max_iter, tol=spark_tol(tol, k),
-                featuresCol="features", predictionCol="cluster")
-    return km.fit(vec)
+def _sqdist(features: list[str], centre: list[float]) -> Column:
+    d = F.lit(0.0)
+    for f, v in zip(features, centre):
+        diff = F.col(f) - F.lit(float(v))
+        d = d + diff * diff
+    return d
 
 
-def best_of_restarts(vec: DataFrame, k: int, seeds: list[int], max_iter: int = 300,
-                     tol: float = 1e-4, threads: int = 10) -> KMeansModel:
-    """Fit once per seed (concurrently); keep the model with the lowest SSE."""
-    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(seeds)))) as pool:
-        models = list(pool.map(lambda s: _fit(vec, k, s, max_iter, tol), seeds))
-    return min(models, key=lambda m: m.summary.trainingCost)
+def _nearest(features: list[str], centres: list[list[float]]) -> Column:
+    """struct(d, j): squared distance to, and index of, the nearest centre
+    (lowest index on ties)."""
+    dists = [F.struct(_sqdist(features, c).alias("d"), F.lit(j).alias("j")) for j, c in enumerate(centres)]
+    return dists[0] if len(dists) == 1 else F.least(*dists)
+
+
+def nearest_centre(features: list[str], centres: list[list[float]]) -> Column:
+    """Index of the nearest centre (squared Euclidean), lowest index on ties."""
+    return _nearest(features, centres)["j"]
+
+
+def lloyd_step(df: DataFrame, features: list[str], centres: list[list[float]]) -> DataFrame:
+    """One k-means iteration from fixed centres: assign, then average.
+
+    Rows: (cluster, n, <feature means>). Centres are k x d literals, so no
+    join of points with centres is needed.
+    """
+    assigned = df.withColumn("cluster", nearest_centre(features, centres))
+    return assigned.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("n"), *[F.avg(f).alias(f) for f in features])
+
+
+def _random_starts(points: DataFrame, features: list[str], seed: int, k: int) -> list[list[float]]:
+    rows = points.select(*features).orderBy(F.rand(seed)).limit(k).collect()
+    return [[float(r[f]) for f in features] for r in rows]
+
+
+def _partial_sums(features: list[str], centres: list[list[list[float]]]):
+    """mapInPandas body: for every model, assign each point of the batch to
+    its nearest centre (lowest index on ties) and emit per-(model, cluster)
+    count, coordinate sums and squared-distance sum. At most sum(k) rows
+    leave each batch."""
+    def run(batches):
+        import numpy as np
+        import pandas as pd
+        cs = [np.asarray(c, dtype="float64") for c in centres]
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            x = pdf[features].to_numpy(dtype="float64")
+            out = []
+            for m, c in enumerate(cs):
+                d2 = ((x[:, None, :] - c[None, :, :]) ** 2).sum(axis=2)
+                lab = d2.argmin(axis=1)
+                k = c.shape[0]
+                n = np.bincount(lab, minlength=k)
+                sums = np.stack([np.bincount(lab, weights=x[:, j], minlength=k)
+                                 for j in range(x.shape[1])], axis=1)
+                sse = np.bincount(lab, weights=d2[np.arange(len(lab)), lab], minlength=k)
+                frame = pd.DataFrame(sums, columns=features)
+                frame.insert(0, "n", n.astype("int64"))
+                frame.insert(0, "cluster", np.arange(k, dtype="int32"))
+                frame.insert(0, "model", np.full(k, m, dtype="int32"))
+                frame["sse"] = sse
+                out.append(frame[n > 0])
+            yield pd.concat(out, ignore_index=True)
+    return run
+
+
+def _pass(points: DataFrame, features: list[str], centres: list[list[list[float]]]) -> list:
+    """One pass: per-(model, cluster) totals of the assignment to ``centres``."""
+    schema = T.StructType([T.StructField("model", T.IntegerType()), T.StructField("cluster", T.IntegerType()),
+                           T.StructField("n", T.LongType())]
+                          + [T.StructField(f, T.DoubleType()) for f in features]
+                          + [T.StructField("sse", T.DoubleType())])
+    part = points.select(*features).mapInPandas(_partial_sums(features, centres), schema)
+    return part.groupBy("model", "cluster").agg(
+        F.sum("n").alias("n"), *[F.sum(f).alias(f) for f in features], F.sum("sse").alias("sse")).collect()
+
+
+def batched_lloyd(points: DataFrame, features: list[str], models: dict, max_iter: int = 300,
+                  tol: float = 1e-4) -> dict:
+    """Run Lloyd's algorithm for many models at once (one pass per iteration).
+
+    ``models`` maps a model id to its starting centres (list of k points).
+    Returns id -> {"centres", "sse", "iterations"}; ``sse`` is the
+    within-cluster sum of squares of the final centres.
+    """
+    state = {m: {"centres": [list(c) for c in cs], "iterations": 0, "done": False}
+             for m, cs in models.items()}
+    for _ in range(max_iter):
+        active = [m for m, s in state.items() if not s["done"]]
+        if not active:
+            break
+        rows = _pass(points, features, [state[m]["centres"] for m in active])
+        new = {m: [list(c) for c in state[m]["centres"]] for m in active}
+        for r in rows:
+            m = active[r["model"]]
+            if r["n"]:  # an empty cluster keeps its centre
+                new[m][r["cluster"]] = [r[f] / r["n"] for f in features]
+        for m in active:
+            old, cur = state[m]["centres"], new[m]
+            shift = max(math.dist(a, b) for a, b in zip(old, cur))
+            state[m]["centres"] = cur
+            state[m]["iterations"] += 1
+            if shift < spark_tol(tol, len(cur)):
+                state[m]["done"] = True
+    ids = list(state)
+    out = {m: {"centres": state[m]["centres"], "iterations": state[m]["iterations"], "sse": 0.0}
+           for m in ids}
+    for r in _pass(points, features, [state[m]["centres"] for m in ids]):
+        out[ids[r["model"]]]["sse"] += float(r["sse"])
+    return out
+
+
+def _scaled(df: DataFrame, features: list[str], keep: list[str], params) -> DataFrame:
+    if params is not None:
+        return zscore(df, features, keep=keep, params=params)
+    return df.select(*keep, *[F.col(f).cast("double").alias(f) for f in features])
+
+
+def _prepare(df: DataFrame, features: list[str], keep: list[str], params) -> DataFrame:
+    return _scaled(df, features, keep, params).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _starts(points: DataFrame, features: list[str], ks, restarts: int, seed: int) -> dict:
+    """(k, restart) -> k random starting points; one small sample per restart
+    (the first k of it for every k)."""
+    kmax = max(ks)
+    models = {}
+    for r in range(restarts):
+        pool = _random_starts(points, features, seed + r, kmax)
+        for k in ks:
+            models[(k, r)] = pool[:k]
+    return models
 
 
 def total_sse(df: DataFrame, features: list[str]) -> float:
@@ -60,75 +190,53 @@ def total_sse(df: DataFrame, features: list[str]) -> float:
 
 def kmeans_elbow(spark: SparkSession, df: DataFrame, features: list[str],
                  ks=range(1, 11), restarts: int = 10, seed: int = 1,
-                 max_iter: int = 300, tol: float = 1e-4, threads: int = 8,
-                 scale: bool = True) -> DataFrame:
+                 max_iter: int = 300, tol: float = 1e-4, scale: bool = True) -> DataFrame:
     """M2: within-cluster SSE of the best of ``restarts`` random starts, per k.
 
     ``tol`` follows scikit-learn (see :func:`spark_tol`); the data are
-    z-scored first, so the mean feature variance is 1.
-
-    k=1 has one solution (the mean), whose SSE is the total sum of squares;
-    Spark's KMeans needs k >= 2, so k=1 is that aggregate.
+    z-scored first, so the mean feature variance is 1. k=1 has one solution
+    (the mean), whose SSE is the total sum of squares.
     """
-    data = zscore(df, features, keep=[]) if scale else df.select(*features)
-    vec = _vectors(data, features, []).persist()
-    best: dict[int, float] = {}
+    ks = list(ks)
+    points = _prepare(df, features, [], zscore_params(df, features) if scale else None)
     try:
-        jobs = [(k, seed + r) for k in ks if k >= 2 for r in range(restarts)]
-        with ThreadPoolExecutor(max_workers=threads) as pool:
-            costs = list(pool.map(
-                lambda kr: (kr[0], _fit(vec, kr[0], kr[1], max_iter, tol).summary.trainingCost), jobs))
+        multi = [k for k in ks if k >= 2]
+        res = (batched_lloyd(points, features, _starts(points, features, multi, restarts, seed),
+                             max_iter, tol) if multi else {})
+        best: dict[int, float] = {}
+        for (k, _r), v in res.items():
+            best[k] = min(v["sse"], best.get(k, float("inf")))
         if 1 in ks:
-            costs.append((1, total_sse(data, features)))
+            best[1] = total_sse(points, features)
     finally:
-        vec.unpersist()
-    for k, c in costs:
-        best[k] = min(c, best.get(k, float("inf")))
+        points.unpersist()
     schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("sse", T.DoubleType())])
     return spark.createDataFrame([(int(k), float(v)) for k, v in sorted(best.items())], schema)
 
 
+def fit_best(points: DataFrame, features: list[str], k: int, restarts: int = 10, seed: int = 42,
+             max_iter: int = 300, tol: float = 1e-4) -> dict:
+    """The lowest-SSE model of ``restarts`` random starts (centres, sse)."""
+    res = batched_lloyd(points, features, _starts(points, features, [k], restarts, seed), max_iter, tol)
+    return min(res.values(), key=lambda v: v["sse"])
+
+
 def kmeans_assign(df: DataFrame, id_cols: list[str], features: list[str], k: int = 6,
                   restarts: int = 10, seed: int = 42, max_iter: int = 300, tol: float = 1e-4,
                   scale: bool = True) -> DataFrame:
     """M3: cluster label per row from the best of ``restarts`` fits."""
-    data = zscore(df, features, keep=id_cols) if scale else df.select(*id_cols, *features)
-    vec = _vectors(data, features, id_cols).persist()
+    params = zscore_params(df, features) if scale else None
+    points = _prepare(df, features, id_cols, params)
     try:
-        model = best_of_restarts(vec, k, [seed + r for r in range(restarts)], max_iter, tol)
+        best = fit_best(points, features, k, restarts, seed, max_iter, tol)
     finally:
-        vec.unpersist()
-    # labels are computed from the (uncached) scaled rows by the chosen model
-    return model.transform(_vectors(data, features, id_cols)).select(
-        *id_cols, F.col("cluster").cast("int").alias("cluster"))
+        points.unpersist()
+    # labels from the (uncached) scaled rows, same scaling, chosen centres
+    data = _scaled(df, features, id_cols, params)
+    return data.select(*id_cols, nearest_centre(features, best["centres"]).cast("int").alias("cluster"))
 
 
 def kmeans_cost_k1(df: DataFrame, features: list[str], scale: bool = True) -> float:
     """Within-cluster SSE at k=1 (the total sum of squares)."""
     data = zscore(df, features, keep=[]) if scale else df.select(*features)
     return total_sse(data, features)
-
-
-# ------------------------------------------------------------ Lloyd step
-
-def nearest_centre(features: list[str], centres: list[list[float]]) -> Column:
-    """Index of the nearest centre (squared Euclidean), lowest index on ties."""
-    dists = []
-    for j, c in enumerate(centres):
-        d = F.lit(0.0)
-        for f, v in zip(features, c):
-            diff = F.col(f) - F.lit(float(v))
-            d = d + diff * diff
-        dists.append(F.struct(d.alias("d"), F.lit(j).alias("j")))
-    return F.least(*dists)["j"] if len(dists) > 1 else F.lit(0)
-
-
-def lloyd_step(df: DataFrame, features: list[str], centres: list[list[float]]) -> DataFrame:
-    """One k-means iteration from fixed centres: assign, then average.
-
-    Rows: (cluster, n, <feature means>). Centres are k x d literals, so no
-    join of points with centres is needed.
-    """
-    assigned = df.withColumn("cluster", nearest_centre(features, centres))
-    return assigned.groupBy("cluster").agg(
-        F.count(F.lit(1)).alias("n"), *[F.avg(f).alias(f) for f in features])
