@@ -234,3 +234,34 @@ def test_quantiles_and_ranks_keep_null_groups(spark):
     df2 = spark.createDataFrame(rows2, "g string, h int, v double")
     got2 = {(r.g, r.h): r.q50 for r in exact_quantiles(df2, "v", [0.5], ["g", "h"]).collect()}
     assert got2 == {(None, 1): 1.5, ("b", None): 9.0}
+
+
+def _np_lloyd(x, centres, tol, max_iter=300):
+    c = np.array(centres, dtype=float)
+    it = 0
+    for _ in range(max_iter):
+        lab = ((x[:, None, :] - c[None]) ** 2).sum(-1).argmin(1)
+        new = c.copy()
+        for j in range(len(c)):
+            if (lab == j).any():
+                new[j] = x[lab == j].mean(0)
+        shift = np.sqrt(((new - c) ** 2).sum(1)).max()
+        c, it = new, it + 1
+        if shift < cluster.spark_tol(tol, len(c)):
+            break
+    sse = ((x[:, None, :] - c[None]) ** 2).sum(-1).min(1).sum()
+    return c, it, sse
+
+
+def test_batched_lloyd_matches_numpy(spark):
+    rnd = np.random.default_rng(9)
+    x = np.vstack([rnd.normal(loc=c, scale=0.6, size=(80, 3)) for c in [(0, 0, 0), (3, 1, 0), (0, 4, 2)]])
+    df = spark.createDataFrame(pd.DataFrame(x, columns=["a", "b", "c"])).repartition(3)
+    models = {("k2", 0): x[[0, 100]].tolist(), ("k3", 0): x[[5, 90, 200]].tolist(),
+              ("k3", 1): x[[1, 2, 3]].tolist(), ("k4", 0): x[[10, 20, 30, 40]].tolist()}
+    got = cluster.batched_lloyd(df, ["a", "b", "c"], models, tol=1e-4)
+    for m, starts in models.items():
+        c, it, sse = _np_lloyd(x, starts, 1e-4)
+        assert got[m]["iterations"] == it
+        assert np.allclose(got[m]["centres"], c, atol=1e-9)
+        assert abs(got[m]["sse"] - sse) < 1e-7 * max(1.0, sse)
