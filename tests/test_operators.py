@@ -265,3 +265,34 @@ def test_batched_lloyd_matches_numpy(spark):
         assert got[m]["iterations"] == it
         assert np.allclose(got[m]["centres"], c, atol=1e-9)
         assert abs(got[m]["sse"] - sse) < 1e-7 * max(1.0, sse)
+
+
+def test_quantile_running_sums_carry_across_arrow_batches(spark):
+    rnd = np.random.default_rng(13)
+    g = rnd.choice(["x", "y", None], 900)
+    v = rnd.integers(0, 60, 900).astype(float)  # many repeated values
+    df = spark.createDataFrame(pd.DataFrame({"g": g, "v": v}).astype({"g": object})).repartition(2)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = {r.g: (r.q10, r.q50, r.q90) for r in exact_quantiles(df, "v", [0.1, 0.5, 0.9], ["g"]).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    for key in ["x", "y", None]:
+        vals = v[np.array([k == key for k in g])]
+        assert np.allclose(got[key], np.quantile(vals, [0.1, 0.5, 0.9]))
+
+
+def test_batched_lloyd_with_tiny_arrow_batches(spark):
+    rnd = np.random.default_rng(21)
+    x = rnd.normal(size=(150, 2))
+    df = spark.createDataFrame(pd.DataFrame(x, columns=["a", "b"]))
+    models = {"m": x[[0, 1, 2]].tolist()}
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "11")
+    try:
+        got = cluster.batched_lloyd(df, ["a", "b"], models)["m"]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    c, it, sse = _np_lloyd(x, models["m"], 1e-4)
+    assert got["iterations"] == it and np.allclose(got["centres"], c) and abs(got["sse"] - sse) < 1e-7
