@@ -2,7 +2,9 @@
 
 Each entry takes (spark, sf_dir) and returns a DataFrame; its DuckDB twin is
 in :mod:`parcelscope.plans.oracles` under the same name. Computed doubles are
-rounded to 6 places on both sides so results compare by value.
+rounded to 8 significant digits on both sides (with the same arithmetic), and
+money sums and averages are computed from exact integer cents, so results
+compare by value.
 
 Queries that exercise a source or a sink write their input to a fresh
 directory under the shared checkpoint directory and read it back.

@@ -6,6 +6,7 @@ conversations. Doubles are rounded like the Spark side.
 
 from __future__ import annotations
 
+
 def money_avg(c: str) -> str:
     """Average of a 2-decimal money column from exact integer cents."""
     return f"(sum(round({c} * 100)::BIGINT)::DOUBLE / count({c})::DOUBLE / 100.0)"
