@@ -91,7 +91,10 @@ def first_row(scan: DataFrame):
     if paths:
         try:
             first_path = urlparse(paths[0]).path
-            return (scan.filter(F.col("_metadata.file_path").endswith(first_path)
+            # the whole path must match (any scheme / authority in front of it;
+            # the path itself is quoted literally)
+            exact = r"^([A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?)?\Q" + first_path + r"\E$"
+            return (scan.filter(F.col("_metadata.file_path").rlike(exact)
                                 & (F.col("_metadata.file_block_start") == 0))
                     .first())
         except AnalysisException:

@@ -116,3 +116,14 @@ def test_report_append_and_text_sink(spark, tmpdir_path):
         raise AssertionError("expected the second write to fail")
     except Exception as e:  # noqa: BLE001
         assert "already exists" in str(e).lower() or "PATH_ALREADY_EXISTS" in str(e)
+
+
+def test_first_row_matches_the_whole_path(spark, tmpdir_path):
+    # a second file whose path ends with the first file's path must not be taken
+    a = os.path.join(tmpdir_path, "data", "p.csv")
+    b = os.path.join(tmpdir_path, "z", tmpdir_path.lstrip("/"), "data", "p.csv")
+    write(a, "h1,h2\n1,2\n")
+    write(b, "zz,zz\n3,4\n")
+    df = files.read_csv_multiline(spark, [a, b], 2)
+    assert tuple(files.first_row(df)) == ("h1", "h2")
+    assert sorted(tuple(r) for r in files.drop_header_row(df).collect()) == [("1", "2"), ("3", "4"), ("zz", "zz")]
