@@ -127,3 +127,14 @@ def test_first_row_matches_the_whole_path(spark, tmpdir_path):
     df = files.read_csv_multiline(spark, [a, b], 2)
     assert tuple(files.first_row(df)) == ("h1", "h2")
     assert sorted(tuple(r) for r in files.drop_header_row(df).collect()) == [("1", "2"), ("3", "4"), ("zz", "zz")]
+
+
+def test_catalog_profile_text_and_unknown_format(spark, tmpdir_path):
+    import pytest
+    from parcelscope.sources import catalog
+    d = os.path.join(tmpdir_path, "cat")
+    write(os.path.join(d, "a.txt"), "x\ny\nx\n")
+    prof = catalog.profile(spark, [("lines", d, "value")], fmt="text").collect()
+    assert [(r.dataset, r.n_rows, r.n_keys) for r in prof] == [("lines", 3, 2)]
+    with pytest.raises(ValueError):
+        catalog.load(spark, d, "xml")
