@@ -28,20 +28,23 @@ from .common import bounded_sample, documents
 MAX_SAMPLE = 20_000
 #: Size of the hashed feature space.
 DIM = 1 << 12
-KEEP_AT = 0.5
+#: A document goes only if the scorer is fairly sure: 3 to 1.
+KEEP_AT = 0.25
 
 GOOD, BAD, NONE = 0, 1, 2
-MEASURES = ("symbols", "capitals", "repeats", "marked_words", "bare_signs", "digits", "word_length")
-#: Each labeller votes good up to the first limit, bad from the second on.
-LABELLERS: dict[str, tuple[str, float, float]] = {
-    "symbols": ("symbols", 0.01, 0.06),
-    "capitals": ("capitals", 0.12, 0.5),
-    "repeats": ("repeats", 0.15, 0.5),
-    "marked_words": ("marked_words", 0.05, 0.3),
-    "bare_signs": ("bare_signs", 0.02, 0.2),
-    "digits": ("digits", 0.05, 0.25),
-    "word_length": ("word_length", 9.0, 14.0),
+#: Measures of a text with two limits each: a labeller per measure votes bad from
+#: the second on; one more, for prose, votes good if no measure is over its first.
+MEASURES: dict[str, tuple[float, float]] = {
+    "symbols": (0.01, 0.06),
+    "capitals": (0.12, 0.5),
+    "repeats": (0.15, 0.5),
+    "stutter": (0.05, 0.3),
+    "marked_words": (0.05, 0.3),
+    "bare_signs": (0.02, 0.2),
+    "digits": (0.05, 0.25),
+    "word_length": (9.0, 14.0),
 }
+LABELLERS = (*MEASURES, "prose")
 
 _CLASS = np.full(256, ord("a"), np.uint8)  # bytes of letters beyond ASCII count as small letters
 for _b in range(128):
@@ -76,10 +79,12 @@ def measures(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     if len(g) > 1:
         same[1:] = (g[order][1:] == g[order][:-1]) & (row[order][1:] == row[order][:-1])
     again = np.bincount(row[order][same], minlength=len(words))
+    like = np.flatnonzero((h[1:] == h[:-1]) & (rows[1:] == rows[:-1]))
     out = np.stack([
         _per_text(_SYMBOL[data], offs) / solid,
         caps / np.maximum(small + caps, 1),
         again / np.maximum(words - 2, 1),
+        np.bincount(rows[like], minlength=len(words)) / per_word,
         np.bincount(rows, (at_end == 2) & ~all_signs, len(words)) / per_word,
         np.bincount(rows, all_signs, len(words)) / per_word,
         _per_text(_DIGIT[data], offs) / solid,
@@ -91,10 +96,9 @@ def measures(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def votes(m: np.ndarray, words: np.ndarray) -> np.ndarray:
     """One column per labeller; texts without words get no votes."""
     out = np.full((len(m), len(LABELLERS)), NONE, np.int64)
-    for j, (name, good, bad) in enumerate(LABELLERS.values()):
-        x = m[:, MEASURES.index(name)]
-        out[x <= good, j] = GOOD
-        out[x >= bad, j] = BAD
+    first, second = np.array(list(MEASURES.values())).T
+    out[:, :-1][m >= second] = BAD
+    out[(m <= first).all(axis=1), -1] = GOOD
     out[words == 0] = NONE
     return out
 
@@ -149,12 +153,14 @@ def hashed(data: np.ndarray, offs: np.ndarray, m: np.ndarray) -> tuple[np.ndarra
     row = np.repeat(np.arange(len(words)), words)
     key, n = np.unique(row * DIM + (h % np.uint64(DIM)).astype(np.int64), return_counts=True)
     r, f = key // DIM, key % DIM
-    bins = np.minimum((np.sqrt(np.abs(m[:, :6])) * 20).astype(np.int64), 20)
-    bf = tb.mix((bins + 64 * np.arange(1, 7)).astype(np.uint64)) % np.uint64(DIM)
+    shares = m[:, :-1]
+    k = shares.shape[1]
+    bins = np.minimum((np.sqrt(shares) * 20).astype(np.int64), 20)
+    bf = tb.mix((bins + 64 * np.arange(1, k + 1)).astype(np.uint64)) % np.uint64(DIM)
     full = np.flatnonzero(words > 0)
-    return (np.concatenate([r, np.repeat(full, 6)]),
+    return (np.concatenate([r, np.repeat(full, k)]),
             np.concatenate([f, bf[full].astype(np.int64).ravel()]),
-            np.concatenate([np.sqrt(n / words[r]), np.full(6 * len(full), 0.5)]))
+            np.concatenate([np.sqrt(n / words[r]), np.full(k * len(full), 0.5)]))
 
 
 def fit_scorer(row: np.ndarray, feature: np.ndarray, value: np.ndarray, target: np.ndarray,
