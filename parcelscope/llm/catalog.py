@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import chat, line_templates
 from .common import table
 from .packing import pack
 from .quality import score_quality
@@ -17,6 +18,15 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"))
 
 
+def op2_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_templates.drop_recurring_lines(docs, dropped_col="n_dropped")
+
+
+def op3_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.render_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -31,9 +41,14 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_line_templates": op2_line_templates,
+    "op3_chat_snapshots": op3_chat_snapshots,
     "op5_toxicity": op5_toxicity,
     "op7_secret_scan": op7_secret_scan,
     "op9_packing": op9_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_line_templates": line_templates.SQL,
+    "op3_chat_snapshots": chat.SQL,
+}
