@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import chat, line_templates
 from .common import table
+from .decontaminate import contaminated
 from .packing import pack
 from .quality import score_quality
 from .secret_scan import scan_secrets
@@ -39,6 +40,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_line_templates": op2_line_templates,
@@ -46,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op7_secret_scan": op7_secret_scan,
     "op9_packing": op9_packing,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLES: dict[str, str] = {
