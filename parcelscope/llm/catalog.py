@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import chat, line_templates
 from .common import table
 from .decontaminate import contaminated
+from .hilbert_search import nearest
 from .packing import pack
 from .quality import score_quality
 from .secret_scan import scan_secrets
@@ -32,6 +34,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -49,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_templates": op2_line_templates,
     "op3_chat_snapshots": op3_chat_snapshots,
     "op5_toxicity": op5_toxicity,
+    "op6_hilbert_neighbours": op6_hilbert_neighbours,
     "op7_secret_scan": op7_secret_scan,
     "op9_packing": op9_packing,
     "op10_decontamination": op10_decontamination,
