@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, line_templates
+from . import chat, jaccard_join, line_templates
 from .common import table
 from .decontaminate import contaminated
 from .hilbert_search import nearest
@@ -42,6 +42,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op6_hilbert_neighbours": op6_hilbert_neighbours,
     "op7_secret_scan": op7_secret_scan,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_packing": op9_packing,
     "op10_decontamination": op10_decontamination,
 }
@@ -64,4 +69,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op2_line_templates": line_templates.SQL,
     "op3_chat_snapshots": chat.SQL,
+    "op8_jaccard_join": jaccard_join.SQL,
 }
