@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard_join, line_templates
+from . import chat, jaccard_join, line_templates, surrogates
 from .common import table
 from .decontaminate import contaminated
 from .hilbert_search import nearest
@@ -30,6 +30,11 @@ def op3_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.render_conversations(table(spark, sf_dir, "conversations"))
 
 
+def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replace_personal_data(docs, count_col="n_entities")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_line_templates": op2_line_templates,
     "op3_chat_snapshots": op3_chat_snapshots,
+    "op4_surrogates": op4_surrogates,
     "op5_toxicity": op5_toxicity,
     "op6_hilbert_neighbours": op6_hilbert_neighbours,
     "op7_secret_scan": op7_secret_scan,

@@ -249,3 +249,22 @@ def score_quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return (docs.mapInArrow(_scores(weights), "doc_id long, score double, votes_good long, votes_bad long")
             .select("doc_id", "score", (F.col("score") >= keep_at).cast("int").alias("keep"),
                     "votes_good", "votes_bad"))
+
+
+def _kept(weights: np.ndarray, text_at: int, keep_at: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = _scores(weights)
+        for batch in batches:
+            text = batch.column(text_at).fill_null("")
+            both = pa.RecordBatch.from_arrays([pa.array(np.arange(len(text))), text], names=["doc_id", "text"])
+            for scored in score([both]):
+                good = np.flatnonzero(scored.column(1).to_numpy() >= keep_at)
+                yield batch.take(scored.column(0).take(pa.array(good)))
+    return run
+
+
+def keep_good(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              keep_at: float = KEEP_AT, max_sample: int = MAX_SAMPLE) -> DataFrame:
+    """The rows of ``df`` whose texts score ``keep_at`` or more, in one scan."""
+    weights = learn(documents(df, id_col, text_col), max_sample)
+    return df.mapInArrow(_kept(weights, df.columns.index(text_col), keep_at), df.schema)
