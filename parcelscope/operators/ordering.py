@@ -11,6 +11,11 @@ is sorted locally, and a row's index is
 Only the per-(group, partition) count table (its size is bounded by
 groups x partitions, not by rows) goes through a window; it is joined back to
 the rows on (group, partition).
+
+Range bounds come from a sample, so two range exchanges of the same rows cut
+them differently. The partitioned rows are therefore written once to scratch,
+with their partition and place, and both the counts and the rows are read from
+there.
 """
 
 from __future__ import annotations
@@ -20,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelscope.functions._util import as_col
+from parcelscope.session import materialise
 
 # monotonically_increasing_id() = (partition id << 33) + position in partition.
 _POS_MASK = (1 << 33) - 1
@@ -43,9 +49,10 @@ def indexed_sort(df: DataFrame, order_by: list, group_by: list[str] | None = Non
     keys = [F.col(g) for g in group_by] + orders + [F.col("_tb")]
     parted = (df.repartitionByRange(num_partitions, *keys) if num_partitions
               else df.repartitionByRange(*keys))
-    s = (parted.sortWithinPartitions(*keys)
-         .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK))))
+    s = materialise(parted.sortWithinPartitions(*keys)
+                    .withColumn("_pid", F.spark_partition_id())
+                    .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK))),
+                    "indexed-sort")
     counts = s.groupBy(*group_by, "_pid").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
     w = (Window.partitionBy(*group_by) if group_by else Window.partitionBy()).orderBy("_pid")
@@ -88,7 +95,7 @@ def exact_quantiles(df: DataFrame, value_col: str, qs: list[float],
        keys, so partitions stay balanced and deterministic) and each gets the
        number of rows before it: a running sum inside its range partition
        plus the rows of its group in earlier partitions (a small
-       per-(group, partition) table);
+       per-(group, partition) table made from the same written rows);
     3. value v covers ranks [before, before + count); only the values holding
        the (at most 2 x len(qs)) bracketing ranks are kept and combined by a
        grouped aggregate.
@@ -109,10 +116,8 @@ def exact_quantiles(df: DataFrame, value_col: str, qs: list[float],
     # rows of the same group before each value inside its range partition: a
     # running sum over the already sorted partition (no re-shuffle)
     schema = T.StructType(parted.schema.fields + [T.StructField("_local", T.LongType(), False)])
-    s = parted.mapInPandas(_running_before(g), schema)
-    # per-(group, partition) totals straight from the partitioned rows (the
-    # Python step runs once; both branches share the range exchange)
-    part = parted.groupBy(*g, "_pid").agg(F.sum("_c").alias("_n"))
+    s = materialise(parted.mapInPandas(_running_before(g), schema), "quantiles")
+    part = s.groupBy(*g, "_pid").agg(F.sum("_c").alias("_n"))
     earlier = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     part = (part.withColumn("_pbefore", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
             .withColumn("_size", F.sum("_n").over(Window.partitionBy(*g))))

@@ -51,10 +51,9 @@ def unpivot(df: DataFrame, ids: list[str], values: list[str], feature_col: str =
 def sort_by_key(df: DataFrame, keys: list, rank_col: str = "rank") -> DataFrame:
     """Order by key; the position is materialised as ``rank_col`` (1-based)
     by distributed range-partitioned numbering, so it survives any later
-    shuffle or file split. The frame is also returned sorted."""
+    shuffle or file split; sort on it where rows are shown or written in order."""
     out = indexed_sort(df, keys, index_col=rank_col)
-    out = out.withColumn(rank_col, F.col(rank_col) + 1)
-    return out.orderBy(rank_col)
+    return out.withColumn(rank_col, F.col(rank_col) + 1)
 
 
 def top_k(df: DataFrame, by: str, k: int, tie_break: list[str], descending: bool = True) -> DataFrame:

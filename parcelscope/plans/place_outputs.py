@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelscope.functions import render_pairs
+from parcelscope.functions import estimate_margin_text, render_pairs
 from parcelscope.operators.aggregates import nest_histogram
 from parcelscope.operators.reshape import render_record
 from parcelscope.plans import place_run as R
@@ -20,6 +20,10 @@ from parcelscope.plans import places as P
 from parcelscope.sources import sinks
 
 
+#: Names in the written records where they differ from the features'.
+QUALITY_NAMES = {"crime_rate": "crimeRate"}
+
+
 def _lines(df: DataFrame, key: str, line, path: str, mode: str) -> str:
     out = df.select(F.col(key).alias("_k"), line.alias("value")).orderBy("_k").select("value")
     out.coalesce(1).write.mode(mode).text(path)
@@ -73,9 +77,17 @@ def write_place_outputs(spark: SparkSession, root: str, place: P.PlaceSpec, out_
     for name, m in zip(names, measures):
         vals = [c for c in m.columns if c not in R.KEY]
         if name == "allQualitiesPlusHealth":
+            # key, five qualities and health: seven lines a record
+            m = m.withColumn("mentalHealth", F.coalesce("mentalHealth", F.lit(0.0)))
             line = render_record(F.concat(F.lit("("), F.col("county"), F.lit(",")),
-                                 [(c, F.col(c)) for c in vals])
+                                 [(QUALITY_NAMES.get(c, c), F.col(c)) for c in vals])
             line = F.concat(line, F.lit(")"))
+        elif name == "percentPovertyByCounty":
+            # percent with its margin of error, to the census' one decimal
+            line = _pair(F.col("county"), render_pairs([
+                (f"below_poverty_{who}", estimate_margin_text(F.round(F.col(f"{who}_below_poverty") * 100, 1),
+                                                              F.round(F.col(f"{who}_poverty_margin") * 100, 1)))
+                for who in ("owner", "renter")]))
         else:
             line = _pair(F.col("county"), render_pairs([(c, F.col(c)) for c in vals]))
         paths[name] = _lines(m, "county", line, f"{base}/{name}", mode)

@@ -79,7 +79,12 @@ def _is_single(rule: P.LabelRule) -> Column:
         conds.append(flt.keyword_any("label", [w.lower() for w in rule.single_words]))
     if rule.single_prefixes:
         conds.append(flt.prefix_any("label", list(rule.single_prefixes)))
-    return reduce(lambda a, b: a | b, conds) if conds else F.lit(False)
+    out = reduce(lambda a, b: a | b, conds) if conds else F.lit(False)
+    for county, label in rule.single_exact:
+        out = F.when(F.col("county") == county, F.col("label") == label).otherwise(out)
+    for county, word in rule.single_without:
+        out = out & ~((F.col("county") == county) & flt.keyword_any("label", [word]))
+    return out
 
 
 def zoning_profile(spark: SparkSession, root: str, place: P.PlaceSpec) -> dict[str, DataFrame]:
@@ -159,22 +164,29 @@ def _keyed(df: DataFrame, place: P.PlaceSpec, name_col: Column) -> DataFrame:
 
 
 def census_measures(spark: SparkSession, root: str, place: P.PlaceSpec) -> list[DataFrame]:
-    """Per-county measures of a place, typed (missing -> NULL)."""
+    """Per-county measures of a place, typed (missing -> NULL).
+
+    Besides the features: the number of commuters, the bicycle share and the
+    margins of error of the poverty rates.
+    """
     paths = P.dataset_paths(root, place)
     parts = []
     tm = read_census(spark, paths["transportation_means"], P.TRANSPORT_MEANS)
     parts.append(_keyed(tm, place, county_of(F.col("name"))).select(
         *KEY, fn.parse_double(fn.null_if_missing("commute_time_in_mins")).alias("commute_time_in_mins")))
     tt = read_census(spark, paths["transportation_type"], P.TRANSPORT_TYPE)
-    shares = fn.mode_shares(fn.parse_double(fn.null_if_missing("total")),
-                            {m: fn.parse_double(fn.null_if_missing(m)) for m in ("car", "public", "walk", "wfh")})
+    modes = [m for m in P.TRANSPORT_TYPE if m != "total"]
+    total = fn.parse_double(fn.null_if_missing("total"))
+    shares = fn.mode_shares(total, {m: fn.parse_double(fn.null_if_missing(m)) for m in modes})
     parts.append(_keyed(tt, place, county_of(F.col("name"))).select(
-        *KEY, *[shares[m].alias(f"percentage_{m}") for m in ("car", "public", "walk", "wfh")]))
+        *KEY, total.alias("commuters"), *[shares[m].alias(f"percentage_{m}") for m in modes]))
     pov = read_census(spark, paths["poverty"], P.POVERTY)
     # percent -> fraction, so every place has one unit
     parts.append(_keyed(pov, place, county_of(F.col("name"))).select(
         *KEY, (fn.parse_double("owner_pct") / 100).alias("owner_below_poverty"),
-        (fn.parse_double("renter_pct") / 100).alias("renter_below_poverty")))
+        (fn.parse_double("renter_pct") / 100).alias("renter_below_poverty"),
+        (fn.parse_double("owner_moe") / 100).alias("owner_poverty_margin"),
+        (fn.parse_double("renter_moe") / 100).alias("renter_poverty_margin")))
     occ = read_census(spark, paths["occupancy"], P.OCCUPANCY)
     parts.append(_keyed(occ, place, county_of(F.col("name"))).select(
         *KEY, fn.ratio(fn.parse_long("occupied"), fn.parse_long("total")).alias("percentage_occupancy"),
@@ -191,7 +203,8 @@ def census_measures(spark: SparkSession, root: str, place: P.PlaceSpec) -> list[
 
 
 def quality_of_life(spark: SparkSession, root: str, place: P.PlaceSpec) -> DataFrame:
-    """Five qualities from QOL.csv left-joined with mental health."""
+    """Five qualities from QOL.csv left-joined with mental health (J1), which
+    is NULL for a place that has none."""
     paths = P.dataset_paths(root, place)
     n = max(P.QOL.values()) + 1
     lines = files.drop_header_row(files.read_lines(spark, paths["QOL"]))
@@ -200,8 +213,12 @@ def quality_of_life(spark: SparkSession, root: str, place: P.PlaceSpec) -> DataF
     q = q.select(county.alias("qol_county"),
                  fn.ratio_text(F.col(f"r._c{P.QOL['crime']}")).alias("crime_rate"),
                  fn.percent_text(F.col(f"r._c{P.QOL['unemployment']}")).alias("unemployment"),
+                 fn.parse_long(F.col(f"r._c{P.QOL['national_parks']}")).alias("nationalParkCount"),
+                 fn.percent_text(F.col(f"r._c{P.QOL['state_park_coverage']}")).alias("stateParkCoverage"),
                  fn.currency_text(F.col(f"r._c{P.QOL['cost_of_living']}")).alias("costOfLiving"))
     q = _keyed(q, place, F.col("qol_county")).drop("qol_county")
+    if not place.has_health:
+        return q.withColumn("mentalHealth", F.lit(None).cast("double"))
     h = files.skip_first_rows(files.read_lines(spark, paths["mental_health"]), P.HEALTH_SKIP)
     h = h.select(F.lower(fn.strip_quotes(fn.split_pick("value", 0))).alias("h_county"),
                  fn.parse_double(fn.split_pick("value", 1)).alias("mentalHealth"))

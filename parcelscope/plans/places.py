@@ -40,6 +40,9 @@ class LabelRule:
     kept_prefixes: tuple[str, ...] = ()  # the codes counted as "all residential"
     single_words: tuple[str, ...] = ()   # single family: label holds any word
     single_prefixes: tuple[str, ...] = ()
+    # counties counted otherwise: the exact single-family label, or a word that excludes a label
+    single_exact: tuple[tuple[str, str], ...] = ()
+    single_without: tuple[tuple[str, str], ...] = ()
 
 
 @dataclass(frozen=True)
@@ -52,6 +55,7 @@ class PlaceSpec:
     rule: LabelRule
     qol_prefix: str                       # QOL rows of this place start with it
     health_prefix: str | None = None      # mental-health rows kept (None: all)
+    has_health: bool = True               # False: the place joins no mental health
     counties: tuple[str, ...] = ()        # keep only these counties (empty: all)
     nationwide_rows: tuple[int, int] = (0, 0)  # [lo, hi) rows of housing_race/financial
     single_area: bool = False             # one area: every census row belongs to it
@@ -90,7 +94,9 @@ PLACES: dict[str, PlaceSpec] = {
             ParcelSource("jefferson-parcels.csv", 0, county="jefferson", reader="quoted", header="skip"),
             ParcelSource("weld-parcels.csv", 33, county="weld", reader="quoted", header="skip"),
         ),
-        rule=LabelRule(words=COLORADO_WORDS, single_words=("single family",)),
+        rule=LabelRule(words=COLORADO_WORDS, single_words=("single family",),
+                       single_exact=(("denver", "single family"),),
+                       single_without=(("weld", "secondary"),)),
         qol_prefix="CO", counties=("denver", "jefferson", "weld"), nationwide_rows=(4, 7)),
     "ohio": PlaceSpec(
         name="ohio", directory="Ohio", state="OH", state_name="ohio",
@@ -102,7 +108,7 @@ PLACES: dict[str, PlaceSpec] = {
         name="detroit", directory="Detroit", state="MI", state_name="michigan",
         parcels=(ParcelSource("detroit-parcels.csv", 14, county="detroit"),),
         rule=LabelRule(words=DETROIT_WORDS, single_words=("single family",)),
-        qol_prefix="MIWayne ", nationwide_rows=(7, 8), single_area=True, area="detroit",
+        qol_prefix="MIWayne ", has_health=False, nationwide_rows=(7, 8), single_area=True, area="detroit",
         level="city"),
     "placer": PlaceSpec(
         name="placer", directory="Placer", state="CA", state_name="california",
@@ -136,6 +142,7 @@ def dataset_paths(root: str, place: PlaceSpec) -> dict[str, str]:
     return out
 
 
+# The reference's feature names, in its order.
 FEATURE_COLUMNS = [
     "all_residential", "sf_residential", "multi_residential", "percent_residential",
     "percent_multi", "commute_time_in_mins", "percentage_car", "percentage_public",

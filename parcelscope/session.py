@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(master: str | None = None, app: str = "parcelscope",
@@ -66,3 +66,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint directory."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/parcelscope-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once below the shared checkpoint directory and reread it.
+
+    Whatever reads the result sees the same rows in the same partitions as
+    written, with exchange reuse on or off, and lost executors cost no
+    recomputation.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_scratch(spark: SparkSession) -> bool:
+    """Delete this session's scratch data, once its results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/parcelscope-scratch")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -19,7 +19,6 @@ from __future__ import annotations
 
 from urllib.parse import urlparse
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,38 +67,97 @@ def with_row_index(scan: DataFrame, index_col: str = "row_idx", per_file: bool =
     return out.withColumnRenamed("_fp", "file_path") if keep_file else out
 
 
+def _with_block(scan: DataFrame) -> DataFrame:
+    meta = F.col("_metadata")
+    return scan.select("*", meta["file_path"].alias("_fp"), meta["file_block_start"].alias("_bs"),
+                       (meta["file_size"] - meta["file_block_start"] - meta["file_block_length"]).alias("_rest"))
+
+
+def _head_slice(n_cols: int, lo: int, hi: int | None):
+    """Rows [lo, hi) of each file, told from their place in the file's first block;
+    rows of later blocks count as beyond ``hi`` and are passed on if it is None."""
+    need = lo if hi is None else hi
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        file, seen, rest = None, 0, 0
+
+        def check() -> None:
+            if file is not None and file[1] == 0 and rest > 0 and seen < need:
+                raise ValueError(f"the first block of {file[0]} has {seen} rows, {need} are needed: "
+                                 "raise spark.sql.files.maxPartitionBytes")
+        for batch in batches:
+            fp, bs, left = (batch.column(n_cols + i) for i in range(3))
+            key = list(zip(fp.to_pylist(), bs.to_pylist()))
+            keep = np.ones(len(key), bool)
+            cuts = [i for i in range(len(key)) if i == 0 or key[i] != key[i - 1]] + [len(key)]
+            for i, j in zip(cuts[:-1], cuts[1:]):
+                if key[i] != file:
+                    check()
+                    file, seen, rest = key[i], 0, left[i].as_py()
+                if file[1] == 0:
+                    place = seen + np.arange(j - i)
+                    keep[i:j] = (place >= lo) & (place < hi if hi is not None else True)
+                else:
+                    keep[i:j] = hi is None
+                seen += j - i
+            own = batch.select(list(range(n_cols)))
+            yield own.filter(pa.array(keep))
+        check()
+    return run
+
+
 def skip_first_rows(scan: DataFrame, n: int, per_file: bool = True) -> DataFrame:
-    """Drop the first ``n`` rows of each file (header blocks)."""
-    return with_row_index(scan, "_ri", per_file=per_file).filter(F.col("_ri") >= n).drop("_ri")
+    """Drop the first ``n`` rows of each file (header blocks).
+
+    Per file this is one pass without a join: only rows of a file's first block
+    can be among them. A first block with fewer rows, in a file of several
+    blocks, is an error. Over all files (``per_file=False``) see
+    :func:`row_range_slice`.
+    """
+    if not per_file:
+        return row_range_slice(scan, n, 1 << 62)
+    cols = len(scan.columns)
+    return _with_block(scan).mapInArrow(_head_slice(cols, n, None), scan.schema)
 
 
 def row_range_slice(scan: DataFrame, lo: int, hi: int | None = None,
                     per_file: bool = False, index_col: str | None = None) -> DataFrame:
-    """Rows whose position is in ``[lo, hi)`` (``hi=None``: only ``lo``)."""
+    """Rows whose position is in ``[lo, hi)`` (``hi=None``: only ``lo``).
+
+    Per file and without ``index_col``, one pass as in :func:`skip_first_rows`.
+    """
+    end = lo + 1 if hi is None else hi
+    if per_file and not index_col:
+        return _with_block(scan).mapInArrow(_head_slice(len(scan.columns), lo, end), scan.schema)
     name = index_col or "_ri"
     out = with_row_index(scan, name, per_file=per_file)
-    cond = (F.col(name) == lo) if hi is None else F.col(name).between(lo, hi - 1)
-    out = out.filter(cond)
+    out = out.filter((F.col(name) >= lo) & (F.col(name) < end))
     return out if index_col else out.drop(name)
 
 
 def first_row(scan: DataFrame):
-    """The first row of a freshly scanned file source: row 0 of the first
-    file in path order (``DataFrame.first()`` alone returns the first row of
-    the largest file, since Spark packs splits by size)."""
-    paths = sorted(scan.inputFiles())
-    if paths:
-        try:
-            first_path = urlparse(paths[0]).path
-            # the whole path must match (any scheme / authority in front of it;
-            # the path itself is quoted literally)
-            exact = r"^([A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?)?\Q" + first_path + r"\E$"
-            return (scan.filter(F.col("_metadata.file_path").rlike(exact)
-                                & (F.col("_metadata.file_block_start") == 0))
-                    .first())
-        except AnalysisException:
-            pass  # not a direct file scan: fall back to Spark's first row
-    return scan.first()
+    """The first row of a freshly scanned file source: the first row of the first
+    file, in path order, that has one (None without rows).
+
+    Files are tried in groups of growing size, so a run of empty files costs few
+    jobs; each job reads first blocks only and sends one row to the driver.
+    """
+    paths, at, size = sorted(scan.inputFiles()), 0, 1
+    meta = F.col("_metadata")
+    while at < len(paths):
+        # the path itself must match, whatever scheme or authority is in front of it
+        group = [urlparse(p).path for p in paths[at:at + size]]
+        path = F.regexp_replace(meta["file_path"], r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+        row = (scan.select("*", path.alias("_path"), meta["file_block_start"].alias("_bs"),
+                           F.monotonically_increasing_id().alias("_at"))
+               .filter(F.col("_path").isin(group) & (F.col("_bs") == 0))
+               .orderBy("_path", "_at").limit(1).drop("_path", "_bs", "_at").first())
+        if row is not None:
+            return row
+        at, size = at + size, min(size * 10, 1000)
+    return None
 
 
 def drop_header_row(df: DataFrame) -> DataFrame:
@@ -109,7 +167,7 @@ def drop_header_row(df: DataFrame) -> DataFrame:
     then drops *all* rows equal to it, null-safely, matching the reference.
     """
     head = first_row(df)
-    if head is None:
+    if head is None:  # no file has a row
         return df
     same = None
     for c in df.columns:

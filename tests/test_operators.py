@@ -296,3 +296,23 @@ def test_batched_lloyd_with_tiny_arrow_batches(spark):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
     c, it, sse = _np_lloyd(x, models["m"], 1e-4)
     assert got["iterations"] == it and np.allclose(got["centres"], c) and abs(got["sse"] - sse) < 1e-7
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_ranks_and_quantiles_beyond_the_sampling_size(spark, reuse):
+    """Range bounds are sampled: ranks must not depend on two exchanges agreeing."""
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.exchange.reuse")}
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        df = spark.range(2_000_000).select((F.xxhash64("id") % 1_000_003).alias("label"), F.col("id").alias("n"),
+                                           (F.col("id") % 3).alias("g"), F.lit("payload").alias("p"))
+        ranked = indexed_sort(df, ["label"], index_col="i")
+        r = ranked.agg(F.countDistinct("i").alias("d"), F.min("i").alias("lo"), F.max("i").alias("hi")).first()
+        assert (r.d, r.lo, r.hi) == (2_000_000, 0, 1_999_999)
+        got = {r.g: r.m for r in exact_quantiles(df, "label", [0.5], ["g"], ["m"]).collect()}
+        want = {r.g: r.m for r in df.groupBy("g").agg(F.expr("percentile(label, 0.5)").alias("m")).collect()}
+        assert got == want
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)

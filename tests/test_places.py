@@ -67,6 +67,8 @@ def root(tmp_path_factory):
         cells[P.QOL["crime"]] = crime
         cells[P.QOL["unemployment"]] = unemp
         cells[P.QOL["cost_of_living"]] = col
+        cells[P.QOL["national_parks"]] = "1"
+        cells[P.QOL["state_park_coverage"]] = "0.11%"
         return ",".join(cells)
     _write(f"{r}/QOL.csv", "\n".join([
         ",".join(["key"] + [f"h{i}" for i in range(1, qol_w)]),
@@ -100,7 +102,8 @@ def root(tmp_path_factory):
             P.POVERTY)
     _census(f"{r}/Detroit/occupancy.csv", [("Detroit city, Michigan", {"total": "1000", "occupied": "820", "vacant": "180"})],
             P.OCCUPANCY)
-    _write(f"{r}/Detroit/mental_health.csv", "a\nb\n")
+    # rows of other counties too: the place joins none of them
+    _write(f"{r}/Detroit/mental_health.csv", 'a\nb\n"Alcona",5.9\n"Wayne",5.1\n"Kent",4.4\n')
     return r
 
 
@@ -186,20 +189,25 @@ def test_colorado_quoted_sources(spark, tmp_path):
     r = str(tmp_path)
     _write(f"{r}/Colorado/denver-parcels.csv", "\n".join(
         ["h" * 5, _quoted_row(53, 51, "Single Family"), _quoted_row(53, 51, '"apt mid-rise>9 unt,1-9sty"'),
+         _quoted_row(53, 51, "Single Family Misc/Liv"),
          _quoted_row(53, 51, "Office")]) + "\n")
     _write(f"{r}/Colorado/jefferson-parcels.csv", "\n".join(
         ["header", "Duplex: Two Family,x,y", "Commercial,x,y", "Single Family,,"]) + "\n")
     _write(f"{r}/Colorado/weld-parcels.csv", "\n".join(
-        ["header", _quoted_row(35, 33, "Mobile Home"), _quoted_row(35, 33, "Warehouse")]) + "\n")
+        ["header", _quoted_row(35, 33, "Mobile Home"), _quoted_row(35, 33, "Warehouse"),
+         _quoted_row(35, 33, "Single Family Residential on Ag"),
+         _quoted_row(35, 33, "Secondary Single Family Res")]) + "\n")
     prof = R.zoning_profile(spark, r, P.PLACES["colorado"])
     per = {r_.county: r_.n for r_ in prof["per_county"].collect()}
-    assert per == {"denver": 2, "jefferson": 2, "weld": 2}
+    assert per == {"denver": 3, "jefferson": 2, "weld": 4}
     labels = {r_.label: r_.n for r_ in prof["residential_labels"].collect()}
     assert labels == {"single family": 2, '"apt mid-rise>9 unt,1-9sty"': 1, "duplex: two family": 1,
-                      "mobile home": 1, "warehouse": 1, "Total": 6}
+                      "mobile home": 1, "warehouse": 1, "single family misc/liv": 1,
+                      "single family residential on ag": 1, "secondary single family res": 1, "Total": 9}
     mix = {r_.county: (r_.all_residential, r_.sf_residential)
            for r_ in R.housing_mix(spark, r, P.PLACES["colorado"]).collect()}
-    assert mix == {"denver": (2, 1), "jefferson": (2, 1), "weld": (2, 0)}
+    # Denver counts its exact label only, Weld no secondary homes
+    assert mix == {"denver": (3, 1), "jefferson": (2, 1), "weld": (4, 1)}
 
 
 def test_write_outputs_and_read_back(spark, root, tmp_path):
@@ -216,12 +224,17 @@ def test_write_outputs_and_read_back(spark, root, tmp_path):
     occ = results.parse_result_lines(spark, paths["occupancyByCounty"],
                                      ["percentage_occupancy", "percentage_vacant"]).collect()
     assert {(r.key, r.percentage_occupancy) for r in occ} == {("adams", "0.75"), ("van wert", "null")}
-    rec = results.record_block_pivot(files.read_lines(spark, paths["allQualitiesPlusHealth"]), 5,
-                                     ["key", "crime", "unemp", "cost", "health"]).orderBy("record")
+    rec = results.record_block_pivot(files.read_lines(spark, paths["allQualitiesPlusHealth"]), 7,
+                                     ["key", "crime", "unemp", "parks", "coverage", "cost", "health"]).orderBy("record")
     first, second = rec.collect()
-    assert first.key == "(adams," and first.crime == "\tcrime_rate:11.0"
+    assert first.key == "(adams," and first.crime == "\tcrimeRate:11.0"
+    assert first.parks == "\tnationalParkCount:1" and first.coverage == "\tstateParkCoverage:0.0011"
     assert first.cost == "\tcostOfLiving:60510.05" and first.health == "\tmentalHealth:5.8)"
-    assert second.key == "(van wert," and second.health == "\tmentalHealth:null)"
+    assert second.key == "(van wert," and second.health == "\tmentalHealth:0.0)"
+    pov = [r.value for r in spark.read.text(paths["percentPovertyByCounty"]).collect()]
+    assert "below_poverty_owner:5.3±1.1" in pov[0] and "below_poverty_renter:20.0±3.0" in pov[0]
+    modes = [r.value for r in spark.read.text(paths["commuteTypesByCounty"]).collect()]
+    assert "commuters:100.0" in modes[0] and "percentage_bicycle:0.01" in modes[0]
 
 
 def test_cli_place_and_analysis(spark, root, tmp_path):

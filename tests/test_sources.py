@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from parcelscope.sources import files, results, sinks
@@ -138,3 +139,41 @@ def test_catalog_profile_text_and_unknown_format(spark, tmpdir_path):
     assert [(r.dataset, r.n_rows, r.n_keys) for r in prof] == [("lines", 3, 2)]
     with pytest.raises(ValueError):
         catalog.load(spark, d, "xml")
+
+
+def test_header_with_an_empty_first_file(spark, tmp_path):
+    d = tmp_path / "parts"
+    d.mkdir()
+    for name, text in (("part-0.csv", ""), ("part-1.csv", "a,b\n1,2\n"), ("part-2.csv", "a,b\n3,4\n")):
+        (d / name).write_text(text)
+    df = files.read_csv_multiline(spark, str(d), 2)
+    assert tuple(files.first_row(df)) == ("a", "b")
+    assert sorted(tuple(r) for r in files.drop_header_row(df).collect()) == [("1", "2"), ("3", "4")]
+
+
+def test_skip_per_file_is_one_pass_without_join(spark, tmp_path):
+    d = tmp_path / "many"
+    d.mkdir()
+    for i in range(40):
+        (d / f"part-{i:02d}.txt").write_text("".join(f"h{j}\n" for j in range(3)) + "".join(f"{i}-{j}\n" for j in range(i)))
+    out = files.skip_first_rows(files.read_lines(spark, str(d)), 3)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    assert sorted(r.value for r in out.collect()) == sorted(f"{i}-{j}" for i in range(40) for j in range(i))
+    one = files.row_range_slice(files.read_lines(spark, str(d)), 3, 4, per_file=True)
+    assert sorted(r.value for r in one.collect()) == sorted(f"{i}-0" for i in range(1, 40))
+
+
+def test_skip_over_later_blocks(spark, tmp_path):
+    path = tmp_path / "long.txt"
+    path.write_text("".join(f"line {i:05d}\n" for i in range(5000)))
+    keep = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        scan = files.read_lines(spark, str(path))
+        assert scan.rdd.getNumPartitions() > 3
+        assert sorted(r.value for r in files.skip_first_rows(scan, 2).collect()) == [f"line {i:05d}" for i in range(2, 5000)]
+        with pytest.raises(Exception, match="maxPartitionBytes"):
+            files.skip_first_rows(scan, 3000).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", keep)
