@@ -30,6 +30,9 @@ from .common import documents
 N = 3
 #: Share of an item's n-grams, from the rarest, that are seeds; and their least number.
 SEED_SHARE, LEAST_SEEDS = 0.5, 6
+#: An n-gram in so few documents, or in so small a share of them, is always a seed:
+#: edited copies make the n-grams they keep a little more frequent than the others.
+RARE_TEXTS, RARE_SHARE = 20, 5e-5
 #: Alignment: points for a match, a mismatch and a gap.
 MATCH, MISMATCH, GAP = 2, -1, -1
 FOUND_AT = 0.5
@@ -58,15 +61,19 @@ class Items:
         self.unique, self.first = np.unique(self.gram, return_index=True)
         self.last = np.append(self.first[1:], len(self.gram))
 
-    def choose(self, texts_with: np.ndarray) -> "Seeds":
-        """The rarer n-grams of each item, from the documents that hold each n-gram."""
+    def choose(self, texts_with: np.ndarray, texts: int) -> "Seeds":
+        """The rarer n-grams of each item, with those tied at the edge, from the
+        documents that hold each n-gram."""
         df = np.repeat(texts_with, self.last - self.first)
-        order = np.lexsort((self.gram, df, self.item))
-        rank = np.arange(len(order)) - np.searchsorted(self.item[order], self.item[order])
-        size = np.bincount(self.item, minlength=len(self.ids))[self.item[order]]
-        keep = order[rank < np.maximum(np.ceil(SEED_SHARE * size), LEAST_SEEDS)]
-        keep.sort()
-        return Seeds(self, keep)
+        order = np.lexsort((df, self.item))
+        size = np.bincount(self.item, minlength=len(self.ids))
+        start = np.cumsum(size) - size
+        edge = np.minimum(np.maximum(np.ceil(SEED_SHARE * size), LEAST_SEEDS), size).astype(np.int64) - 1
+        full = size > 0
+        most = np.zeros(len(size), np.int64)
+        most[full] = df[order][(start + edge)[full]]
+        rare = RARE_TEXTS + RARE_SHARE * texts
+        return Seeds(self, np.flatnonzero(df <= np.maximum(most[self.item], rare)))
 
 
 class Seeds:
@@ -207,14 +214,14 @@ def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                  found_at: float = FOUND_AT) -> DataFrame:
     """doc_id, item_id, score, first_word, end_word of every document that holds an item."""
     docs = documents(df, id_col, text_col)
-    out = None
+    out, n = None, docs.count()
     for items in blocks(benchmark, item_id_col, item_text_col):
         counts = (docs.select("text").mapInArrow(_count(items.unique), "k long, n long")
                   .groupBy("k").agg(F.sum("n").alias("n")).collect())
         texts_with = np.zeros(len(items.unique), np.int64)
         for r in counts:
             texts_with[r.k] = r.n
-        part = docs.mapInArrow(_search(items.choose(texts_with), found_at), RESULT)
+        part = docs.mapInArrow(_search(items.choose(texts_with, n), found_at), RESULT)
         out = part if out is None else out.union(part)
     if out is None:
         out = docs.sparkSession.createDataFrame([], RESULT)

@@ -222,6 +222,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     sets = cut(rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("n", "d1", "d2")
                .agg(F.min("doc_id").alias("rep"), F.max("bins").alias("bins")), "jaccard-classes")
     reps = sets.select(F.col("rep").alias("doc_id"), "d1", "d2")
+    of_row = cut(rows.join(sets.drop("bins"), ["n", "d1", "d2"], "left").select("doc_id", "n", "rep"), "jaccard-rows")
+    # an id with several texts connects their sets
+    several_texts = (of_row.filter(F.col("rep").isNotNull()).groupBy("doc_id")
+                     .agg(F.min("rep").alias("a"), F.max("rep").alias("z"), F.collect_set("rep").alias("reps"))
+                     .filter("a <> z").select("a", F.explode("reps").alias("b")).filter("a <> b"))
     entry = (docs.mapInArrow(_prefixes(sketch.ravel()), "doc_id long, n long, d1 long, d2 long, cold long, "
                                                         "prefix array<long>")
              .join(reps, ["doc_id", "d1", "d2"], "left_semi")
@@ -253,8 +258,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     one = cut(one, "jaccard-hubs")
     ids = one.select(F.col("x").alias("doc_id")).union(one.select(F.col("y").alias("doc_id"))).distinct()
     texts = cut(docs.join(ids, "doc_id", "left_semi"), "jaccard-texts")
-    links = cut(linked(one, texts), "jaccard-links")
-    comp = components(links)
+    comp = components(cut(linked(one, texts).union(several_texts), "jaccard-links"))
 
     # then all pairs of ends that are still apart
     apart = (shared.join(comp, shared.doc_id == comp.id, "left")
@@ -283,11 +287,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     final = (comp.join(joined, "component", "full")
              .select(F.coalesce("id", "component").alias("rep"), F.coalesce("whole", "component").alias("least")))
 
-    of_set = (sets.join(final, "rep", "left")
-              .select("n", "d1", "d2", F.coalesce("least", "rep").alias("least")))
-    return (rows.join(of_set, ["n", "d1", "d2"], "left")
+    return (of_row.join(final, "rep", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component_id")))
+                    F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "rep", "doc_id")).alias("component_id")))
 
 
 #: The same rows for DuckDB, by all n-grams of all documents.

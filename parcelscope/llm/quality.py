@@ -127,9 +127,8 @@ def fit_labellers(v: np.ndarray, counts: np.ndarray, rounds: int = 100) -> tuple
         for vote in (GOOD, BAD, NONE):
             probs[:, :, vote] = (weight @ (v == vote) + 0.5).T
         probs /= probs.sum(2, keepdims=True)
-        # a vote for nothing says nothing about the class
+        # withholding a vote is an outcome like the others
         ratio = np.log(probs[:, BAD, :]) - np.log(probs[:, GOOD, :])
-        ratio[:, NONE] = 0.0
         z = np.log(prior / (1 - prior)) + ratio[np.arange(v.shape[1]), v].sum(1)
         post = 1 / (1 + np.exp(-z))
         if np.abs(post - before).max() < 1e-6:

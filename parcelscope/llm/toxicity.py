@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from math import comb
 
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
@@ -30,10 +31,12 @@ from .common import bounded_sample, cut, documents, per_text
 #: At most about so many labelled rows are used for learning.
 MAX_LABELLED = 24_000
 FOLDS, HELD = 5, 0
-#: A term must occur in so many different toxic texts, and so rarely elsewhere.
-LEAST_TEXTS = 5
-LEAST_SHARE = 0.9
-STEM_LENGTHS = (4, 5, 6)
+#: A term must occur in so many different toxic texts, and so rarely elsewhere,
+LEAST_TEXTS = 4
+LEAST_SHARE, STEM_SHARE = 0.8, 0.97
+#: and by chance so few terms of its frequency would.
+BY_CHANCE = 0.3
+STEM_LENGTHS = (4, 5, 6, 7, 8, 9)
 STEM_WORDS = 4
 #: The lexicon keeps its most frequent terms up to this size, as a model bound.
 MAX_TERMS = 4_000
@@ -168,6 +171,11 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           "clean": [by[0][t] for t in terms]})
 
 
+def chance(toxic: int, texts: int, base: float) -> float:
+    """Probability that of ``texts`` texts at least ``toxic`` are, at this base rate."""
+    return sum(comb(texts, k) * base ** k * (1 - base) ** (texts - k) for k in range(toxic, texts + 1))
+
+
 def learn_lexicon(train: DataFrame) -> tuple[list[str], list[str]]:
     """(words, stems) from a frame (toxic, text) of bounded size.
 
@@ -177,9 +185,16 @@ def learn_lexicon(train: DataFrame) -> tuple[list[str], list[str]]:
         F.max("toxic").alias("toxic"), F.max("text").alias("text"))
     counts = (once.select("toxic", "text").mapInArrow(_counts, "term string, toxic long, clean long")
               .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-              .filter((F.col("toxic") >= LEAST_TEXTS)
-                      & (F.col("toxic") >= LEAST_SHARE * (F.col("toxic") + F.col("clean")))))
-    rows = counts.orderBy(F.desc("toxic"), "term").limit(MAX_TERMS).collect()
+              .withColumn("texts", F.col("toxic") + F.col("clean")).filter(F.col("texts") >= LEAST_TEXTS))
+    counts = cut(counts, "toxicity-terms")
+    share = F.when(F.col("term").endswith("*"), STEM_SHARE).otherwise(LEAST_SHARE)
+    rows = (counts.filter(F.col("toxic") >= LEAST_TEXTS).filter(F.col("toxic") >= share * F.col("texts"))
+            .orderBy(F.desc("toxic"), "term").limit(MAX_TERMS).collect())
+    # terms by number of texts: a histogram no longer than the bounded sample
+    as_many = {r.texts: r["count"] for r in counts.groupBy("texts").count().collect()}
+    base = once.agg(F.avg("toxic")).first()[0] or 0.0
+    rows = [r for r in rows if chance(r.toxic, r.texts, base) * sum(
+        n for t, n in as_many.items() if t >= r.texts) <= BY_CHANCE]
     words = [r.term for r in rows if not r.term.endswith("*")]
     stems = []
     for s in sorted((r.term[:-1] for r in rows if r.term.endswith("*")), key=len):
