@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import any_true, cut
 
 DEPTH = 3
 MIN_TOKENS = 4
@@ -38,14 +38,19 @@ def masked(tokens: Column) -> Column:
 
 
 def lines_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, th, pos, leaf, line) of every line with enough tokens."""
-    # tokens are separated by spaces and tabs; (\s in Java's patterns is ASCII white space)
-    text = df.filter(F.col(text_col).isNotNull()).select(
-        F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"),
-        F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "line"))
-    line = text.withColumn("line", F.regexp_replace(F.trim("line"), r"\s+", " "))
-    n = F.length("line") - F.length(F.translate("line", " ", "")) + 1
-    head = masked(F.split(F.substring_index("line", " ", DEPTH), " "))
+    """(id, th, pos, leaf, n, line) of every line with enough tokens."""
+    text = F.col(text_col)
+    # runs of white space count as one space; most texts have none, and are not searched for them
+    runs = any_true([F.contains(text, F.lit(x)) for x in ("  ", "\t", "\x0b", "\f", "\r")])
+    # hashed and split before the lines are dealt out, so it is done once per text
+    whole = df.filter(text.isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"),
+                                               runs.alias("runs"), F.split(text, "\n").alias("lines"))
+    line = (whole.select("id", "th", "runs", F.posexplode("lines").alias("pos", "line"))
+            .withColumn("line", F.trim("line"))
+            .withColumn("line", F.when(F.col("runs"), F.regexp_replace("line", r"\s+", " ")).otherwise(F.col("line"))))
+    n = F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit(""))) + 1
+    head = F.substring_index("line", " ", DEPTH)
+    head = F.when(head.rlike("[0-9]"), F.array_join(masked(F.split(head, " ")), " ")).otherwise(head)
     return (line.withColumn("n", n).filter(F.col("n") >= MIN_TOKENS)
             .select("id", "th", "pos", F.xxhash64("n", head).alias("leaf"), "n", "line"))
 
