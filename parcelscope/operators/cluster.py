@@ -1,7 +1,7 @@
 """k-means (M2, M3): batched Lloyd iterations over DataFrames.
 
-The reference fits k = 1..10 with 10 random restarts each (90 models) and
-k = 6 with 10 restarts. Fitting them one by one costs one pass over the data
+The reference fits k = 1..10 with 10 random restarts each (90 models beside
+k = 1) and k = 6 with 10 restarts. Fitting them one by one costs one pass over the data
 per model per iteration. Here every model advances in the *same* pass:
 
 * each point is assigned to its nearest centre under every active model by
@@ -18,7 +18,8 @@ per model per iteration. Here every model advances in the *same* pass:
 
 So a full elbow is one pass per Lloyd iteration over the points, not one per
 model per iteration. Initial centres are random points (scikit-learn's
-``init="random"``): the first k of the rows ordered by a seeded ``rand``.
+``init="random"``): for each model, the k rows of the smallest seeded hashes.
+The single k of the assignment is fitted by Spark ML, started by k-means||.
 The points are persisted (memory and disk) for the iterations; a lost block
 is recomputed from its lineage.
 """
@@ -26,9 +27,12 @@ is recomputed from its lineage.
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,19 +68,35 @@ def nearest_centre(features: list[str], centres: list[list[float]]) -> Column:
 
 
 def lloyd_step(df: DataFrame, features: list[str], centres: list[list[float]]) -> DataFrame:
-    """One k-means iteration from fixed centres: assign, then average.
+    """One k-means iteration from fixed centres: assign, then average, by the
+    same pass as the fits.
 
-    Rows: (cluster, n, <feature means>). Centres are k x d literals, so no
-    join of points with centres is needed.
+    Rows: (cluster, n, <feature means>, sse). The centres travel with the
+    function, so no join of points with centres is needed.
     """
-    assigned = df.withColumn("cluster", nearest_centre(features, centres))
-    return assigned.groupBy("cluster").agg(
-        F.count(F.lit(1)).alias("n"), *[F.avg(f).alias(f) for f in features])
+    return totals(df, features, [centres]).select("cluster", "n", *[(F.col(f) / F.col("n")).alias(f) for f in features], "sse")
 
 
-def _random_starts(points: DataFrame, features: list[str], seed: int, k: int) -> list[list[float]]:
-    rows = points.select(*features).orderBy(F.rand(seed)).limit(k).collect()
-    return [[float(r[f]) for f in features] for r in rows]
+def _start_picks(features: list[str], models: list[tuple[int, int]], seed: int):
+    """mapInPandas body: for every model (k, restart), the k points of the batch
+    with the smallest hashes under the model's own seed."""
+    def run(batches):
+        import numpy as np
+        import pandas as pd
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            h = pdf["_h"].to_numpy().view("uint64")
+            for m, (k, r) in enumerate(models):
+                x = (h ^ np.uint64((k * 1_000_003 + seed + r) * 0x9E3779B97F4A7C15 % 2 ** 64)) * np.uint64(0xBF58476D1CE4E5B9)
+                x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+                x = (x ^ (x >> np.uint64(31))) >> np.uint64(1)
+                at = np.argsort(x, kind="stable")[:k]
+                out = pdf.iloc[at][features].reset_index(drop=True)
+                out.insert(0, "place", x[at].astype("int64"))
+                out.insert(0, "model", np.int32(m))
+                yield out
+    return run
 
 
 def _partial_sums(features: list[str], centres: list[list[list[float]]]):
@@ -111,7 +131,7 @@ def _partial_sums(features: list[str], centres: list[list[list[float]]]):
     return run
 
 
-def _pass(points: DataFrame, features: list[str], centres: list[list[list[float]]]) -> list:
+def totals(points: DataFrame, features: list[str], centres: list[list[list[float]]]) -> DataFrame:
     """One pass: per-(model, cluster) totals of the assignment to ``centres``."""
     schema = T.StructType([T.StructField("model", T.IntegerType()), T.StructField("cluster", T.IntegerType()),
                            T.StructField("n", T.LongType())]
@@ -119,7 +139,7 @@ def _pass(points: DataFrame, features: list[str], centres: list[list[list[float]
                           + [T.StructField("sse", T.DoubleType())])
     part = points.select(*features).mapInPandas(_partial_sums(features, centres), schema)
     return part.groupBy("model", "cluster").agg(
-        F.sum("n").alias("n"), *[F.sum(f).alias(f) for f in features], F.sum("sse").alias("sse")).collect()
+        F.sum("n").alias("n"), *[F.sum(f).alias(f) for f in features], F.sum("sse").alias("sse"))
 
 
 def batched_lloyd(points: DataFrame, features: list[str], models: dict, max_iter: int = 300,
@@ -136,7 +156,7 @@ def batched_lloyd(points: DataFrame, features: list[str], models: dict, max_iter
         active = [m for m, s in state.items() if not s["done"]]
         if not active:
             break
-        rows = _pass(points, features, [state[m]["centres"] for m in active])
+        rows = totals(points, features, [state[m]["centres"] for m in active]).collect()
         new = {m: [list(c) for c in state[m]["centres"]] for m in active}
         for r in rows:
             m = active[r["model"]]
@@ -152,7 +172,7 @@ def batched_lloyd(points: DataFrame, features: list[str], models: dict, max_iter
     ids = list(state)
     out = {m: {"centres": state[m]["centres"], "iterations": state[m]["iterations"], "sse": 0.0}
            for m in ids}
-    for r in _pass(points, features, [state[m]["centres"] for m in ids]):
+    for r in totals(points, features, [state[m]["centres"] for m in ids]).collect():
         out[ids[r["model"]]]["sse"] += float(r["sse"])
     return out
 
@@ -168,15 +188,24 @@ def _prepare(df: DataFrame, features: list[str], keep: list[str], params) -> Dat
 
 
 def _starts(points: DataFrame, features: list[str], ks, restarts: int, seed: int) -> dict:
-    """(k, restart) -> k random starting points; one small sample per restart
-    (the first k of it for every k)."""
-    kmax = max(ks)
-    models = {}
-    for r in range(restarts):
-        pool = _random_starts(points, features, seed + r, kmax)
-        for k in ks:
-            models[(k, r)] = pool[:k]
-    return models
+    """(k, restart) -> k random starting points, drawn for each model on its own.
+
+    A point's place in a model's draw is a hash of its values, so the starts
+    don't depend on how the rows are partitioned. One pass for all models.
+    """
+    models = [(k, r) for k in ks for r in range(restarts)]
+    schema = T.StructType([T.StructField("model", T.IntegerType()), T.StructField("place", T.LongType())]
+                          + [T.StructField(f, T.DoubleType()) for f in features])
+    picks = points.select(*features, F.xxhash64(*features).alias("_h")).mapInPandas(
+        _start_picks(features, models, seed), schema)
+    turn = Window.partitionBy("model").orderBy("place", *features)
+    rows = picks.withColumn("i", F.row_number().over(turn)).orderBy("model", "i").collect()
+    out: dict = {m: [] for m in models}
+    for row in rows:
+        m = models[row["model"]]
+        if row["i"] <= m[0]:
+            out[m].append([float(row[f]) for f in features])
+    return out
 
 
 def total_sse(df: DataFrame, features: list[str]) -> float:
@@ -215,10 +244,19 @@ def kmeans_elbow(spark: SparkSession, df: DataFrame, features: list[str],
 
 
 def fit_best(points: DataFrame, features: list[str], k: int, restarts: int = 10, seed: int = 42,
-             max_iter: int = 300, tol: float = 1e-4) -> dict:
-    """The lowest-SSE model of ``restarts`` random starts (centres, sse)."""
-    res = batched_lloyd(points, features, _starts(points, features, [k], restarts, seed), max_iter, tol)
-    return min(res.values(), key=lambda v: v["sse"])
+             max_iter: int = 300, tol: float = 1e-4) -> list[list[float]]:
+    """Centres of the lowest-cost of ``restarts`` Spark ML fits, each started by
+    k-means|| (scikit-learn's default start is k-means++, its sequential form).
+
+    The fits run side by side, as each is a chain of small jobs.
+    """
+    vectors = points.select(F.array(*features).alias("v")).select(array_to_vector("v").alias("features"))
+
+    def fit(r: int):
+        model = KMeans(k=k, seed=seed + r, maxIter=max_iter, tol=spark_tol(tol, k), initMode="k-means||").fit(vectors)
+        return model.summary.trainingCost, r, [c.tolist() for c in model.clusterCenters()]
+    with ThreadPoolExecutor(min(restarts, 8)) as pool:
+        return min(pool.map(inheritable_thread_target(points.sparkSession)(fit), range(restarts)))[2]
 
 
 def kmeans_assign(df: DataFrame, id_cols: list[str], features: list[str], k: int = 6,
@@ -226,14 +264,16 @@ def kmeans_assign(df: DataFrame, id_cols: list[str], features: list[str], k: int
                   scale: bool = True) -> DataFrame:
     """M3: cluster label per row from the best of ``restarts`` fits."""
     params = zscore_params(df, features) if scale else None
-    points = _prepare(df, features, id_cols, params)
+    # a fixed layout, so the fits draw the same starts however ``df`` is partitioned
+    points = (_scaled(df, features, id_cols, params).repartition(*id_cols).sortWithinPartitions(*id_cols)
+              .persist(StorageLevel.MEMORY_AND_DISK))
     try:
         best = fit_best(points, features, k, restarts, seed, max_iter, tol)
     finally:
         points.unpersist()
     # labels from the (uncached) scaled rows, same scaling, chosen centres
     data = _scaled(df, features, id_cols, params)
-    return data.select(*id_cols, nearest_centre(features, best["centres"]).cast("int").alias("cluster"))
+    return data.select(*id_cols, nearest_centre(features, best).cast("int").alias("cluster"))
 
 
 def kmeans_cost_k1(df: DataFrame, features: list[str], scale: bool = True) -> float:

@@ -748,7 +748,18 @@ def kmeans_one_step(spark, d):
     # six fixed starting centres: the six smallest customer keys (k x d values)
     rows = z.orderBy("c_custkey").limit(6).collect()
     centres = [[r[c] for c in sd.CUSTOMER_FEATURES] for r in rows]
-    return rounded(cluster.lloyd_step(z, sd.CUSTOMER_FEATURES, centres))
+    return rounded(cluster.lloyd_step(z, sd.CUSTOMER_FEATURES, centres).drop("sse"))
+
+
+@query("kmeans_fixed_sse")
+def kmeans_fixed_sse(spark, d):
+    """SSE per cluster of a batch of fixed models (k = 2, 4, 6), by the fits' pass."""
+    f = sd.customer_features(spark, d)
+    z = stats.zscore(f, sd.CUSTOMER_FEATURES, keep=["c_custkey"])
+    rows = z.orderBy("c_custkey").limit(6).collect()
+    centres = [[r[c] for c in sd.CUSTOMER_FEATURES] for r in rows]
+    totals = cluster.totals(z, sd.CUSTOMER_FEATURES, [centres[:k] for k in (2, 4, 6)])
+    return rounded(totals.select((2 * F.col("model") + 2).alias("k"), "cluster", "n", "sse"))
 
 
 FIT_X, FIT_Y, FIT_G = "l_quantity", "l_extendedprice", ["l_returnflag"]

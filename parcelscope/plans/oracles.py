@@ -430,6 +430,15 @@ ORACLES: dict[str, str] = {
       asg AS (SELECT c_custkey, arg_min(j, (d, j)) AS cluster FROM dist GROUP BY c_custkey)
       SELECT cast(asg.cluster AS INTEGER) AS cluster, count(*) AS n, {", ".join(_r(f"avg(z.{f})", f) for f in CUST_FEATURES)}
       FROM asg JOIN z USING (c_custkey) GROUP BY asg.cluster""",
+    "kmeans_fixed_sse": f"""
+      WITH {CUST_Z},
+      c AS (SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS j, * FROM (SELECT * FROM z ORDER BY c_custkey LIMIT 6)),
+      dist AS (
+        SELECT z.c_custkey, m.k, c.j, {" + ".join(f"(z.{f} - c.{f}) * (z.{f} - c.{f})" for f in CUST_FEATURES)} AS d
+        FROM z, c, (VALUES (2), (4), (6)) m(k) WHERE c.j < m.k),
+      asg AS (SELECT c_custkey, k, arg_min(j, (d, j)) AS cluster, min(d) AS d FROM dist GROUP BY c_custkey, k)
+      SELECT k, cast(cluster AS INTEGER) AS cluster, count(*) AS n, {_r("sum(d)", "sse")}
+      FROM asg GROUP BY k, cluster""",
     "linear_fit": f"""
       SELECT l_returnflag, count(*) AS n,
         {_r("regr_slope(l_extendedprice, l_quantity)", "slope")},

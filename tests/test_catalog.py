@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from parcelscope.plans.catalog import QUERIES
+from parcelscope.plans.oracles import ORACLES
 from tools.check_oracles import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
@@ -21,15 +23,15 @@ def con():
 
 
 def test_every_query_has_an_oracle_or_is_declared():
-    assert set(E.queries()) - set(E.oracle_sql()) == NO_ORACLE
-    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(QUERIES) - set(ORACLES) == NO_ORACLE
+    assert set(ORACLES) <= set(QUERIES) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(E.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
-    res = con.execute(E.oracle_sql()[name])
+    res = con.execute(ORACLES[name])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
@@ -38,10 +40,10 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_kmeans_queries_shape(spark):
-    el = E.queries()["kmeans_elbow"](spark, SF).collect()
+    el = QUERIES["kmeans_elbow"](spark, SF).collect()
     assert [r.k for r in el] == list(range(1, 11))
     assert all(r.sse >= 0 for r in el) and el[-1].sse < el[0].sse
-    lab = E.queries()["kmeans_assign"](spark, SF)
+    lab = QUERIES["kmeans_assign"](spark, SF)
     n = spark.read.parquet(f"{SF}/customer.parquet").count()
     assert lab.count() == n and {r.cluster for r in lab.select("cluster").distinct().collect()} <= set(range(6))
 

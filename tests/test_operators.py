@@ -316,3 +316,15 @@ def test_ranks_and_quantiles_beyond_the_sampling_size(spark, reuse):
     finally:
         for k, v in keep.items():
             spark.conf.set(k, v)
+
+
+def test_kmeans_does_not_depend_on_the_layout(spark):
+    rnd = np.random.default_rng(6)
+    pdf = pd.DataFrame(rnd.normal(size=(400, 3)), columns=["a", "b", "c"]).assign(id=range(400))
+    df = spark.createDataFrame(pdf)
+    cols = ["a", "b", "c"]
+    starts = [cluster._starts(df.repartition(n), cols, [2, 3], 2, 1) for n in (1, 7)]
+    assert starts[0] == starts[1] and all(len(v) == k for (k, _), v in starts[0].items())
+    labels = [{r.id: r.cluster for r in cluster.kmeans_assign(df.repartition(n), ["id"], cols, k=4, restarts=2).collect()}
+              for n in (1, 7)]
+    assert labels[0] == labels[1]

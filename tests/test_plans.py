@@ -3,7 +3,7 @@ must keep doing for the queries to scale."""
 
 import pytest
 
-import __spark_entry__ as E
+from parcelscope.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 EAGER = {"kmeans_elbow", "kmeans_assign"}  # fit models when called
@@ -15,7 +15,7 @@ def plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {name: plan(q(spark, SF)) for name, q in E.queries().items() if name not in EAGER}
+    return {name: plan(q(spark, SF)) for name, q in QUERIES.items() if name not in EAGER}
 
 
 def test_no_cross_joins_and_no_python(plans):
