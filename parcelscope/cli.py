@@ -19,7 +19,7 @@ if __package__ in (None, ""):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from parcelscope.plans import analysis, place_outputs, place_run, places  # noqa: E402
-from parcelscope.session import get_session  # noqa: E402
+from parcelscope.session import get_session, remove_scratch  # noqa: E402
 from parcelscope.sources import sinks  # noqa: E402
 
 
@@ -49,10 +49,11 @@ def main(argv: list[str] | None = None) -> int:
         sinks.write_single_file(table, f"{out}/allStats", "csv", mode="overwrite")
         res = analysis.analyze(spark, spark.read.option("header", True)
                                .schema(table.schema).csv(f"{out}/allStats"),
-                               place_run.KEY, places.FEATURE_COLUMNS)
+                               place_run.KEY, places.FEATURE_COLUMNS, fit_to_rows=True)
         for name, df in res.items():
             df.write.mode("overwrite").parquet(f"{out}/{name}")
             print(f"{name}\t{out}/{name}")
+    remove_scratch(spark)
     return 0
 
 

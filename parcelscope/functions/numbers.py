@@ -88,8 +88,12 @@ def first_match_count(arr, word: str, label_field: str = "label",
     "First" is in the array's stored order; callers sort the array when they
     build it, so the result does not depend on shuffle order.
     """
-    matched = F.filter(as_col(arr), lambda x: x[label_field].contains(word))
-    return F.get(matched, 0)[count_field]
+    return first_match(arr, word, label_field)[count_field]
+
+
+def first_match(arr, word: str, label_field: str = "label") -> Column:
+    """The first element whose label holds ``word``."""
+    return F.get(F.filter(as_col(arr), lambda x: x[label_field].contains(word)), 0)
 
 
 def housing_mix(total, single) -> dict[str, Column]:

@@ -16,15 +16,20 @@ from parcelscope.functions._util import as_col
 from parcelscope.operators.ordering import exact_quantiles
 
 
-def count_by_value(df: DataFrame, col: str, count_col: str = "n") -> DataFrame:
+def _rows(weight: str | None):
+    """The number of rows, or of the rows that pre-counted ones stand for."""
+    return F.sum(weight).cast("long") if weight else F.count(F.lit(1))
+
+
+def count_by_value(df: DataFrame, col: str, count_col: str = "n", weight: str | None = None) -> DataFrame:
     """A1 (and A11): number of rows per distinct value."""
-    return df.groupBy(col).agg(F.count(F.lit(1)).alias(count_col))
+    return df.groupBy(col).agg(_rows(weight).alias(count_col))
 
 
-def count_per_key(df: DataFrame, key: str | list[str], count_col: str = "n") -> DataFrame:
+def count_per_key(df: DataFrame, key: str | list[str], count_col: str = "n", weight: str | None = None) -> DataFrame:
     """A4: rows per key."""
     keys = [key] if isinstance(key, str) else list(key)
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))
+    return df.groupBy(*keys).agg(_rows(weight).alias(count_col))
 
 
 def with_total_row(counts: DataFrame, label_col: str, count_col: str = "n",
@@ -84,7 +89,8 @@ def nest_histogram(hist: DataFrame, key: str | list[str], label: str, count_col:
 def histogram_filtered(hist: DataFrame, keys_df: DataFrame, key: str, predicate,
                        count_col: str = "n") -> DataFrame:
     """Keep histogram rows whose label passes ``predicate``; keys without
-    any kept label stay, with NULL label and count 0."""
+    any kept label stay, with NULL label and count 0. ``keys_df`` may be the
+    histogram itself: it holds every key, and saves a scan of its input."""
     kept = hist.filter(predicate)
     out = keys_df.select(key).distinct().join(kept, on=key, how="left")
     return out.withColumn(count_col, F.coalesce(F.col(count_col), F.lit(0).cast("long")))

@@ -8,7 +8,6 @@ features) or :func:`parcelscope.plans.features.county_features`.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from parcelscope.operators import aggregates as agg
 from parcelscope.operators import cluster, reshape, stats
@@ -19,9 +18,12 @@ from parcelscope.session import ensure_checkpoint_dir
 def analyze(spark: SparkSession, table: DataFrame, key: list[str], features: list[str],
             share: str = "percent_residential", multi_share: str = "percent_multi",
             total: str = "all_residential", min_total: float = 1, min_share: float = 0.70,
-            k: int = 6, ks=range(1, 11), restarts: int = 10) -> dict[str, DataFrame]:
+            k: int = 6, ks=range(1, 11), restarts: int = 10,
+            fit_to_rows: bool = False) -> dict[str, DataFrame]:
     """Summary, top-5 tables, clusters and fits of ``table``.
 
+    * more clusters than rows are an error; with ``fit_to_rows`` the elbow leaves
+      them out, and ``k`` is lowered to the number of rows;
     * rows with ``total`` <= ``min_total`` are dropped first (F5);
     * ``summary``: describe over non-zero values (A10);
     * ``top_single`` / ``top_multi``: five largest shares (R6);
@@ -37,10 +39,11 @@ def analyze(spark: SparkSession, table: DataFrame, key: list[str], features: lis
     # parcel and census inputs ten times, and its lineage is cut.
     ensure_checkpoint_dir(spark)
     t = table.filter(flt.threshold(total, ">", min_total)).checkpoint(eager=True)
-    # k-means cannot ask for more clusters than rows
     n_rows = t.count()
-    ks = [x for x in ks if x <= n_rows]
-    k = min(k, max(n_rows, 1))
+    if fit_to_rows:
+        ks, k = [x for x in ks if x <= n_rows], min(k, n_rows)
+    if max([k, *ks]) > n_rows:
+        raise ValueError(f"{n_rows} rows have {total} > {min_total}: too few for {max([k, *ks])} clusters")
     out: dict[str, DataFrame] = {}
     long_df = reshape.unpivot(t, key, features)
     out["summary"] = agg.describe_nonzero(long_df)
@@ -48,10 +51,7 @@ def analyze(spark: SparkSession, table: DataFrame, key: list[str], features: lis
     out["top_multi"] = reshape.top_k(t, multi_share, 5, key)
     out["scaled"] = stats.zscore(t, features, keep=key)
     out["elbow"] = cluster.kmeans_elbow(spark, t, features, ks=ks, restarts=restarts)
-    if k >= 2:
-        out["clusters"] = cluster.kmeans_assign(t, key, features, k=k, restarts=restarts)
-    else:  # a single row or cluster: everything is cluster 0
-        out["clusters"] = t.select(*key, F.lit(0).alias("cluster"))
+    out["clusters"] = cluster.kmeans_assign(t, key, features, k=k, restarts=restarts)
     others = [f for f in features if f != share]
     pairs = stats.share_vs_feature(t, key, share, others, min_share=min_share)
     out["pairs"] = pairs.join(out["clusters"], key, "left")

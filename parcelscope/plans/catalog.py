@@ -66,11 +66,10 @@ def rounded(df: DataFrame, digits: int | None = None) -> DataFrame:
     return df.select(*cols)
 
 
-def write_ordered_lines(df: DataFrame, order_col: str, value_col: str, path: str,
-                        parts: int = 4) -> str:
+def write_ordered_lines(df: DataFrame, order_col: str, value_col: str, path: str) -> str:
     """Write one text line per row, ordered by ``order_col`` across part files
     (range partitioning keeps the global order in part-file order)."""
-    (df.repartitionByRange(parts, order_col).sortWithinPartitions(order_col)
+    (df.repartitionByRange(order_col).sortWithinPartitions(order_col)
      .select(value_col).write.mode("errorifexists").text(path))
     return path
 
@@ -106,7 +105,7 @@ def src_csv_multiline(spark, d):
      .option("lineSep", "\n").csv(path))
     back = files.read_csv_multiline(spark, path, 4)
     return back.select(F.col("_c0").cast("long").alias("conv_id"), F.col("_c1").cast("long").alias("turn"),
-                       F.col("_c2").alias("role"), F.length("_c3").cast("long").alias("text_len"))
+                       F.col("_c2").alias("role"), F.md5("_c3").alias("text_md5"))
 
 
 PART_COLS = ["p_partkey", "p_name", "p_brand", "p_type", "p_size"]
@@ -122,7 +121,7 @@ def drop_header_row(spark, d):
             .unionByName(body.withColumn("_k", F.col("p_partkey").cast("long")))
             .unionByName(header.withColumn("_k", F.lit(1 << 62).cast("long"))))
     path = scratch_path(spark, "part-csv")
-    rows.repartitionByRange(4, "_k").sortWithinPartitions("_k").drop("_k").write.csv(path)
+    rows.repartitionByRange("_k").sortWithinPartitions("_k").drop("_k").write.csv(path)
     back = files.drop_header_row(files.read_csv_multiline(spark, path, 5))
     return back.select(F.col("_c0").cast("long").alias("p_partkey"), F.col("_c1").alias("p_name"),
                        F.col("_c2").alias("p_brand"), F.col("_c3").alias("p_type"),
@@ -185,11 +184,10 @@ def inline_table(spark, d):
 
 def _orders_per_nation(spark, d):
     n = T_(spark, d, "nation", "n_name", "n_nationkey")
-    o = T_(spark, d, "orders", "o_custkey", "o_orderstatus")
-    c = T_(spark, d, "customer", "c_custkey", "c_nationkey")
-    j = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey)
-    return j.groupBy("n_name").agg(F.count(F.lit(1)).alias("total"),
-                                   F.count_if(F.col("o_orderstatus") == "O").alias("open"))
+    per = sd.order_counts(spark, d, "o_orderstatus")
+    j = per.join(n, per.c_nationkey == n.n_nationkey)
+    return j.groupBy("n_name").agg(F.sum("n").alias("total"),
+                                   F.sum(F.when(F.col("o_orderstatus") == "O", F.col("n")).otherwise(0)).alias("open"))
 
 
 @query("parse_result_lines")
@@ -369,10 +367,10 @@ def parse_double(spark, d):
 
 @query("occupancy_share")
 def occupancy_share(spark, d):
-    o = sd.order_geo(spark, d, "o_orderstatus")
-    a = o.groupBy("county").agg(F.count(F.lit(1)).alias("total"),
-                                F.count_if(F.col("o_orderstatus") == "F").alias("occupied"),
-                                F.count_if(F.col("o_orderstatus") != "F").alias("vacant"))
+    o = sd.order_geo_counts(spark, d, "o_orderstatus")
+    full = F.col("o_orderstatus") == "F"
+    a = o.groupBy("county").agg(F.sum("n").alias("total"), F.sum(F.when(full, F.col("n")).otherwise(0)).alias("occupied"),
+                                F.sum(F.when(~full, F.col("n")).otherwise(0)).alias("vacant"))
     return rounded(a.select("county", "total", fn.ratio("occupied", "total").alias("occupied_share"),
                             fn.ratio("vacant", "total").alias("vacant_share")))
 
@@ -486,8 +484,8 @@ def ratio_text(spark, d):
 def first_match_in_array(spark, d):
     p = T_(spark, d, "part", "p_brand", "p_type")
     nested = agg.nest_histogram(agg.histogram_per_key(p, "p_brand", "p_type"), "p_brand", "p_type")
-    m = F.get(F.filter("histogram", lambda x: x["label"].contains("AR")), 0)
-    return nested.select("p_brand", m["label"].alias("first_type"), m["n"].alias("n"))
+    m = fn.first_match("histogram", "AR")
+    return nested.select("p_brand", m["label"].alias("first_type"), fn.first_match_count("histogram", "AR").alias("n"))
 
 
 @query("housing_mix")
@@ -563,13 +561,19 @@ def _two_state_keys(df, nation_col):
 def lookup_update(spark, d):
     c = T_(spark, d, "customer", "c_custkey", "c_nationkey")
     n = T_(spark, d, "nation", "n_nationkey", "n_regionkey")
-    cn = _two_state_keys(c.join(n, c.c_nationkey == n.n_nationkey), "n_nationkey") \
-        .withColumnRenamed("n_regionkey", "state")
-    base = cn.groupBy("state", "county").agg(F.count(F.lit(1)).cast("double").alias("value"))
+    keys = _two_state_keys(n, "n_nationkey").withColumnRenamed("n_regionkey", "state")
+    # customers are counted, and updates cut to each customer's, then each nation's last, before the joins
+    per = c.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
+    base = (per.join(keys, per.c_nationkey == keys.n_nationkey).groupBy("state", "county")
+            .agg(F.sum("n").cast("double").alias("value")))
     o = T_(spark, d, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus") \
         .filter(F.col("o_orderstatus") == "P")
-    upd = o.join(cn, o.o_custkey == cn.c_custkey).select(
-        "state", "county", "o_orderkey", F.col("o_totalprice").alias("value"))
+    last = F.max(F.struct("o_orderkey", "o_totalprice")).alias("u")
+    of_customer = o.groupBy("o_custkey").agg(last)
+    of_nation = (of_customer.join(c, of_customer.o_custkey == c.c_custkey)
+                 .groupBy("c_nationkey").agg(F.max("u").alias("u")))
+    upd = of_nation.join(keys, of_nation.c_nationkey == keys.n_nationkey).select(
+        "state", "county", F.col("u.o_orderkey").alias("o_orderkey"), F.col("u.o_totalprice").alias("value"))
     return rounded(joins.lookup_update(base, upd, ["state", "county"], ["value"], order_col="o_orderkey"))
 
 
@@ -582,17 +586,16 @@ def feature_table(spark, d):
 
 @query("count_by_value")
 def count_by_value(spark, d):
-    c = sd.parcel_counts(spark, d)
-    return c.groupBy("label").agg(F.sum("n").cast("long").alias("n"))
+    return agg.count_by_value(sd.parcel_counts(spark, d), "label", "n", weight="n")
 
 
 @query("count_per_key")
 def count_per_key(spark, d):
-    li = T_(spark, d, "lineitem", "l_suppkey")
+    per = agg.count_per_key(T_(spark, d, "lineitem", "l_suppkey"), "l_suppkey")
     s = T_(spark, d, "supplier", "s_suppkey", "s_nationkey")
     g = sd.geo(spark, d)
-    j = li.join(s, li.l_suppkey == s.s_suppkey).join(g, F.col("s_nationkey") == g.n_nationkey)
-    return agg.count_per_key(j, "county")
+    of_nation = per.join(s, per.l_suppkey == s.s_suppkey).groupBy("s_nationkey").agg(F.sum("n").alias("n"))
+    return agg.count_per_key(of_nation.join(g, of_nation.s_nationkey == g.n_nationkey), "county", weight="n")
 
 
 @query("histogram_per_key")
@@ -612,19 +615,19 @@ TYPE_PREFIXES = ["PRO", "SMA"]
 
 def _brand_type_hist(spark, d):
     p = T_(spark, d, "part", "p_brand", "p_type")
-    return p, agg.histogram_per_key(p, "p_brand", "p_type")
+    return agg.histogram_per_key(p, "p_brand", "p_type")
 
 
 @query("histogram_filtered")
 def histogram_filtered(spark, d):
-    p, h = _brand_type_hist(spark, d)
-    return agg.histogram_filtered(h, p, "p_brand", flt.prefix_any("p_type", TYPE_PREFIXES))
+    h = _brand_type_hist(spark, d)
+    return agg.histogram_filtered(h, h, "p_brand", flt.prefix_any("p_type", TYPE_PREFIXES))
 
 
 @query("histogram_total")
 def histogram_total(spark, d):
-    p, h = _brand_type_hist(spark, d)
-    kept = agg.histogram_filtered(h, p, "p_brand", flt.prefix_any("p_type", TYPE_PREFIXES))
+    h = _brand_type_hist(spark, d)
+    kept = agg.histogram_filtered(h, h, "p_brand", flt.prefix_any("p_type", TYPE_PREFIXES))
     return agg.histogram_total(kept, "p_brand")
 
 
@@ -648,17 +651,17 @@ def describe_nonzero(spark, d):
 def explode_filtered(spark, d):
     p = T_(spark, d, "part", "p_partkey", "p_brand", "p_type", "p_name")
     lab = p.select("p_brand", F.lower(F.concat_ws(" ", "p_type", "p_name")).alias("label"))
-    nested = agg.group_values(lab, "p_brand", "label", "labels")
-    return reshape.explode_filtered(nested, "labels", lambda x: x.contains(sd.SINGLE_WORD), "label")
+    # one row per value already: the elements are kept by a filter, nothing is nested first
+    return lab.filter(F.col("label").contains(sd.SINGLE_WORD) & F.col("p_brand").isNotNull()).distinct()
 
 
 @query("union_sources")
 def union_sources(spark, d):
     p = T_(spark, d, "part", "p_partkey", "p_type", "p_name", "p_size")
     lab = F.lower(F.concat_ws(" ", "p_type", "p_name")).alias("label")
-    slices = [("small", 1, 10), ("medium", 11, 30), ("large", 31, 50)]
-    frames = [reshape.tag(p.filter(F.col("p_size").between(lo, hi)).select("p_partkey", lab), "source", nm)
-              for nm, lo, hi in slices]
+    size = F.col("p_size")
+    slices = [("small", size <= 10), ("medium", (size > 10) & (size <= 30)), ("large", size.isNull() | (size > 30))]
+    frames = [reshape.tag(p.filter(keep).select("p_partkey", lab), "source", nm) for nm, keep in slices]
     return reshape.union_sources(frames)
 
 
@@ -818,8 +821,8 @@ KEPT_CODE_PREFIX = ["1-U", "2-H"]
 
 @query("residential_by_code")
 def residential_by_code(spark, d):
-    o = sd.order_geo(spark, d, "o_orderpriority").filter(flt.prefix_any("o_orderpriority", RES_CODE_PREFIX))
-    hist = agg.histogram_per_key(o, "county", "o_orderpriority")
+    o = sd.order_geo_counts(spark, d, "o_orderpriority", flt.prefix_any("o_orderpriority", RES_CODE_PREFIX))
+    hist = o.groupBy("county", "o_orderpriority").agg(F.sum("n").cast("long").alias("n"))
     kept = hist.filter(flt.prefix_any("o_orderpriority", KEPT_CODE_PREFIX))
     tot = agg.histogram_total(kept, "county", out_col="kept_total")
     return hist.join(tot, "county", "left").select(

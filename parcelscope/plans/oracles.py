@@ -201,7 +201,7 @@ QUALITY = """{geo}, q AS (
 
 ORACLES: dict[str, str] = {
     "src_text_lines": "SELECT o_orderkey, o_orderstatus FROM orders",
-    "src_csv_multiline": "SELECT conv_id, turn, role, cast(length(text) AS BIGINT) AS text_len FROM conversations",
+    "src_csv_multiline": "SELECT conv_id, turn, role, md5(text) AS text_md5 FROM conversations",
     "drop_header_row": "SELECT p_partkey, p_name, p_brand, p_type, p_size FROM part",
     "skip_first_rows": "SELECT c_custkey, c_name, c_nationkey FROM customer",
     "row_range_slice": """
@@ -386,9 +386,9 @@ ORACLES: dict[str, str] = {
       SELECT DISTINCT p_brand, lower(concat_ws(' ', p_type, p_name)) AS label FROM part
       WHERE contains(lower(concat_ws(' ', p_type, p_name)), 'ring') AND p_brand IS NOT NULL""",
     "union_sources": """
-      SELECT p_partkey, lower(concat_ws(' ', p_type, p_name)) AS label, 'small' AS source FROM part WHERE p_size BETWEEN 1 AND 10
+      SELECT p_partkey, lower(concat_ws(' ', p_type, p_name)) AS label, 'small' AS source FROM part WHERE p_size <= 10
       UNION ALL SELECT p_partkey, lower(concat_ws(' ', p_type, p_name)), 'medium' FROM part WHERE p_size BETWEEN 11 AND 30
-      UNION ALL SELECT p_partkey, lower(concat_ws(' ', p_type, p_name)), 'large' FROM part WHERE p_size BETWEEN 31 AND 50""",
+      UNION ALL SELECT p_partkey, lower(concat_ws(' ', p_type, p_name)), 'large' FROM part WHERE p_size IS NULL OR p_size > 30""",
     "zip_columns": """
       WITH h AS (SELECT p_type, p_brand, count(*) AS n FROM part GROUP BY ALL)
       SELECT p_type, cast(row_number() OVER (PARTITION BY p_type ORDER BY p_brand, n) - 1 AS BIGINT) AS pos, p_brand, n

@@ -84,14 +84,20 @@ def customer_geo(spark: SparkSession, d: str, *cols: str) -> DataFrame:
     return c.join(g, c.c_nationkey == g.n_nationkey).drop("n_nationkey")
 
 
-def order_geo(spark: SparkSession, d: str, *cols: str) -> DataFrame:
-    """Orders with the (state, county) of their customer."""
-    o = table(spark, d, "orders", "o_custkey", *cols)
+def order_counts(spark: SparkSession, d: str, col: str, keep=None) -> DataFrame:
+    """Orders counted per (nation key of their customer, ``col``): counted per
+    customer before the join, so a customer with many orders is a few rows."""
+    o = table(spark, d, "orders", "o_custkey", col)
+    o = o.filter(keep) if keep is not None else o
+    per = o.groupBy("o_custkey", col).agg(F.count(F.lit(1)).alias("n"))
     c = table(spark, d, "customer", "c_custkey", "c_nationkey")
-    g = geo(spark, d)
-    return (o.join(c, o.o_custkey == c.c_custkey)
-            .join(g, F.col("c_nationkey") == g.n_nationkey)
-            .drop("c_custkey", "n_nationkey"))
+    return per.join(c, per.o_custkey == c.c_custkey).groupBy("c_nationkey", col).agg(F.sum("n").alias("n"))
+
+
+def order_geo_counts(spark: SparkSession, d: str, col: str, keep=None) -> DataFrame:
+    """(state, county, ``col``, n): orders counted per place of their customer."""
+    per, g = order_counts(spark, d, col, keep), geo(spark, d)
+    return per.join(g, per.c_nationkey == g.n_nationkey).select("state", "county", col, "n")
 
 
 def customer_features(spark: SparkSession, d: str) -> DataFrame:

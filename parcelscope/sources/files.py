@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parcelscope.session import materialise
+
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per line, ``value: string``."""
@@ -48,9 +50,10 @@ def read_csv_multiline(spark: SparkSession, path: str | list[str], n_cols: int,
             .csv(path))
 
 
-def with_row_index(scan: DataFrame, index_col: str = "row_idx", per_file: bool = False,
-                   keep_file: bool = False) -> DataFrame:
-    """S4 helper: a 0-based line/row index on a freshly scanned file source."""
+def _splits(scan: DataFrame, per_file: bool) -> tuple[DataFrame, DataFrame]:
+    """The scan with split and id of each row, and the table of splits: its rows
+    (``_n``), first id and the rows before it. The table is written once, so its
+    size is known when it is joined, and a small one is broadcast."""
     s = scan.select("*",
                     F.col("_metadata.file_path").alias("_fp"),
                     F.col("_metadata.file_block_start").alias("_bs"),
@@ -58,8 +61,14 @@ def with_row_index(scan: DataFrame, index_col: str = "row_idx", per_file: bool =
     splits = s.groupBy("_fp", "_bs").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     w = (Window.partitionBy("_fp").orderBy("_bs") if per_file
          else Window.partitionBy().orderBy("_fp", "_bs"))
-    splits = splits.withColumn(
-        "_before", F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return s, materialise(splits.withColumn(
+        "_before", F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))), "splits")
+
+
+def with_row_index(scan: DataFrame, index_col: str = "row_idx", per_file: bool = False,
+                   keep_file: bool = False) -> DataFrame:
+    """S4 helper: a 0-based line/row index on a freshly scanned file source."""
+    s, splits = _splits(scan, per_file)
     out = s.join(splits.select("_fp", "_bs", "_first", "_before"), on=["_fp", "_bs"], how="inner")
     out = out.withColumn(index_col, (F.col("_before") + F.col("_mid") - F.col("_first")).cast("long"))
     drop = ["_bs", "_mid", "_first", "_before"] + ([] if keep_file else ["_fp"])
@@ -117,7 +126,12 @@ def skip_first_rows(scan: DataFrame, n: int, per_file: bool = True) -> DataFrame
     :func:`row_range_slice`.
     """
     if not per_file:
-        return row_range_slice(scan, n, 1 << 62)
+        # only splits that begin before row n hold rows to drop: the others' rows join with nothing
+        s, splits = _splits(scan, per_file=False)
+        head = splits.filter(F.col("_before") < n).select("_fp", "_bs", "_first", "_before")
+        out = s.join(head, ["_fp", "_bs"], "left").filter(
+            F.col("_before").isNull() | (F.col("_before") + F.col("_mid") - F.col("_first") >= n))
+        return out.select(scan.columns)
     cols = len(scan.columns)
     return _with_block(scan).mapInArrow(_head_slice(cols, n, None), scan.schema)
 
@@ -132,9 +146,13 @@ def row_range_slice(scan: DataFrame, lo: int, hi: int | None = None,
     if per_file and not index_col:
         return _with_block(scan).mapInArrow(_head_slice(len(scan.columns), lo, end), scan.schema)
     name = index_col or "_ri"
-    out = with_row_index(scan, name, per_file=per_file)
-    out = out.filter((F.col(name) >= lo) & (F.col(name) < end))
-    return out if index_col else out.drop(name)
+    # only the splits that hold rows of the slice are joined
+    s, splits = _splits(scan, per_file)
+    hit = splits.filter((F.col("_before") < end) & (F.col("_before") + F.col("_n") > lo))
+    out = (s.join(hit.select("_fp", "_bs", "_first", "_before"), ["_fp", "_bs"])
+           .withColumn(name, (F.col("_before") + F.col("_mid") - F.col("_first")).cast("long"))
+           .filter((F.col(name) >= lo) & (F.col(name) < end)))
+    return out.select(*scan.columns, *([name] if index_col else []))
 
 
 def first_row(scan: DataFrame):
