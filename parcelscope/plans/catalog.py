@@ -24,6 +24,7 @@ from parcelscope.operators import cluster, joins, reshape, stats
 from parcelscope.operators import filters as flt
 from parcelscope.operators.ordering import exact_quantiles
 from parcelscope.plans import features as feat
+from parcelscope.plans import place_run, standin_files
 from parcelscope.plans import standin_data as sd
 from parcelscope.session import scratch_path
 from parcelscope.sources import catalog, files, results, sinks
@@ -852,3 +853,35 @@ def quality_of_life(spark, d):
     health = s.join(g, s.s_nationkey == g.n_nationkey).groupBy("state", "county") \
         .agg(F.avg("s_acctbal").alias("mental_health"))
     return rounded(joins.left_join_default(q, health, ["state", "county"], {"mental_health": 0.0}))
+
+
+# ------------------------- the programs themselves, on files made from the tables
+
+@query("place_label_report")
+def place_label_report(spark, d):
+    """E1-E3 by place_run: label counts with their total, all and residential."""
+    prof = place_run.zoning_profile(spark, standin_files.write_place(spark, d), standin_files.PLACE)
+    return reshape.union_sources([reshape.tag(prof["all_labels"], "report", "all"),
+                                  reshape.tag(prof["residential_labels"], "report", "residential")])
+
+
+@query("place_county_labels")
+def place_county_labels(spark, d):
+    """E1, E2 by place_run: residential label counts per county."""
+    root = standin_files.write_place(spark, d)
+    return place_run.zoning_profile(spark, root, standin_files.PLACE)["histogram"]
+
+
+@query("place_measures")
+def place_measures(spark, d):
+    """E4, E5, E7 by place_run: six commute modes, poverty with margins, five qualities and health."""
+    root = standin_files.write_place(spark, d)
+    parts = place_run.census_measures(spark, root, standin_files.PLACE)
+    modes, poverty, quality = parts[1], parts[2], parts[4]
+    return rounded(modes.join(poverty, place_run.KEY).join(quality, place_run.KEY))
+
+
+@query("place_features")
+def place_features(spark, d):
+    """E1-E8, J3 by place_run: the feature table of a place."""
+    return rounded(place_run.place_features(spark, standin_files.write_place(spark, d), standin_files.PLACE))

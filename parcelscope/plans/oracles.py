@@ -6,6 +6,9 @@ conversations. Doubles are rounded like the Spark side.
 
 from __future__ import annotations
 
+from parcelscope.plans import standin_files
+from parcelscope.plans.places import RACE
+
 
 def money_avg(c: str) -> str:
     """Average of a 2-decimal money column from exact integer cents."""
@@ -199,6 +202,9 @@ QUALITY = """{geo}, q AS (
   FROM customer c JOIN geo g ON c.c_nationkey = g.n_nationkey GROUP BY ALL)""".format(geo=GEO)
 
 
+# the commute modes of the stand-in place, and the segment that plays each
+MODES = list(zip(("car", "public", "bicycle", "walk", "wfh"), (x.lower() for x in standin_files.SEGMENTS)))
+
 ORACLES: dict[str, str] = {
     "src_text_lines": "SELECT o_orderkey, o_orderstatus FROM orders",
     "src_csv_multiline": "SELECT conv_id, turn, role, md5(text) AS text_md5 FROM conversations",
@@ -504,4 +510,39 @@ ORACLES: dict[str, str] = {
       SELECT q.state, q.county, q.n_customers, q.avg_acctbal, q.min_acctbal, q.max_acctbal, q.n_building,
              {_r("coalesce(h.mental_health, 0.0)", "mental_health")}
       FROM q LEFT JOIN h USING (state, county)""",
+    "place_label_report": """
+      WITH r AS (SELECT lower(c_mktsegment) AS label, count(*) AS n FROM customer GROUP BY ALL),
+      a AS (SELECT 'all' AS report, label, n FROM r
+            UNION ALL SELECT 'residential', label, n FROM r WHERE contains(label, 'building') OR contains(label, 'house'))
+      SELECT report, label, n FROM a
+      UNION ALL SELECT report, 'Total', cast(sum(n) AS BIGINT) FROM a GROUP BY report""",
+    "place_county_labels": """
+      SELECT 'standin' AS state, lower(n_name) AS county, lower(c_mktsegment) AS label, count(*) AS n
+      FROM customer JOIN nation ON c_nationkey = n_nationkey
+      WHERE c_mktsegment IN ('BUILDING', 'HOUSEHOLD') GROUP BY ALL""",
+    "place_measures": f"""
+      WITH {standin_files.PER_SQL}
+      SELECT 'standin' AS state, county, cast(n AS DOUBLE) AS commuters,
+        {", ".join(_r(f"{seg} / n::DOUBLE", f"percentage_{m}") for m, seg in MODES)},
+        {_r("(n % 30) / 100.0::DOUBLE", "owner_below_poverty")}, {_r("(n % 50) / 100.0::DOUBLE", "renter_below_poverty")},
+        {_r("(n % 4) / 100.0::DOUBLE", "owner_poverty_margin")}, {_r("(n % 5) / 100.0::DOUBLE", "renter_poverty_margin")},
+        {_r("cast(n % 40 AS DOUBLE)", "crime_rate")}, {_r("(n % 8 + 0.25::DOUBLE) / 100", "unemployment")},
+        n % 3 AS "nationalParkCount", {_r("(n % 6 + 0.5::DOUBLE) / 100", "stateParkCoverage")},
+        {_r("cast(n * 10 AS DOUBLE)", "costOfLiving")}, {_r("n % 9 + 0.5::DOUBLE", "mentalHealth")}
+      FROM per WHERE n > 0""",
+    "place_features": f"""
+      WITH {standin_files.PER_SQL},
+      f AS (SELECT *, building + household AS all_r FROM per WHERE building + household > 0)
+      SELECT 'standin' AS state, county, 'county' AS level, all_r AS all_residential,
+        household AS sf_residential, all_r - household AS multi_residential,
+        {_r("household / all_r::DOUBLE", "percent_residential")}, {_r("(all_r - household) / all_r::DOUBLE", "percent_multi")},
+        cast(n % 60 AS DOUBLE) AS commute_time_in_mins,
+        {", ".join(_r(f"{seg} / n::DOUBLE", f"percentage_{m}") for m, seg in MODES if m != "bicycle")},
+        {_r("(n - in_debt) / n::DOUBLE", "percentage_occupancy")}, {_r("in_debt / n::DOUBLE", "percentage_vacant")},
+        {_r("(n % 30) / 100.0::DOUBLE", "owner_below_poverty")}, {_r("(n % 50) / 100.0::DOUBLE", "renter_below_poverty")},
+        {_r("cast(n % 40 AS DOUBLE)", "crime_rate")}, {_r("(n % 8 + 0.25::DOUBLE) / 100", "unemployment")},
+        {_r("cast(n * 10 AS DOUBLE)", "costOfLiving")}, {_r("n % 9 + 0.5::DOUBLE", "mentalHealth")},
+        {_r("cast(n * 100 AS DOUBLE)", "median_income")},
+        {", ".join(_r(f"cast(n % {20 + i} AS DOUBLE)", c) for i, c in enumerate(RACE))}
+      FROM f""",
 }
