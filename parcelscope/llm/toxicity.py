@@ -36,8 +36,10 @@ LEAST_TEXTS = 4
 LEAST_SHARE, STEM_SHARE = 0.8, 0.97
 #: and by chance so few terms of its frequency would.
 BY_CHANCE = 0.3
-STEM_LENGTHS = (4, 5, 6, 7, 8, 9)
+STEM_LENGTHS = (5, 6, 7, 8)
 STEM_WORDS = 4
+#: Texts whose terms a worker counts at once.
+COUNTED = 2_500
 #: The lexicon keeps its most frequent terms up to this size, as a model bound.
 MAX_TERMS = 4_000
 #: Shorter terms must match exactly.
@@ -159,8 +161,8 @@ def text_features(text: str, m: Matcher) -> list[float]:
 # ---------------------------------------------------------------- learning
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts by term and label, summed over each batch before they are shuffled."""
-    for batch in batches:
+    """Texts by term and label, summed over runs of rows before they are shuffled."""
+    for batch in (b.slice(i, COUNTED) for b in batches for i in range(0, b.num_rows, COUNTED)):
         by: tuple[Counter, Counter] = (Counter(), Counter())
         for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             words = {w for w in WORD.findall(text.lower()) if 3 <= len(w) <= 40}
