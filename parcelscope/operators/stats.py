@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcelscope.session import materialise
 from parcelscope.operators.reshape import unpivot
 
 
@@ -96,7 +97,8 @@ def poly_fit(df: DataFrame, group_by: list[str], x: str, y: str, max_degree: int
     sse1..sse_max.
     """
     g = list(group_by)
-    b = _binned(df, g, x, y)
+    # written once: every degree reads the binned rows, the raw ones are scanned once
+    b = materialise(_binned(df, g, x, y), "binned")
     coef = b.groupBy(*g).agg(
         F.sum("w").alias("n"), F.count(F.lit(1)).alias("m"),
         F.min("x").alias("xmin"), F.max("x").alias("xmax"),

@@ -18,7 +18,7 @@ from parcelscope.operators import filters as flt
 from parcelscope.operators.joins import assemble
 from parcelscope.operators.reshape import union_sources
 from parcelscope.plans import places as P
-from parcelscope.sources import files
+from parcelscope.sources import files, sinks
 
 KEY = ["state", "county"]
 
@@ -97,12 +97,15 @@ def zoning_profile(spark: SparkSession, root: str, place: P.PlaceSpec) -> dict[s
     * ``kept``: the histogram restricted to the kept codes (A6) with each
       county's total (A7), counties without any kept code included.
     """
-    parcels = load_parcels(spark, root, place)
-    res = residential(parcels, place.rule)
-    hist = agg.histogram_per_key(res, KEY, "label")
+    # K5: the parcels are read once, as counts per (county, label), which every result reuses
+    counts = sinks.persist(agg.histogram_per_key(load_parcels(spark, root, place), KEY, "label"))
+    hist = residential(counts, place.rule)
+
+    def report(of: DataFrame) -> DataFrame:
+        return agg.with_total_row(agg.count_by_value(of, "label", weight="n"), "label")
     out = {
-        "all_labels": agg.label_report(parcels, "label"),
-        "residential_labels": agg.label_report(res, "label"),
+        "all_labels": report(counts),
+        "residential_labels": report(hist),
         "per_county": hist.groupBy(*KEY).agg(F.sum("n").cast("long").alias("n")),
         "histogram": hist,
     }

@@ -32,15 +32,18 @@ def parcel_label_stream(spark: SparkSession, directory: str, label_pos: int, n_c
     return labels.filter(flt.keyword_any("label", words)) if words else labels
 
 
-def start_label_counts(labels: DataFrame, sink_table: str, checkpoint: str | None = None,
+def start_label_counts(labels: DataFrame, path: str, checkpoint: str | None = None,
                        header_label: str | None = None) -> StreamingQuery:
-    """Keep ``label -> n`` current in an in-memory table (``complete`` mode;
-    the result has one row per distinct label, so it stays small). Rows whose
+    """Keep ``label -> n`` current in Parquet files at ``path``: each micro-batch
+    replaces them with the whole report, written by the executors. Rows whose
     label equals ``header_label`` (a header line) are not counted."""
     spark = labels.sparkSession
     if header_label is not None:
         labels = labels.filter(F.col("label") != header_label.lower())
     counts = labels.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    return (counts.writeStream.outputMode("complete").format("memory").queryName(sink_table)
-            .option("checkpointLocation", checkpoint or scratch_path(spark, f"stream-{sink_table}"))
+
+    def replace(report: DataFrame, _: int) -> None:
+        report.write.mode("overwrite").parquet(path)
+    return (counts.writeStream.outputMode("complete").foreachBatch(replace)
+            .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-labels"))
             .start())
