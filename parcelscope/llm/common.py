@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,3 +70,73 @@ def any_true(cols: list[Column]) -> Column:
     for c in cols[1:]:
         out = out | c
     return out
+
+
+# ---------------------------------------------------------------- a filter of ids ahead of a join
+
+#: Bits of the filter, and the parts it is put together in: 4 MB whatever the data.
+FILTER_BITS, FILTER_PARTS = 1 << 25, 64
+
+
+def _places(ids: pa.Array) -> np.ndarray:
+    """Two places of each id in the filter."""
+    x = ids.fill_null(0).to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return np.stack([x >> np.uint64(39), (x >> np.uint64(7)) % np.uint64(FILTER_BITS)]).astype(np.int64)
+
+
+def _set_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    bits = np.zeros(FILTER_BITS, bool)
+    for batch in batches:
+        bits[_places(batch.column(0))] = True
+    parts = np.packbits(bits).reshape(FILTER_PARTS, -1)
+    used = np.flatnonzero(parts.any(axis=1))
+    yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([parts[i].tobytes() for i in used], pa.binary())],
+                                     names=["part", "bits"])
+
+
+def _joined_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for k, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            x = np.frombuffer(b, np.uint8)
+            total[k] = total[k] | x if k in total else x
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())],
+                                     names=["part", "bits"])
+
+
+def _probable(docs: DataFrame, ids: DataFrame) -> Callable[[bool], DataFrame]:
+    """A function that gives the rows of ``docs`` whose ids are, or are not,
+    probably in ``ids``: told by a Bloom filter of fixed size, which goes to the
+    scan. One that is full, for very many ids, takes all rows for probable."""
+    ddl = "part int, bits binary"
+    rows = ids.select("doc_id").mapInArrow(_set_bits, ddl).repartition("part").mapInArrow(_joined_bits, ddl).collect()
+    whole = np.zeros((FILTER_PARTS, FILTER_BITS // FILTER_PARTS // 8), np.uint8)
+    for r in rows:
+        whole[r.part] = np.frombuffer(r.bits, np.uint8)
+    packed = whole.ravel()
+
+    at_id = docs.columns.index("doc_id")
+
+    def rows_that(are: bool) -> DataFrame:
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                at = _places(batch.column(at_id))
+                hit = (packed[at >> 3] >> (7 - (at & 7)) & 1).all(axis=0)
+                yield batch.filter(pa.array(hit == are))
+        return docs.mapInArrow(keep, docs.schema)
+    return rows_that
+
+
+def with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is in ``ids``. The join is exact; only rows
+    that probably match are shuffled to it."""
+    return _probable(docs, ids)(True).join(ids.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+
+
+def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id isn't in ``ids``, null ids included; rows
+    that surely aren't never reach the join."""
+    rows_that = _probable(docs, ids)
+    return rows_that(False).union(
+        rows_that(True).join(ids.select("doc_id"), "doc_id", "left_anti").select(docs.columns))

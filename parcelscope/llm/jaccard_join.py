@@ -30,7 +30,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .common import cut, documents
+from .common import cut, documents, with_ids
 from .components import components
 
 N = 5
@@ -257,7 +257,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     one = (cut_down(with_hub).groupBy("x").agg(F.max_by("y", F.struct("grams", -F.col("y"))).alias("y")))
     one = cut(one, "jaccard-hubs")
     ids = one.select(F.col("x").alias("doc_id")).union(one.select(F.col("y").alias("doc_id"))).distinct()
-    texts = cut(docs.join(ids, "doc_id", "left_semi"), "jaccard-texts")
+    texts = cut(with_ids(docs, cut(ids, "jaccard-ids")), "jaccard-texts")
     comp = components(cut(linked(one, texts).union(several_texts), "jaccard-links"))
 
     # then all pairs of ends that are still apart
@@ -266,21 +266,23 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     several = (apart.groupBy("gram").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
                .filter("lo <> hi").select("gram"))
     apart = cut(apart.join(several, "gram", "left_semi"), "jaccard-apart")
-    groups = apart.select("gram", "c").distinct()
-    twos = (groups.withColumnRenamed("c", "cx").join(groups.withColumnRenamed("c", "cy"), "gram")
-            .filter("cx < cy"))
-    px = apart.select("gram", F.col("c").alias("cx"), F.col("doc_id").alias("x"), F.col("n").alias("nx"),
-                      F.col("place").alias("px"))
-    py = apart.select("gram", F.col("c").alias("cy"), F.col("doc_id").alias("y"), F.col("n").alias("ny"),
-                      F.col("place").alias("py"))
-    more = (twos.join(px, ["gram", "cx"]).join(py, ["gram", "cy"])
-            .filter(sizes_fit(F.col("nx"), F.col("ny"))
-                    & places_fit(F.col("nx"), F.col("px"), F.col("ny"), F.col("py")))
+    # documents alike in component, size and place pass the filters together: pairs of such
+    # groups are filtered first, and only what is left is dealt out into documents
+    px = apart.select("gram", F.col("c").alias("cx"), F.col("n").alias("nx"), F.col("place").alias("px"),
+                      F.col("doc_id").alias("x"))
+    py = apart.select("gram", F.col("c").alias("cy"), F.col("n").alias("ny"), F.col("place").alias("py"),
+                      F.col("doc_id").alias("y"))
+    fits = ((F.col("cx") < F.col("cy")) & sizes_fit(F.col("nx"), F.col("ny"))
+            & places_fit(F.col("nx"), F.col("px"), F.col("ny"), F.col("py")))
+    gx, gy = px.drop("x").distinct(), py.drop("y").distinct()
+    twos = cut(gx.join(gy, (gx.gram == gy.gram) & fits)
+               .select(gx.gram, "cx", "nx", "px", "cy", "ny", "py"), "jaccard-groups")
+    more = (twos.join(px, ["gram", "cx", "nx", "px"]).join(py, ["gram", "cy", "ny", "py"])
             .select("x", "y", "nx", "ny", "cx", "cy").distinct())
     done = one.select("x", "y").union(one.select(F.col("y").alias("x"), F.col("x").alias("y")))
     more = cut(cut_down(more).join(done, ["x", "y"], "left_anti").select("x", "y", "cx", "cy"), "jaccard-apart-pairs")
     ids = more.select(F.col("x").alias("doc_id")).union(more.select(F.col("y").alias("doc_id"))).distinct()
-    texts = cut(docs.join(cut(ids, "jaccard-ids"), "doc_id", "left_semi"), "jaccard-texts")
+    texts = cut(with_ids(docs, cut(ids, "jaccard-ids")), "jaccard-texts")
     late = (linked(more.select("x", "y"), texts).join(more, [F.col("a") == F.col("x"), F.col("b") == F.col("y")])
             .select(F.col("cx").alias("a"), F.col("cy").alias("b")))
     joined = components(late).select(F.col("id").alias("component"), F.col("component").alias("whole"))

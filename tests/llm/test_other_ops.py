@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from llm_data import frame, odd_texts
 from parcelscope.llm import chat, hilbert_search
+from parcelscope.llm.common import with_ids, without_ids
 from parcelscope.llm.components import components
 
 
@@ -129,3 +130,13 @@ def test_registered_queries():
     names = set(E.queries())
     assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
     assert "pipeline" in names and set(E.oracle_sql()) <= names
+
+
+def test_rows_with_ids(spark):
+    docs = spark.createDataFrame([(i, "t") for i in range(-500, 500)] + [(None, "t"), (7, "again")], "doc_id long, text string")
+    ids = spark.createDataFrame([(i,) for i in range(0, 2000, 7)] + [(None,), (-3,)], "doc_id long")
+    got = sorted(r.doc_id for r in with_ids(docs, ids).collect())
+    assert got == sorted([*range(0, 500, 7), -3, 7])
+    rest = [r.doc_id for r in without_ids(docs, ids).collect()]
+    assert None in rest and sorted(got + [x for x in rest if x is not None]) == sorted([*range(-500, 500), 7])
+    assert with_ids(docs, ids.limit(0)).count() == 0 and with_ids(docs.limit(0), ids).count() == 0
