@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelscope.llm.common import cut, table
+from parcelscope.llm.common import cut, table, with_ids, without_ids
 from parcelscope.llm.decontaminate import contaminated
 from parcelscope.llm.jaccard_join import near_duplicates
 from parcelscope.llm.line_templates import drop_recurring_lines
@@ -43,17 +43,15 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
              "pipeline-components")
     gone = of.filter(F.col("doc_id") != F.col("component_id")).select("doc_id")
     again = of.filter((F.col("doc_id") == F.col("component_id")) & (F.col("rows") > 1)).select("doc_id")
-    # ids to look at are few; where their table is small, Spark broadcasts it and no text is shuffled
-    listed = cut(gone.withColumn("again", F.lit(False)).union(again.withColumn("again", F.lit(True))), "pipeline-ids")
-    single = docs.join(listed.select("doc_id"), "doc_id", "left_anti")
-    repeated = docs.join(listed.filter("again").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return single.select(docs.columns).unionByName(repeated.select(docs.columns))
+    again = cut(again, "pipeline-repeated")
+    listed = cut(gone.union(again), "pipeline-ids")
+    return without_ids(docs, listed).union(with_ids(docs, again).dropDuplicates(["doc_id"]))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold a test item or an edited copy of one."""
     found = cut(contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "pipeline-found")
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    return without_ids(docs, found)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
