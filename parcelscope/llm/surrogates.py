@@ -23,6 +23,8 @@ from .common import cut
 KEY = "surrogate-key"
 #: Draws after which a serial from the hash is appended instead.
 DRAWS = 12
+#: Draws after which a kind's surrogates count as used up, which is an error.
+LAST_DRAW = 64
 
 # Titles by gender, and the patterns of each kind of entity.
 TITLES = {"m": ("Mr", "Herr", "Monsieur", "Señor", "господин"),
@@ -152,7 +154,7 @@ def redrawn(found: DataFrame, key: str) -> DataFrame:
     real = cut(found.select("kind", "canon").distinct(), "pii-entities")
     left = real.withColumn("draw", F.lit(0))
     kept = None
-    while True:
+    for _ in range(LAST_DRAW):
         made = left.withColumn("s", canonical(F.col("kind"), surrogate(
             F.col("kind"), F.col("canon"), _spelled(F.col("kind"), F.col("canon")), F.col("draw"), key)))
         turn = Window.partitionBy("kind", "s").orderBy("canon")
@@ -167,6 +169,8 @@ def redrawn(found: DataFrame, key: str) -> DataFrame:
         left = made.filter("NOT ok").select("kind", "canon", (F.col("draw") + 1).alias("draw"))
         if not left.limit(1).count():
             return cut(kept.filter("draw > 0").select("kind", "canon", "draw"), "pii-redrawn")
+    raise RuntimeError("too few surrogates of these formats: " + ", ".join(
+        sorted(r.kind for r in left.select("kind").distinct().collect())))
 
 
 def _spelled(kind: Column, canon: Column) -> Column:
