@@ -74,15 +74,15 @@ def any_true(cols: list[Column]) -> Column:
 
 # ---------------------------------------------------------------- a filter of ids ahead of a join
 
-#: Bits of the filter, and the parts it is put together in: 4 MB whatever the data.
-FILTER_BITS, FILTER_PARTS = 1 << 25, 64
+#: Bits of the filter, and the parts it is put together in: 2 MB whatever the data.
+FILTER_BITS, FILTER_PARTS = 1 << 24, 64
 
 
 def _places(ids: pa.Array) -> np.ndarray:
     """Two places of each id in the filter."""
     x = ids.fill_null(0).to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return np.stack([x >> np.uint64(39), (x >> np.uint64(7)) % np.uint64(FILTER_BITS)]).astype(np.int64)
+    return np.stack([(x >> np.uint64(39)) % np.uint64(FILTER_BITS), (x >> np.uint64(7)) % np.uint64(FILTER_BITS)]).astype(np.int64)
 
 
 def _set_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

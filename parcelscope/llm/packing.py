@@ -31,7 +31,7 @@ OPEN_WINDOWS = 16
 MERGED = 32
 END_ID = 2
 #: Words a worker remembers with their ids.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 
 # The tokenizer's letters and numbers within Latin-1, and its word pattern.
 _LETTERS = "a-zA-Zªµºà-öø-ÿÀ-ÖØ-Þß"

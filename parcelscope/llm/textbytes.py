@@ -48,7 +48,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def chunks(column: pa.Array, most: int = 2_000_000) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def chunks(column: pa.Array, most: int = 600_000) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) over runs of rows with about ``most`` bytes; one
     text is never cut. ``column`` holds strings without nulls."""
     a = column.cast(pa.large_binary())
