@@ -29,8 +29,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops lines of recurring templates from the texts."""
-    out = drop_recurring_lines(docs)
+    """Drops lines of recurring templates, and lines equal in two texts, from the texts."""
+    out = drop_recurring_lines(docs, exact=True)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out

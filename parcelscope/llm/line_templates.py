@@ -7,6 +7,11 @@ there; every other token becomes a variable field. What comes out is the line's
 template. Templates of enough constant places that recur in enough different
 texts are dropped, but for their first line (smallest id, then place).
 
+With ``exact``, lines of enough tokens that are equal, white space apart, in two
+different texts or more are dropped as well, but for their first one, whatever
+their template and their share of digits. Lines are the unit of both: a passage
+that recurs within longer lines is not found.
+
 Only leaves that occur in enough texts go beyond the first count, so the tokens
 of ordinary prose are never shuffled.
 
@@ -91,13 +96,30 @@ def recurring_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return drop.groupBy("id", "th").agg(F.collect_set("pos").alias("bad"))
 
 
+def equal_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, th, bad): the places of lines that are equal in several different texts,
+    but for the first of each."""
+    lines = lines_of(df, id_col, text_col).select("id", "th", "pos", F.xxhash64("line").alias("lh"))
+    # two different texts have a least and a greatest hash: no list of texts is made
+    twice = cut(lines.groupBy("lh").agg(F.min("th").alias("lo"), F.max("th").alias("hi"))
+                .filter("lo <> hi").select("lh"), "equal-line-hashes")
+    found = cut(lines.join(twice, "lh", "left_semi"), "equal-lines")
+    first = found.groupBy("lh").agg(F.min(F.struct("id", "pos")).alias("first"))
+    drop = found.join(first, "lh").filter(~F.struct("id", "pos").eqNullSafe(F.col("first")))
+    return drop.groupBy("id", "th").agg(F.collect_set("pos").alias("bad"))
+
+
 def drop_recurring_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          min_docs: int = MIN_DOCS, constant: float = CONSTANT,
-                         dropped_col: str | None = None) -> DataFrame:
-    """``df`` with the recurring lines cut out of its texts; ``dropped_col`` names
-    an added column with the number of lines dropped."""
-    bad = recurring_lines(df, id_col, text_col, min_docs, constant).select(
-        F.struct("id", "th").alias("_row"), F.col("bad").alias("_bad"))
+                         dropped_col: str | None = None, exact: bool = False) -> DataFrame:
+    """``df`` with the recurring lines cut out of its texts, and with ``exact`` those
+    equal in two texts; ``dropped_col`` names an added column with the number of
+    lines dropped."""
+    bad = recurring_lines(df, id_col, text_col, min_docs, constant)
+    if exact:
+        bad = (bad.union(equal_lines(df, id_col, text_col)).groupBy("id", "th")
+               .agg(F.array_distinct(F.flatten(F.collect_list("bad"))).alias("bad")))
+    bad = bad.select(F.struct("id", "th").alias("_row"), F.col("bad").alias("_bad"))
     key = F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"))
     rows = df.select(F.struct(*[F.col(c) for c in df.columns]).alias("_all"), key.alias("_key"))
     out = rows.join(bad, (F.col("_key.id").eqNullSafe(F.col("_row.id")))

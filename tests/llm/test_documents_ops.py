@@ -126,6 +126,22 @@ def test_line_templates(spark, odd, empty):
     assert line_templates.drop_recurring_lines(odd).count() == odd.count()
 
 
+def test_lines_equal_in_two_texts(spark):
+    digits, words = "10 20 30 40 50 60", prose(40, 60)
+    texts = [(1, f"{prose(41, 30)}\n{digits}\n{words}"), (2, f"{words}\n{prose(42, 30)}\n{digits.replace(' ', '  ')}"),
+             (3, f"{prose(43, 30)}\n{digits}0"), (4, f"{prose(44, 30)}\nonly here, twice over\nonly here, twice over"),
+             (5, prose(45, 30)), (5, prose(45, 30)), (6, prose(45, 30)), (None, prose(46, 30) + "\n" + words),
+             (7, "too short here\n" + prose(47, 30)), (8, "too short here\n" + prose(48, 30))]
+    df = frame(spark, texts)
+    got = {(r.doc_id, r.text, r.n_dropped) for r in
+           line_templates.drop_recurring_lines(df, dropped_col="n_dropped", exact=True).collect()}
+    want = {(i, t, 0) for i, t in texts if i not in (1, 2)}  # copies of one text are one text
+    assert got == want | {(1, f"{prose(41, 30)}\n{digits}", 1), (2, prose(42, 30), 2)}
+    plain = {r.doc_id: r.text for r in line_templates.drop_recurring_lines(df).collect()}
+    assert plain[2].endswith(digits.replace(" ", "  "))  # by templates alone, the digits stay
+    assert line_templates.drop_recurring_lines(df.limit(0), exact=True).count() == 0
+
+
 # ---------------------------------------------------------------- 4 surrogates
 
 def test_surrogates(spark, empty):
