@@ -1,10 +1,13 @@
 """Benchmark decontamination (operator 10).
 
-Word n-grams of the test items are counted over all documents; the rarer ones of
-each item are its seeds. A document that holds a seed is a candidate for that
+Word n-grams of the test items are counted over all documents. An n-gram is common
+for an item when many documents hold it without another n-gram of that item next to
+it; so copies of the item, edited ones included, don't make its n-grams common,
+however many they are. All n-grams of an item but the common ones are its seeds,
+and at least the rarer half. A document that holds a seed is a candidate for that
 item: the words around the seed are aligned with the item by Smith-Waterman,
 many pairs at a time, and the score is the share of a perfect alignment. So
-edited copies are found as long as one rare n-gram is whole.
+edited copies are found as long as one n-gram that isn't common is whole.
 
 The items are worked on in blocks of bounded size; each block's n-grams go to
 the workers with the function that scans the documents.
@@ -28,10 +31,9 @@ from . import textbytes as tb
 from .common import documents
 
 N = 3
-#: Share of an item's n-grams, from the rarest, that are seeds; and their least number.
+#: Share of an item's n-grams, from the rarest, that are seeds anyhow; and their least number.
 SEED_SHARE, LEAST_SEEDS = 0.5, 6
-#: An n-gram in so few documents, or in so small a share of them, is always a seed:
-#: edited copies make the n-grams they keep a little more frequent than the others.
+#: An n-gram that stands alone in so few documents, or in so small a share of them, is always a seed.
 RARE_TEXTS, RARE_SHARE = 20, 5e-5
 #: Alignment: points for a match, a mismatch and a gap.
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -61,10 +63,9 @@ class Items:
         self.unique, self.first = np.unique(self.gram, return_index=True)
         self.last = np.append(self.first[1:], len(self.gram))
 
-    def choose(self, texts_with: np.ndarray, texts: int) -> "Seeds":
-        """The rarer n-grams of each item, with those tied at the edge, from the
-        documents that hold each n-gram."""
-        df = np.repeat(texts_with, self.last - self.first)
+    def choose(self, df: np.ndarray, texts: int) -> "Seeds":
+        """The n-grams of each item that aren't common, and its rarer ones with those
+        tied at the edge, from the documents that hold each without its neighbours."""
         order = np.lexsort((df, self.item))
         size = np.bincount(self.item, minlength=len(self.ids))
         start = np.cumsum(size) - size
@@ -96,17 +97,44 @@ def _in(sorted_grams: np.ndarray):
     return find
 
 
-def _count(unique: np.ndarray):
+def _passages(seeds: "Items | Seeds", at: np.ndarray, g, row, where, bounds):
+    """Hits on n-grams of items, sorted by row, item and passage: (row, item, first
+    word, last word + 1, entry of the n-gram, starts of the passages). Hits on about
+    the same diagonal are one passage."""
+    lo, hi = np.searchsorted(seeds.gram, g[at]), np.searchsorted(seeds.gram, g[at], "right")
+    n = hi - lo
+    k = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+    at = np.repeat(at, n)
+    item, r = seeds.item[k], row[at]
+    size = (seeds.bounds[1:] - seeds.bounds[:-1])[item]
+    slack = size // 4 + 4
+    a = np.maximum(where[at] - seeds.place[k] - slack, bounds[r])
+    b = np.minimum(where[at] - seeds.place[k] + size + slack, bounds[r + 1])
+    order = np.lexsort((a, item, r))
+    r, item, a, b, k = r[order], item[order], a[order], b[order], k[order]
+    far = np.ones(len(r), bool)
+    far[1:] = (r[1:] != r[:-1]) | (item[1:] != item[:-1]) | (a[1:] - a[:-1] > slack[order][1:] // 2)
+    return r, item, a, b, k, np.flatnonzero(far)
+
+
+def _count(items: Items):
+    """mapInArrow body: for each n-gram of each item, the texts that hold it in a
+    passage without another n-gram of the item."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = _in(unique)
+        find, size = _in(items.unique), max(len(items.gram), 1)
         for batch in batches:
-            total = np.zeros(len(unique), np.int64)
+            total = np.zeros(len(items.gram), np.int64)
             for _, data, offs in tb.chunks(batch.column(0)):
-                g, row, _ = tb.grams(*tb.word_hashes(data, offs, tb.NOT_ALNUM), N)
-                at = find(g)
-                k = np.searchsorted(unique, g[at])
-                pair = np.unique(row[at] * max(len(unique), 1) + k)
-                total += np.bincount(pair % max(len(unique), 1), minlength=len(unique))
+                h, bounds = tb.word_hashes(data, offs, tb.NOT_ALNUM)
+                g, row, where = tb.grams(h, bounds, N)
+                r, _, _, _, k, start = _passages(items, find(g), g, row, where, bounds)
+                if not len(r):
+                    continue
+                gram = items.gram[k]
+                alone = np.repeat(np.minimum.reduceat(gram, start) == np.maximum.reduceat(gram, start),
+                                  np.diff(np.append(start, len(r))))
+                pair = np.unique(r[alone] * size + k[alone])
+                total += np.bincount(pair % size, minlength=len(total))
             seen = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["k", "n"])
     return run
@@ -135,25 +163,10 @@ def align(items: np.ndarray, lengths: np.ndarray, windows: np.ndarray) -> np.nda
 
 
 def _candidates(seeds: Seeds, g, row, where, bounds, find):
-    """(row, item, first word, last word + 1) of the passages to align."""
-    at = find(g)
-    lo, hi = np.searchsorted(seeds.gram, g[at]), np.searchsorted(seeds.gram, g[at], "right")
-    n = hi - lo
-    k = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
-    at = np.repeat(at, n)
-    item, r = seeds.item[k], row[at]
-    size = (seeds.bounds[1:] - seeds.bounds[:-1])[item]
-    slack = size // 4 + 4
-    a = np.maximum(where[at] - seeds.place[k] - slack, bounds[r])
-    b = np.minimum(where[at] - seeds.place[k] + size + slack, bounds[r + 1])
-    order = np.lexsort((a, item, r))
-    r, item, a, b = r[order], item[order], a[order], b[order]
+    """(row, item, first word, last word + 1) of the passages to align, once each."""
+    r, item, a, b, _, start = _passages(seeds, find(g), g, row, where, bounds)
     if not len(r):
         return r, item, a, b
-    # hits on about the same diagonal lead to the same passage: align it once
-    far = np.ones(len(r), bool)
-    far[1:] = (r[1:] != r[:-1]) | (item[1:] != item[:-1]) | (a[1:] - a[:-1] > slack[order][1:] // 2)
-    start = np.flatnonzero(far)
     return r[start], item[start], a[start], np.maximum.reduceat(b, start)
 
 
@@ -216,9 +229,9 @@ def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     docs = documents(df, id_col, text_col)
     out, n = None, docs.count()
     for items in blocks(benchmark, item_id_col, item_text_col):
-        counts = (docs.select("text").mapInArrow(_count(items.unique), "k long, n long")
+        counts = (docs.select("text").mapInArrow(_count(items), "k long, n long")
                   .groupBy("k").agg(F.sum("n").alias("n")).collect())
-        texts_with = np.zeros(len(items.unique), np.int64)
+        texts_with = np.zeros(len(items.gram), np.int64)
         for r in counts:
             texts_with[r.k] = r.n
         part = docs.mapInArrow(_search(items.choose(texts_with, n), found_at), RESULT)

@@ -429,3 +429,32 @@ def test_decontamination(spark, odd, empty):
     assert all(x.score == 1.0 for x in got if x.doc_id is not None and x.doc_id < 8)
     assert decontaminate.contaminated(empty, bench).count() == 0
     assert decontaminate.contaminated(odd, bench.limit(0)).count() == 0
+
+
+def test_many_edited_copies_are_all_found(spark):
+    """The n-grams that edited copies keep most often are seeds as well, and common ones aren't."""
+    r = random.Random(5)
+    words = prose(3000, 4000, vocab=3000).split()
+    item = [f"word{i}" for i in range(17)] + "one of the".split()
+    copies = []
+    for i in range(400):
+        w = list(item)
+        if i < 300:
+            w[1], w[10], w[13], w[16] = "zzz", "zzz", "zzz", "zzz"  # whole: 2 ... 9
+        else:
+            for j in (4, 7, 9, 12, 15, 18):
+                w[j] = "yyy"  # whole: 0 ... 3
+        copies.append(w)
+    texts = [(i, " ".join(r.sample(words, 15) + w + r.sample(words, 15))) for i, w in enumerate(copies)]
+    texts += [(1000 + i, " ".join(r.sample(words, 20)) + " one of the " + " ".join(r.sample(words, 20))) for i in range(600)]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    want = {i for i, t in texts if i < 1000}
+    assert {x.doc_id for x in decontaminate.contaminated(frame(spark, texts), bench).collect()} == want
+    block, = decontaminate.blocks(bench, "item_id", "text")
+    batch = pa.RecordBatch.from_pydict({"text": [t for _, t in texts]})
+    out, = decontaminate._count(block)([batch])
+    alone = dict(zip(out.column(0).to_pylist(), out.column(1).to_pylist()))
+    assert len(alone) == 1 and max(alone.values()) >= 600  # the common phrase alone
+    df = np.zeros(len(block.gram), np.int64)
+    df[list(alone)] = list(alone.values())
+    assert len(block.choose(df, len(texts)).gram) == 17
