@@ -6,9 +6,10 @@ whose last hash is an inner hash of a longer one is a snapshot of it and goes,
 by an anti-join on (turns, hash); of equal conversations the smallest id stays.
 What is left is rendered turn by turn between role marks.
 
-A conversation is worked on in blocks of ``BLOCK`` turns: sums within blocks
-first, then the sums of the blocks before, from a table with one row per block.
-So a very long conversation is spread over tasks and never gathered in one row.
+A conversation is worked on in blocks of ``BLOCK`` turns, by their places: sums
+within blocks first, then the sums of the blocks before, from a table with one row
+per block. The places come from range partitions, so a very long conversation is
+spread over tasks and never gathered in one row, whatever its turn numbers are.
 
 Defined cases: a null role or text counts as empty; a null turn comes first;
 turns are ordered by number, then role, then text; rows equal in all four
@@ -21,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.ordering import indexed_sort
 from .common import cut
 
 BLOCK = 1024
@@ -34,47 +36,33 @@ def _part(seed: int) -> Column:
 
 
 def prefix_hashes(df: DataFrame) -> DataFrame:
-    """(conv_id, block, pos, role, text, h1, h2): place and rolling hashes of every turn.
+    """(conv_id, block, pos, role, text, n_turns, h1, h2): place and rolling hashes of every turn.
 
     The hash of a prefix is the sum of its turns' hashes, each made with the
     turn's place, kept twice with different seeds (80 bits).
     """
     turns = (df.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
                        F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-             .distinct()
-             .withColumn("block", F.floor(F.col("turn") / BLOCK).cast("long")))
+             .distinct())
+    placed = (indexed_sort(turns, ["turn", "role", "text"], ["conv_id"], "place", size_col="n_turns")
+              .select("conv_id", F.floor(F.col("place") / BLOCK).cast("long").alias("block"),
+                      (F.col("place") + 1).alias("pos"), "role", "text", "n_turns"))
     before = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    counts = (turns.groupBy("conv_id", "block").agg(F.count("*").alias("n"))
-              .withColumn("skip", F.coalesce(F.sum("n").over(before), F.lit(0))))
-    inner = Window.partitionBy("conv_id", "block").orderBy("turn", "role", "text")
-
-    def same(a: DataFrame, b: DataFrame) -> Column:
-        return a.conv_id.eqNullSafe(b.conv_id) & a.block.eqNullSafe(b.block)
-
-    local = turns.withColumn("rank", F.row_number().over(inner))
-    placed = (local.join(counts, same(local, counts))
-              .select(local.conv_id, local.block, (F.col("skip") + F.col("rank")).alias("pos"),
-                      "role", "text"))
-    run = Window.partitionBy("conv_id", "block").orderBy("pos")
-    upto = run.rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy("conv_id", "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     summed = placed.withColumn("h1", F.sum(_part(1)).over(upto)).withColumn("h2", F.sum(_part(2)).over(upto))
     totals = (placed.groupBy("conv_id", "block").agg(F.sum(_part(1)).alias("t1"), F.sum(_part(2)).alias("t2"))
               .withColumn("b1", F.coalesce(F.sum("t1").over(before), F.lit(0)))
               .withColumn("b2", F.coalesce(F.sum("t2").over(before), F.lit(0))))
-    return (summed.join(totals, same(summed, totals))
-            .select(summed.conv_id, summed.block, "pos", "role", "text",
+    return (summed.join(totals, summed.conv_id.eqNullSafe(totals.conv_id) & (summed.block == totals.block))
+            .select(summed.conv_id, summed.block, "pos", "role", "text", "n_turns",
                     (F.col("h1") + F.col("b1")).alias("h1"), (F.col("h2") + F.col("b2")).alias("h2")))
 
 
 def maximal(hashed: DataFrame) -> DataFrame:
     """(conv_id, n_turns) of the conversations that no other one continues or repeats."""
-    ends = hashed.groupBy("conv_id").agg(F.max(F.struct("pos", "h1", "h2")).alias("end"))
-    last = ends.select("conv_id", F.col("end.pos").alias("pos"), F.col("end.h1").alias("h1"),
-                       F.col("end.h2").alias("h2"))
-    lengths = ends.select("conv_id", F.col("end.pos").alias("length"))
-    inner = (hashed.join(lengths, hashed.conv_id.eqNullSafe(lengths.conv_id))
-             .filter(F.col("pos") < F.col("length")).groupBy("pos", "h1", "h2").agg(F.count("*").alias("n")))
-    one = last.groupBy("pos", "h1", "h2").agg(F.min("conv_id").alias("conv_id"))
+    inner = hashed.filter(F.col("pos") < F.col("n_turns")).groupBy("pos", "h1", "h2").agg(F.count("*").alias("n"))
+    one = (hashed.filter(F.col("pos") == F.col("n_turns")).groupBy("pos", "h1", "h2")
+           .agg(F.min("conv_id").alias("conv_id")))
     return one.join(inner, ["pos", "h1", "h2"], "left_anti").select("conv_id", F.col("pos").alias("n_turns"))
 
 
@@ -86,12 +74,15 @@ def render_conversations(df: DataFrame) -> DataFrame:
     """
     hashed = cut(prefix_hashes(df), "chat-turns")
     keep = cut(maximal(hashed), "chat-maximal")
-    mine = keep.select(F.col("conv_id").alias("keep_id"), "n_turns")
+    # by block, so a long conversation isn't one key of the join
+    last = F.floor((F.col("n_turns") - 1) / BLOCK).cast("long")
+    mine = keep.select(F.col("conv_id").alias("keep_id"),
+                       F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("keep_block"))
     turn = F.concat(F.lit(OPEN), "role", F.lit("\n"), "text", F.lit(CLOSE + "\n"))
-    kept = hashed.join(mine, hashed.conv_id.eqNullSafe(F.col("keep_id")))
+    kept = hashed.join(mine, hashed.conv_id.eqNullSafe(F.col("keep_id")) & (F.col("block") == F.col("keep_block")))
     return (kept.groupBy("conv_id", "block", "n_turns")
             .agg(F.array_sort(F.collect_list(F.struct("pos", turn.alias("s")))).alias("turns"))
-            .select("conv_id", F.coalesce("block", F.lit(-1)).alias("part"), "n_turns",
+            .select("conv_id", F.col("block").alias("part"), "n_turns",
                     F.array_join(F.col("turns.s"), "").alias("text")))
 
 

@@ -32,6 +32,22 @@ def test_chat_snapshots(spark):
     assert chat.render_conversations(df.limit(0)).count() == 0
 
 
+def test_chat_blocks_are_bounded_whatever_the_turns(spark):
+    """Rows without an id, null turns and repeated turns: no part of more than a block."""
+    rows = ([(None, i % 3, "user", f"lost {i:04}") for i in range(2500)] + [(1, None, "user", f"n{i:04}") for i in range(2100)]
+            + [(2, 7, "user", f"r{i:04}") for i in range(2100)] + [(3, None, "user", f"n{i:04}") for i in range(1500)]
+            + [(4, 5000 * i, "user", f"gap {i}") for i in range(4)])
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    by = {}
+    for r in sorted(chat.render_conversations(df).collect(), key=lambda r: r.part):
+        assert r.text.count(chat.OPEN) <= chat.BLOCK
+        by.setdefault((r.conv_id, r.n_turns), []).append(r.text)
+    want = {(None, 2500): sorted(r[1:4:2] for r in rows if r[0] is None), (1, 2100): [r[1:4:2] for r in rows if r[0] == 1],
+            (2, 2100): [r[1:4:2] for r in rows if r[0] == 2], (4, 4): [r[1:4:2] for r in rows if r[0] == 4]}
+    assert {k: "".join(v) for k, v in by.items()} == {
+        k: "".join(f"<|im_start|>user\n{t}<|im_end|>\n" for _, t in v) for k, v in want.items()}  # 3 is a snapshot of 1
+
+
 @pytest.mark.parametrize("dims,bits", [(2, 4), (3, 3), (4, 2)])
 def test_hilbert_curve_steps_to_neighbours(dims, bits):
     cells = np.array(list(itertools.product(range(1 << bits), repeat=dims)))
