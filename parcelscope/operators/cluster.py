@@ -78,11 +78,12 @@ def lloyd_step(df: DataFrame, features: list[str], centres: list[list[float]]) -
 
 
 def _start_picks(features: list[str], models: list[tuple[int, int]], seed: int):
-    """mapInPandas body: for every model (k, restart), the k points of the batch
+    """mapInPandas body: for every model (k, restart), the k points of the partition
     with the smallest hashes under the model's own seed."""
     def run(batches):
         import numpy as np
         import pandas as pd
+        best: dict = {}
         for pdf in batches:
             if pdf.empty:
                 continue
@@ -95,7 +96,10 @@ def _start_picks(features: list[str], models: list[tuple[int, int]], seed: int):
                 out = pdf.iloc[at][features].reset_index(drop=True)
                 out.insert(0, "place", x[at].astype("int64"))
                 out.insert(0, "model", np.int32(m))
-                yield out
+                if m in best:
+                    out = pd.concat([best[m], out]).sort_values("place", kind="stable").iloc[:k]
+                best[m] = out
+        yield from best.values()
     return run
 
 
@@ -191,20 +195,22 @@ def _starts(points: DataFrame, features: list[str], ks, restarts: int, seed: int
     """(k, restart) -> k random starting points, drawn for each model on its own.
 
     A point's place in a model's draw is a hash of its values, so the starts
-    don't depend on how the rows are partitioned. One pass for all models.
+    don't depend on how the rows are partitioned. Equal points are drawn once, so
+    a model's starts differ (and are fewer than k only if the points are). One pass
+    for all models; a partition sends k points per model, and the driver gets k.
     """
     models = [(k, r) for k in ks for r in range(restarts)]
     schema = T.StructType([T.StructField("model", T.IntegerType()), T.StructField("place", T.LongType())]
                           + [T.StructField(f, T.DoubleType()) for f in features])
-    picks = points.select(*features, F.xxhash64(*features).alias("_h")).mapInPandas(
+    picks = points.select(*features).distinct().withColumn("_h", F.xxhash64(*features)).mapInPandas(
         _start_picks(features, models, seed), schema)
     turn = Window.partitionBy("model").orderBy("place", *features)
-    rows = picks.withColumn("i", F.row_number().over(turn)).orderBy("model", "i").collect()
+    # the constant limit lets each task cut its share of a model's picks before they are shuffled
+    first = picks.withColumn("i", F.row_number().over(turn)).filter(F.col("i") <= max(ks, default=0))
+    k_of = F.element_at(F.array(*[F.lit(k) for k, _ in models]), F.col("model") + 1)
     out: dict = {m: [] for m in models}
-    for row in rows:
-        m = models[row["model"]]
-        if row["i"] <= m[0]:
-            out[m].append([float(row[f]) for f in features])
+    for row in first.filter(F.col("i") <= k_of).orderBy("model", "i").collect():
+        out[models[row["model"]]].append([float(row[f]) for f in features])
     return out
 
 

@@ -328,3 +328,21 @@ def test_kmeans_does_not_depend_on_the_layout(spark):
     labels = [{r.id: r.cluster for r in cluster.kmeans_assign(df.repartition(n), ["id"], cols, k=4, restarts=2).collect()}
               for n in (1, 7)]
     assert labels[0] == labels[1]
+
+
+def test_kmeans_starts_differ_and_stay_few(spark, monkeypatch):
+    """Copies of one point are drawn once; the driver gets k rows per model, not k per batch."""
+    pts = [(0.0, 0.0)] * 3000 + [(float(i), float(-i)) for i in range(1, 40)]
+    df = spark.createDataFrame(pts, "a double, b double").repartition(6)
+    keep = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    sent, collect = [], type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: sent.append(collect(self)) or sent[-1])
+    try:
+        starts = cluster._starts(df, ["a", "b"], [2, 5, 8], 20, 1)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", keep)
+    assert len(starts) == 60 and all(len({tuple(c) for c in cs}) == k for (k, _), cs in starts.items())
+    assert sum(map(len, sent)) == 20 * (2 + 5 + 8)
+    few = cluster._starts(df.filter("a < 2"), ["a", "b"], [3], 1, 1)
+    assert sorted(few[3, 0]) == [[0.0, 0.0], [1.0, -1.0]]
