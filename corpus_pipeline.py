@@ -5,9 +5,10 @@ returns a DataFrame, which is written as Parquet and reread as the next one's
 ``docs``. All but the last return the columns of ``docs``. A document whose text
 changes gets its ``n_chars`` anew, if it has that column.
 
-Null and empty texts go with the quality stage. Rows without an id pass the
-stages that drop by id. Rows that repeat an id stay one row from the near
-duplicates on.
+Null and empty texts go with the quality stage. The near duplicates and the test
+items are told by a row's id and text together, so every row is judged by its own
+text: rows without an id as well, and different texts of one id each for itself.
+Rows equal in id and text are one row from the near duplicates on.
 """
 
 from __future__ import annotations
@@ -22,6 +23,9 @@ from parcelscope.llm.line_templates import drop_recurring_lines
 from parcelscope.llm.packing import pack
 from parcelscope.llm.quality import keep_good
 
+#: The column of a row's key within a stage.
+KEY = "_row_key"
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the classifier rejects."""
@@ -36,22 +40,33 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key of its rows, from id and text: never null."""
+    return docs.withColumn(KEY, F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text"))
+
+
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, the one of the smallest id, of each group of near duplicates."""
-    of = cut(near_duplicates(docs).filter(F.col("doc_id").isNotNull())
-             .groupBy("doc_id").agg(F.count("*").alias("rows"), F.min("component_id").alias("component_id")),
-             "pipeline-components")
-    gone = of.filter(F.col("doc_id") != F.col("component_id")).select("doc_id")
-    again = of.filter((F.col("doc_id") == F.col("component_id")) & (F.col("rows") > 1)).select("doc_id")
-    again = cut(again, "pipeline-repeated")
-    listed = cut(gone.union(again), "pipeline-ids")
-    return without_ids(docs, listed).union(with_ids(docs, again).dropDuplicates(["doc_id"]))
+    """Keeps one document of each group of near duplicates: the one of the smallest
+    id, then key; one with an id before those without."""
+    rows = keyed(docs)
+    of = (near_duplicates(rows, id_col=KEY).groupBy(F.col("doc_id").alias(KEY))
+          .agg(F.count("*").alias("rows"), F.min("component_id").alias("component_id")))
+    ids = rows.groupBy(KEY).agg(F.min("doc_id").alias("doc_id"))
+    of = cut(of.join(ids, KEY), "pipeline-components")
+    first = (of.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", KEY)).alias("f"))
+             .select(F.col(f"f.{KEY}").alias(KEY)))
+    stay = of.join(first, KEY, "left_semi")
+    again = cut(stay.filter("rows > 1").select(KEY), "pipeline-repeated")
+    listed = cut(of.join(first, KEY, "left_anti").select(KEY).union(again), "pipeline-ids")
+    return without_ids(rows, listed, KEY).union(with_ids(rows, again, KEY).dropDuplicates([KEY])).drop(KEY)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold a test item or an edited copy of one."""
-    found = cut(contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "pipeline-found")
-    return without_ids(docs, found)
+    rows = keyed(docs)
+    found = contaminated(rows, table(spark, sf_dir, "benchmark"), id_col=KEY)
+    found = cut(found.select(F.col("doc_id").alias(KEY)).distinct(), "pipeline-found")
+    return without_ids(rows, found, KEY).drop(KEY)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -105,18 +105,18 @@ def _joined_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                      names=["part", "bits"])
 
 
-def _probable(docs: DataFrame, ids: DataFrame) -> Callable[[bool], DataFrame]:
+def _probable(docs: DataFrame, ids: DataFrame, key: str) -> Callable[[bool], DataFrame]:
     """A function that gives the rows of ``docs`` whose ids are, or are not,
     probably in ``ids``: told by a Bloom filter of fixed size, which goes to the
     scan. One that is full, for very many ids, takes all rows for probable."""
     ddl = "part int, bits binary"
-    rows = ids.select("doc_id").mapInArrow(_set_bits, ddl).repartition("part").mapInArrow(_joined_bits, ddl).collect()
+    rows = ids.select(key).mapInArrow(_set_bits, ddl).repartition("part").mapInArrow(_joined_bits, ddl).collect()
     whole = np.zeros((FILTER_PARTS, FILTER_BITS // FILTER_PARTS // 8), np.uint8)
     for r in rows:
         whole[r.part] = np.frombuffer(r.bits, np.uint8)
     packed = whole.ravel()
 
-    at_id = docs.columns.index("doc_id")
+    at_id = docs.columns.index(key)
 
     def rows_that(are: bool) -> DataFrame:
         def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,15 +128,15 @@ def _probable(docs: DataFrame, ids: DataFrame) -> Callable[[bool], DataFrame]:
     return rows_that
 
 
-def with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is in ``ids``. The join is exact; only rows
+def with_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose ``key`` is in ``ids``. The join is exact; only rows
     that probably match are shuffled to it."""
-    return _probable(docs, ids)(True).join(ids.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+    return _probable(docs, ids, key)(True).join(ids.select(key), key, "left_semi").select(docs.columns)
 
 
-def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id isn't in ``ids``, null ids included; rows
+def without_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose ``key`` isn't in ``ids``, null ids included; rows
     that surely aren't never reach the join."""
-    rows_that = _probable(docs, ids)
+    rows_that = _probable(docs, ids, key)
     return rows_that(False).union(
-        rows_that(True).join(ids.select("doc_id"), "doc_id", "left_anti").select(docs.columns))
+        rows_that(True).join(ids.select(key), key, "left_anti").select(docs.columns))

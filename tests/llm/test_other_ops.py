@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from llm_data import frame, odd_texts
+from llm_data import frame, odd_texts, prose
 from parcelscope.llm import chat, hilbert_search
 from parcelscope.llm.common import with_ids, without_ids
 from parcelscope.llm.components import components
@@ -141,6 +141,26 @@ def test_pipeline_stages(spark, tmp_path):
         assert stage(spark, df.limit(0), str(tmp_path)).count() == 0
 
 
+def test_pipeline_judges_every_row_by_its_own_text(spark, tmp_path):
+    """Rows without an id, and an id with several texts, through both dropping stages."""
+    import corpus_pipeline as P
+    item = prose(60, 20)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    a, b, c, d = (prose(61 + i, 120) for i in range(4))
+    near = b.replace(b.split()[60], "changed", 1)
+    df = frame(spark, [(5, a), (None, a), (None, a), (None, b), (None, near), (9, c), (9, d), (9, d), (3, d + " end"),
+                       (2, None), (None, None)])
+    out = P.near_duplicate(spark, df, str(tmp_path)).select("doc_id", "text").collect()
+    got = [(r.doc_id, r.text) for r in out if r.text is not None]
+    assert len(got) == len(set(got)) == 4
+    assert {(5, a), (9, c), (3, d + " end")} <= set(got) and set(got) & {(None, b), (None, near)}
+    held = f"{a} {item} {b}"
+    df = frame(spark, [(None, held), (None, c), (4, held), (4, d), (5, c)])
+    out = P.decontamination(spark, df, str(tmp_path))
+    assert out.columns == df.columns
+    assert sorted((str(r.doc_id), r.text) for r in out.collect()) == sorted([("None", c), ("4", d), ("5", c)])
+
+
 def test_registered_queries():
     import __spark_entry__ as E
     names = set(E.queries())
