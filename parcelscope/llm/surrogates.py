@@ -2,7 +2,8 @@
 
 Personal data found by pattern is replaced by made-up data of the same type and
 format: letters by letters of the same case, digits by digits, separators kept.
-Names after a title get a name of that gender and script. What stands for what
+Names after a title, as whole runs of capitalised words with their particles, get a
+name of that gender and script; names without a title are not found. What stands for what
 comes from a keyed hash of the entity's canonical form, so the same entity gets
 the same surrogate in every document and spelling. Surrogates that two entities
 would share, or that equal a real entity, are drawn again until all differ.
@@ -28,9 +29,12 @@ LAST_DRAW = 64
 
 # Titles by gender, and the patterns of each kind of entity.
 TITLES = {"m": ("Mr", "Herr", "Monsieur", "Señor", "господин"),
-          "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "госпожа")}
+          "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "госпожа"),
+          "n": ("Dr", "Prof", "Professor")}
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _TITLE = "|".join(sorted((t for ts in TITLES.values() for t in ts), key=len, reverse=True))
+_PART = "(?:(?:von|van|vom|der|den|de|del|della|di|da|dos|du|la|le|zu|zum|zur|ten|ter|bin|ibn|al|el|[dl]['’]) ?)*"
+_WORD = r"\p{Lu}(?:\.(?= \p{L})|[\p{L}\p{M}]*(?:['’-][\p{L}\p{M}]+)*(?![\p{L}\p{M}]))"
 PATTERNS = {
     "email": r"[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "iban": r"(?<![\p{L}0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}0-9])",
@@ -39,11 +43,11 @@ PATTERNS = {
     "phone": r"(?:(?<![\p{L}0-9])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}"
              r"|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|(?<![\p{L}0-9.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![\p{L}0-9])",
     "ssn": r"(?<![\p{L}0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}0-9-])",
-    "name": rf"(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?",
+    "name": rf"(?<!\p{{L}})(?:{_TITLE})\.?(?: (?:{_TITLE})\.?)*(?: {_PART}{_WORD})+",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: No entity is without one of these.
-HINT = rf"[0-9@]|(?:{_TITLE})\.? \p{{Lu}}"
+HINT = rf"[0-9@]|(?:{_TITLE})\.? \p{{L}}"
 #: Leading letters and digits that tell the type and stay.
 KEPT = {"iban": 2, "card": 1, "phone": 1}
 

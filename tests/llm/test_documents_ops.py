@@ -174,6 +174,17 @@ def test_surrogates(spark, empty):
     assert surrogates.replace_personal_data(empty).count() == 0
 
 
+def test_surrogates_take_whole_names(spark):
+    names = ["Mr McDonald", "Frau Müller-Lüdenscheidt", "Mr. John Paul Smith", "Mrs O'Neil", "Herr von Braun",
+             "Dr. Anna Berg", "Mr SMITH", "Herr Prof. Dr. Ludwig van der Berg", "Mr J. Smith", "Madame d'Arc"]
+    got = {r.doc_id: r for r in surrogates.replace_personal_data(
+        frame(spark, [(i, f"we saw {n}, and went") for i, n in enumerate(names)]), count_col="n").collect()}
+    for i, n in enumerate(names):
+        new = re.fullmatch(r"we saw (\S+)((?: [A-Z][a-z]+)+), and went", got[i].text)
+        assert new and new.group(1) == n.split()[0] and got[i].n == 1
+        assert not set(re.split(r"[ '.-]", n)[1:]) & set(new.group(2).split())
+
+
 def test_surrogates_stay_distinct_in_a_crowded_space(spark):
     """Two-letter mailboxes: many first draws collide; all surrogates must differ."""
     names = [f"{a}{b}@q.org" for a in "abcdefghij" for b in "abcdefghij"]
