@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
+from itertools import accumulate
 from math import log2
 
 import pyarrow as pa
@@ -43,7 +45,8 @@ ALLOW = re.compile(
     r"|example|placeholder|changeme|your[_-]|xxxxxx|deadbeef|sha\d+[-_=]",
     re.IGNORECASE)
 
-_XLOG = [0.0, 0.0] + [n * log2(n) for n in range(2, WINDOW + 1)]
+# a window holds one character more until the oldest has left it
+_XLOG = [0.0, 0.0] + [n * log2(n) for n in range(2, WINDOW + 2)]
 _TOP = log2(WINDOW)
 
 
@@ -110,17 +113,29 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def added_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Entropy spans that no base span covers and the allow list doesn't name."""
+    """Entropy spans that no base span covers and that overlap nothing the allow list names."""
     if not _DIGIT.search(text):
         return []
     out = []
+    # base spans are sorted: of those that start before a place, the one that reaches furthest
+    starts = [s for s, _, _ in base]
+    reach = list(accumulate((e for _, _, e in base), max))
     for m in CANDIDATE.finditer(text):
         run = m.group()
-        if not _DIGIT.search(run) or ALLOW.search(run):
+        if not _DIGIT.search(run):
             continue
-        for a, b in entropy_spans(run):
+        spans = entropy_spans(run)
+        allowed = [x.span() for x in ALLOW.finditer(run)] if spans else []
+        at = 0
+        for a, b in spans:
+            # both lists are in order and free of overlaps
+            while at < len(allowed) and allowed[at][1] <= a:
+                at += 1
+            if at < len(allowed) and allowed[at][0] < b:
+                continue
             a, b = a + m.start(), b + m.start()
-            if not any(s <= a and b <= e for s, _, e in base):
+            k = bisect_right(starts, a) - 1
+            if k < 0 or reach[k] < b:
                 out.append((a, 3, b))
     return out
 
