@@ -18,7 +18,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from math import comb
+from math import exp, lgamma, log, log1p
 
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
@@ -175,7 +175,21 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def chance(toxic: int, texts: int, base: float) -> float:
     """Probability that of ``texts`` texts at least ``toxic`` are, at this base rate."""
-    return sum(comb(texts, k) * base ** k * (1 - base) ** (texts - k) for k in range(toxic, texts + 1))
+    if toxic <= 0 or base >= 1:
+        return 1.0
+    if base <= 0:
+        return 0.0
+    # in logarithms, as the binomial coefficients of frequent terms are beyond a double
+    whole = lgamma(texts + 1) + texts * log1p(-base)
+    odds = log(base) - log1p(-base)
+    out = 0.0
+    for k in range(toxic, texts + 1):
+        term = exp(whole - lgamma(k + 1) - lgamma(texts - k + 1) + k * odds)
+        out += term
+        # beyond the mean the terms only fall
+        if k > base * texts and term <= out * 1e-15:
+            break
+    return min(out, 1.0)
 
 
 def learn_lexicon(train: DataFrame) -> tuple[list[str], list[str]]:
