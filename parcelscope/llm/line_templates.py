@@ -5,7 +5,8 @@ their leading tokens, where a token with a digit counts as a variable field.
 Within a leaf a place keeps the token that lines of enough documents have
 there; every other token becomes a variable field. What comes out is the line's
 template. Templates of enough constant places that recur in enough different
-texts are dropped, but for their first line (smallest id, then place).
+texts are dropped, but for their first line (smallest id, then text, told by its
+hash, then place).
 
 With ``exact``, lines of enough tokens that are equal, white space apart, in two
 different texts or more are dropped as well, but for their first one, whatever
@@ -90,9 +91,9 @@ def recurring_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     recurring = (of_line.select("leaf", "template", "th").distinct()
                  .groupBy("leaf", "template").count().filter(F.col("count") >= min_docs)
                  .select("leaf", "template"))
-    first = of_line.groupBy("leaf", "template").agg(F.min(F.struct("id", "pos")).alias("first"))
+    first = of_line.groupBy("leaf", "template").agg(F.min(F.struct("id", "th", "pos")).alias("first"))
     drop = (of_line.join(recurring.join(first, ["leaf", "template"]), ["leaf", "template"])
-            .filter(~F.struct("id", "pos").eqNullSafe(F.col("first"))))
+            .filter(~F.struct("id", "th", "pos").eqNullSafe(F.col("first"))))
     return drop.groupBy("id", "th").agg(F.collect_set("pos").alias("bad"))
 
 
@@ -104,8 +105,8 @@ def equal_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     twice = cut(lines.groupBy("lh").agg(F.min("th").alias("lo"), F.max("th").alias("hi"))
                 .filter("lo <> hi").select("lh"), "equal-line-hashes")
     found = cut(lines.join(twice, "lh", "left_semi"), "equal-lines")
-    first = found.groupBy("lh").agg(F.min(F.struct("id", "pos")).alias("first"))
-    drop = found.join(first, "lh").filter(~F.struct("id", "pos").eqNullSafe(F.col("first")))
+    first = found.groupBy("lh").agg(F.min(F.struct("id", "th", "pos")).alias("first"))
+    drop = found.join(first, "lh").filter(~F.struct("id", "th", "pos").eqNullSafe(F.col("first")))
     return drop.groupBy("id", "th").agg(F.collect_set("pos").alias("bad"))
 
 
@@ -133,7 +134,7 @@ def drop_recurring_lines(df: DataFrame, id_col: str = "doc_id", text_col: str =
     return out.select(*cols)
 
 
-#: The same rows for DuckDB.
+#: The same rows for DuckDB, with ``exact``.
 SQL = f"""
 WITH d AS (SELECT doc_id AS id, text, string_split(text, chr(10)) AS ls FROM documents),
 l0 AS (SELECT id, text, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM d),
@@ -155,8 +156,10 @@ lt AS (SELECT f.id, f.text, f.pos, f.leaf, t.tpl FROM f JOIN t ON f.leaf = t.lea
        WHERE t.fixed >= {CONSTANT} * t.n),
 r AS (SELECT leaf, tpl, min(row(id, pos)) AS first FROM lt GROUP BY leaf, tpl
       HAVING count(DISTINCT text) >= {MIN_DOCS}),
-bad AS (SELECT lt.id, list(lt.pos) AS bad FROM lt JOIN r ON lt.leaf = r.leaf AND lt.tpl = r.tpl
-        WHERE row(lt.id, lt.pos) <> r.first GROUP BY lt.id)
+eq AS (SELECT raw, min(row(id, pos)) AS first FROM l2 GROUP BY raw HAVING count(DISTINCT text) >= 2),
+gone AS (SELECT lt.id, lt.pos FROM lt JOIN r ON lt.leaf = r.leaf AND lt.tpl = r.tpl WHERE row(lt.id, lt.pos) <> r.first
+         UNION SELECT l2.id, l2.pos FROM l2 JOIN eq ON l2.raw = eq.raw WHERE row(l2.id, l2.pos) <> eq.first),
+bad AS (SELECT id, list(pos) AS bad FROM gone GROUP BY id)
 SELECT d.id AS doc_id,
        CASE WHEN bad IS NULL THEN d.text ELSE array_to_string(
          list_filter(d.ls, lambda x, i: NOT list_contains(bad.bad, i - 1)), chr(10)) END AS text,
