@@ -33,17 +33,18 @@ TITLES = {"m": ("Mr", "Herr", "Monsieur", "Señor", "господин"),
           "n": ("Dr", "Prof", "Professor")}
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _TITLE = "|".join(sorted((t for ts in TITLES.values() for t in ts), key=len, reverse=True))
-_PART = "(?:(?:von|van|vom|der|den|de|del|della|di|da|dos|du|la|le|zu|zum|zur|ten|ter|bin|ibn|al|el|[dl]['’]) ?)*"
-_WORD = r"\p{Lu}(?:\.(?= \p{L})|[\p{L}\p{M}]*(?:['’-][\p{L}\p{M}]+)*(?![\p{L}\p{M}]))"
+# repetitions without an end are possessive: they neither recurse nor try a run again from each of its places
+_PART = "(?:(?:von|van|vom|della|del|der|den|de|di|da|dos|du|la|le|zum|zur|zu|ten|ter|bin|ibn|al|el|[dl]['’]) ?)*+"
+_WORD = r"\p{Lu}(?:\.(?= \p{L})|[\p{L}\p{M}]*+(?:['’-][\p{L}\p{M}]++)*+(?![\p{L}\p{M}]))"
 PATTERNS = {
-    "email": r"[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,256}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+){1,8}+",
     "iban": r"(?<![\p{L}0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}0-9])",
     "card": r"(?<![\p{L}0-9])(?:[0-9]{4}(?:[ -]?[0-9]{4}){3}|[0-9]{13,19})(?![\p{L}0-9])",
     "ip": rf"(?<![\p{{L}}0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\p{{L}}0-9]|\.[0-9])",
     "phone": r"(?:(?<![\p{L}0-9])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}"
              r"|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|(?<![\p{L}0-9.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![\p{L}0-9])",
     "ssn": r"(?<![\p{L}0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}0-9-])",
-    "name": rf"(?<!\p{{L}})(?:{_TITLE})\.?(?: (?:{_TITLE})\.?)*(?: {_PART}{_WORD})+",
+    "name": rf"(?<!\p{{L}})(?:{_TITLE})\.?(?: (?:{_TITLE})\.?){{0,3}}(?: {_PART}{_WORD})++",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: No entity is without one of these.
@@ -73,7 +74,8 @@ def kind_of(value: Column) -> Column:
 
 def canonical(kind: Column, value: Column) -> Column:
     """What spellings of one entity have in common."""
-    return (F.when(kind.isin("email", "ip"), F.lower(value))
+    return (F.when(kind == "email", F.lower(F.ltrim(value, F.lit("."))))
+            .when(kind == "ip", value)
             .when(kind == "name", F.lower(F.regexp_replace(value, r"\.", "")))
             .otherwise(F.regexp_replace(value, "[^A-Z0-9]", "")))
 

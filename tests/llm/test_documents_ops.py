@@ -142,8 +142,31 @@ def test_lines_equal_in_two_texts(spark):
     assert line_templates.drop_recurring_lines(df.limit(0), exact=True).count() == 0
 
 
+def test_one_common_line_stays_once_whatever_the_ids(spark):
+    footer = "all rights of this page are kept by us"
+    for ids in ([None] * 6, [7] * 6, range(6)):
+        df = frame(spark, [(i, prose(60 + k, 20) + "\n" + footer) for k, i in enumerate(ids)])
+        for exact in (False, True):
+            left = line_templates.drop_recurring_lines(df, exact=exact).collect()
+            assert len(left) == 6 and sum(footer in r.text for r in left) == 1
+
+
 # ---------------------------------------------------------------- 4 surrogates
 
+def test_surrogates_of_long_runs(spark):
+    texts = ["1 " + "a." * 20_000, "Mr " + "Ab " * 8_000, "1 " + "a" * 1_000_000, "1@" + "a." * 400_000, "Mr A" + "-a" * 20_000,
+             "Mr " * 8_000 + "Ab", "Mr " + "von " * 8_000, "1" * 1_000_000, "a" * 500_000 + "@x", "Mr " + "A" * 500_000,
+             "1.1." * 100_000, "AB12 " * 20_000]
+    out = surrogates.replace_personal_data(frame(spark, list(enumerate(texts))), count_col="n").collect()
+    assert {r.doc_id: r.n for r in out if r.doc_id in (0, 2, 6, 7, 8, 10)} == dict.fromkeys((0, 2, 6, 7, 8, 10), 0)
+    assert all(r.n and r.text != texts[r.doc_id] for r in out if r.doc_id in (1, 3, 4, 5, 9, 11))
+
+
+def test_surrogates_of_emails(spark):
+    (row,) = surrogates.replace_personal_data(frame(spark, [(1, "to ..a.b@x.com, (c_d@y.org). e@f")]), count_col="n").collect()
+    assert row.n == 2 and re.fullmatch(r"to \.\.[a-z]\.[a-z]@[a-z]\.com, \([a-z]_[a-z]@[a-z]\.org\)\. e@f", row.text)
+
+
 def test_surrogates(spark, empty):
     texts = [(1, "Mail Bob.Smith@x.org or +1 (417) 555-3020, Mr. John Smith; card 4944339490429605, ip 61.131.143.218."),
              (2, "bob.smith@x.org +1 417-555-3020 Mr John Smith 4944 3394 9042 9605 Frau Müller"),
@@ -262,6 +285,16 @@ def test_toxicity_held_out_accuracy(spark):
     assert n.get((0, 1), 0) / (n[(0, 0)] + n.get((0, 1), 0)) < 0.01
 
 
+def test_chance_is_the_binomial_tail():
+    from math import comb
+    for toxic, texts, base in ((3, 10, 0.1), (0, 5, 0.2), (40, 60, 0.5), (10, 10, 0.9), (1, 400, 0.01)):
+        want = sum(comb(texts, k) * base ** k * (1 - base) ** (texts - k) for k in range(toxic, texts + 1))
+        assert toxicity.chance(toxic, texts, base) == pytest.approx(want, rel=1e-9)
+    assert toxicity.chance(1600, 2000, 0.1) < 1e-300 and toxicity.chance(20_000, 20_000, 0.1) == 0
+    assert 0.4 < toxicity.chance(10_000, 20_000, 0.5) < 0.6
+    assert toxicity.chance(3, 5, 0.0) == 0 and toxicity.chance(3, 5, 1.0) == 1
+
+
 # ---------------------------------------------------------------- 7 secrets
 
 def brute_spans(text):
@@ -310,6 +343,34 @@ def test_incremental_entropy_agrees_with_counts():
         assert got == want
 
 
+def test_secrets_in_long_runs():
+    odd = ["id " + "0" * 21, "-" * 26 + "1", "=" * 21 + "2", "A" * 21 + "1", "0" * 1_000_000, "a1" * 500_000,
+           "x9Kq27LmPz04RtYvBnWs8Ue1" * 20_000, "key=abcdef0123456789 " * 20_000, "token=" * 100_000, "AKIA" * 200_000]
+    got = secret_scan.scan_texts(list(range(len(odd))), odd)
+    for i, t in enumerate(odd):
+        base = ",".join(f"{secret_scan.KINDS[k]}:{s}:{e}" for s, k, e in brute_spans(t))
+        assert got["base_sha256"][i] == hashlib.sha256(base.encode()).hexdigest()
+
+
+def test_allow_list_drops_what_it_overlaps_alone():
+    secret = "x9Kq27LmPz04RtYvBnWs8Ue1"
+    far = "/" + "-" * 30 + "/"
+    assert secret_scan.scan_texts([1], [f"example{far}{secret}"])["n_entropy"] == [1]
+    assert secret_scan.scan_texts([1], [f"123e4567-e89b-12d3-a456-426614174000"])["n_entropy"] == [0]
+    r = random.Random(8)
+    for _ in range(200):
+        text = "".join(r.choice(["example", secret, far, " ", "deadbeefdeadbeef00", "token=", secret[::-1]]) for _ in range(6))
+        base = secret_scan.base_spans(text)
+        want = []
+        for m in secret_scan.CANDIDATE.finditer(text):
+            for a, b in secret_scan.entropy_spans(m.group()):
+                named = any(x.start() < b and a < x.end() for x in secret_scan.ALLOW.finditer(m.group()))
+                a, b = a + m.start(), b + m.start()
+                if not named and not any(s <= a and b <= e for s, _, e in base):
+                    want.append((a, 3, b))
+        assert secret_scan.added_spans(text, base) == want
+
+
 # ---------------------------------------------------------------- 8 Jaccard join
 
 def brute_components(texts):
