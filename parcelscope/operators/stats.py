@@ -1,15 +1,21 @@
 """Scaling and curve fitting (M1, M4-M7).
 
 Fits are grouped aggregates: one row of sufficient statistics per group, so
-the work is a partial aggregate over the data and the results are tiny.
+the work is a partial aggregate over the data and the results are tiny. NULL is a
+group like others.
 """
 
 from __future__ import annotations
 
+from math import comb
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from parcelscope.session import materialise
 from parcelscope.operators.reshape import unpivot
 
 
@@ -60,79 +66,208 @@ def linear_fit(df: DataFrame, group_by: list[str], x: str, y: str) -> DataFrame:
 
 # ------------------------------------------------------ M5 polynomial fits
 
-def _binned(df: DataFrame, group_by: list[str], x: str, y: str) -> DataFrame:
-    """Pre-aggregate to one row per (group, x): weight, sum y, sum y^2."""
-    return (df.select(*group_by, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-            .filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-            .groupBy(*group_by, "x")
-            .agg(F.count(F.lit(1)).cast("double").alias("w"), F.sum("y").alias("sy"),
-                 F.sum(F.col("y") * F.col("y")).alias("syy")))
+#: Partial rows of a task are merged whenever so many have come together.
+_MERGE_ROWS = 20_000
+#: Tasks that share the first merge of a group's partial rows.
+_SALTS = 64
 
 
-def _poly_terms(xc, max_k: int) -> list:
-    """p_0 .. p_max_k at ``xc`` from the coefficient columns a_j, b_j."""
-    ps = [F.lit(1.0)]
-    if max_k >= 1:
-        ps.append(xc - F.col("a0"))
-    for j in range(1, max_k):
-        ps.append((xc - F.col(f"a{j}")) * ps[j] - F.col(f"b{j}") * ps[j - 1])
-    return ps
+def _moment_schema(keys: pa.Schema) -> pa.Schema:
+    lists = pa.list_(pa.float64())
+    return pa.schema([*keys, ("xmin", pa.float64()), ("xmax", pa.float64()), ("y0", pa.float64()), ("yy", pa.float64()),
+                      ("m", lists), ("b", lists), ("xs", lists)])
 
 
-def poly_fit(df: DataFrame, group_by: list[str], x: str, y: str, max_degree: int = 4) -> DataFrame:
-    """Orthogonal-polynomial least squares, degrees 0..max_degree, per group.
+def _group_codes(batch: pa.RecordBatch | pa.Table, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each row's group, NULL being a value like others, and the first row of each group."""
+    code = np.zeros(batch.num_rows, np.int64)
+    for k in keys:
+        col = batch.column(k)
+        col = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
+        index = pc.dictionary_encode(col, null_encoding="encode").indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        _, code = np.unique(code * (index.max(initial=0) + 1) + index, return_inverse=True)
+    _, first, code = np.unique(code, return_index=True, return_inverse=True)
+    return code, first
+
+
+def _basis(xmin: np.ndarray, xmax: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Centre and half width of a range: within it, t = (x - centre) / width lies in -1..1."""
+    half = (xmax - xmin) / 2
+    return xmin + half, np.where(half > 0, half, 1.0)
+
+
+def _least_distinct(code: np.ndarray, x: np.ndarray, most: int) -> pa.Array:
+    """The ``most`` smallest different values of each group, as lists."""
+    order = np.lexsort((x, code))
+    code, x = code[order], x[order]
+    new = np.ones(len(x), bool)
+    new[1:] = (code[1:] != code[:-1]) | (x[1:] != x[:-1])
+    code, x = code[new], x[new]
+    starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+    place = np.arange(len(x)) - np.repeat(starts, np.diff(np.r_[starts, len(x)]))
+    code, x = code[place < most], x[place < most]
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(np.bincount(code))], pa.int32()), pa.array(x))
+
+
+def _lists(rows: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * rows.shape[1], pa.int32()), pa.array(rows.ravel()))
+
+
+def _summed(code: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Sums by group; every group has a row."""
+    order = np.argsort(code, kind="stable")
+    starts = np.flatnonzero(np.r_[True, np.diff(code[order]) > 0])
+    return np.add.reduceat(values[order], starts)
+
 
-    p0 = 1, p1 = x - a0, p(k+1) = (x - a_k) p_k - b_k p(k-1) with
-    a_k = sum(w x p_k^2) / S_k, S_k = sum(w p_k^2), b_k = S_k / S_(k-1),
-    c_k = sum(p_k * sum y) / S_k, over the (group, x)-binned rows (weight w =
-    rows per bin), so the raw rows are aggregated once.
+def _ends(code: np.ndarray, lo: np.ndarray, hi: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    xmin, xmax = np.full(n, np.inf), np.full(n, -np.inf)
+    np.minimum.at(xmin, code, lo)
+    np.maximum.at(xmax, code, hi)
+    return xmin, xmax
+
+
+def _moment_table(keys: pa.Table, xmin, xmax, y0, yy, m, b, xs) -> pa.Table:
+    cols = {**{k: keys.column(k) for k in keys.column_names}, "xmin": pa.array(xmin), "xmax": pa.array(xmax),
+            "y0": pa.array(y0), "yy": pa.array(yy), "m": _lists(m), "b": _lists(b), "xs": xs}
+    return pa.table(cols, schema=_moment_schema(keys.schema))
+
+
+def _batch_moments(batch: pa.RecordBatch, keys: list[str], degree: int) -> pa.Table:
+    """One row per group of a batch: range of x, mean of y, and the sums of t^k,
+    (y - mean) t^k and (y - mean)^2."""
+    x, y = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("x", "y"))
+    code, first = _group_codes(batch, keys)
+    xmin, xmax = _ends(code, x, x, len(first))
+    centre, half = _basis(xmin, xmax)
+    t = (x - centre[code]) / half[code]
+    powers = t[:, None] ** np.arange(2 * degree + 1)
+    m = _summed(code, powers)
+    y0 = _summed(code, y) / m[:, 0]
+    u = y - y0[code]
+    return _moment_table(pa.Table.from_batches([batch]).select(keys).take(pa.array(first)), xmin, xmax, y0, _summed(code, u * u),
+                         m, _summed(code, u[:, None] * powers[:, :degree + 1]), _least_distinct(code, x, degree + 1))
+
+
+def _merged_moments(rows: pa.Table, keys: list[str], degree: int) -> pa.Table:
+    """The same for the union of the rows of each group.
+
+    A group's rows are brought to the range and mean of the whole first. As the
+    range only widens, t of a part is a + b t' with |a| + b <= 1, so nothing cancels.
+    """
+    code, first = _group_codes(rows, keys)
+    n = len(first)
+    lo, hi, y0, yy = (rows.column(c).to_numpy() for c in ("xmin", "xmax", "y0", "yy"))
+    m = np.asarray(rows.column("m").combine_chunks().flatten()).reshape(-1, 2 * degree + 1)
+    b = np.asarray(rows.column("b").combine_chunks().flatten()).reshape(-1, degree + 1)
+    xmin, xmax = _ends(code, lo, hi, n)
+    centre, half = _basis(xmin, xmax)
+    own_centre, own_half = _basis(lo, hi)
+    shift = ((own_centre - centre[code]) / half[code])[:, None]
+    shrink = np.where(hi > lo, own_half / half[code], 0.0)[:, None]
+    count = _summed(code, m[:, 0])
+    mean = _summed(code, m[:, 0] * y0) / count
+    up = (y0 - mean[code])[:, None]
+    yy = yy + (2 * up * b[:, :1] + up * up * m[:, :1])[:, 0]
+    b = b + up * m[:, :degree + 1]
+
+    def moved(sums: np.ndarray) -> np.ndarray:
+        return np.stack([sum(comb(k, j) * shift[:, 0] ** (k - j) * shrink[:, 0] ** j * sums[:, j] for j in range(k + 1))
+                         for k in range(sums.shape[1])], axis=1)
+    sizes = rows.column("xs").combine_chunks().value_lengths().to_numpy()
+    xs = np.asarray(rows.column("xs").combine_chunks().flatten())
+    return _moment_table(rows.select(keys).take(pa.array(first)), xmin, xmax, mean, _summed(code, yy), _summed(code, moved(m)),
+                         _summed(code, moved(b)), _least_distinct(np.repeat(code, sizes), xs, degree + 1))
+
+
+def _merging(keys: list[str], degree: int, raw: bool):
+    """mapInArrow body: the partial rows of a task, merged as they come in."""
+    def run(batches):
+        held: list[pa.Table] = []
+        for batch in batches:
+            if batch.num_rows:
+                held.append(_batch_moments(batch, keys, degree) if raw
+                            else pa.Table.from_batches([batch]).drop_columns(["salt"]))
+            if sum(h.num_rows for h in held) > _MERGE_ROWS:
+                whole = _merged_moments(pa.concat_tables(held), keys, degree)
+                held = [whole]
+                if whole.num_rows > _MERGE_ROWS // 2:  # many groups: merging here doesn't help
+                    yield from whole.to_batches()
+                    held = []
+        if held:
+            yield from _merged_moments(pa.concat_tables(held), keys, degree).to_batches()
+    return run
+
+
+def _solved(rows: pa.Table, keys: list[str], degree: int) -> pa.Table:
+    """The fits of merged rows, from their normal equations."""
+    m, b = (np.asarray(rows.column(c).combine_chunks().flatten()).reshape(rows.num_rows, -1) for c in ("m", "b"))
+    y0, yy, xmin, xmax = (rows.column(c).to_numpy() for c in ("y0", "yy", "xmin", "xmax"))
+    gram = m[:, np.add.outer(np.arange(degree + 1), np.arange(degree + 1))]
+    coef = np.zeros((rows.num_rows, degree, degree + 1))
+    sse = np.zeros((rows.num_rows, degree))
+    for d in range(1, degree + 1):
+        g, r = gram[:, :d + 1, :d + 1], b[:, :d + 1]
+        c = np.einsum("nij,nj->ni", np.linalg.pinv(g, rcond=1e-14, hermitian=True), r)
+        sse[:, d - 1] = np.maximum(yy - 2 * (c * r).sum(1) + np.einsum("ni,nij,nj->n", c, g, c), 0)
+        coef[:, d - 1, :d + 1] = c
+        coef[:, d - 1, 0] += y0
+    centre, half = _basis(xmin, xmax)
+    out = {k: rows.column(k) for k in keys}
+    return pa.table(out | {"n": m[:, 0], "m": pc.list_value_length(rows.column("xs")).cast(pa.int64()), "xmin": xmin, "xmax": xmax,
+                           "centre": centre, "half": half, "sse": _lists(sse),
+                           "coef": pa.ListArray.from_arrays(pa.array(np.arange(rows.num_rows + 1) * degree, pa.int32()),
+                                                            _lists(coef.reshape(-1, degree + 1)))})
+
+
+def _solving(keys: list[str], degree: int):
+    """mapInArrow body over rows sorted by group: only the last group of a batch can go on in the next."""
+    def run(batches):
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            whole = _merged_moments(rows if held is None else pa.concat_tables([held, rows]), keys, degree)
+            code, _ = _group_codes(pa.concat_tables([rows.slice(rows.num_rows - 1).select(keys), whole.select(keys)]), keys)
+            held = whole.filter(pa.array(code[1:] == code[0]))
+            yield from _solved(whole.filter(pa.array(code[1:] != code[0])), keys, degree).to_batches()
+        if held is not None:
+            yield from _solved(held, keys, degree).to_batches()
+    return run
+
+
+def poly_fit(df: DataFrame, group_by: list[str], x: str, y: str, max_degree: int = 4) -> DataFrame:
+    """Least-squares polynomials of degrees 1..max_degree, per group.
 
-    Degree k is one grouped aggregate of the binned rows joined with the
-    group's coefficients so far (a tiny table); p_k is recomputed from x by
-    the recurrence, and the earlier coefficients ride along in the aggregate,
-    so the plan grows linearly with the degree. A last pass gives the
-    in-sample SSE of every degree.
+    One scan and no join: every task sums, per group, the powers of t (x brought to
+    -1..1 by the range it has seen) and their products with y, Arrow batch by Arrow
+    batch. Such rows of any parts of a group can be merged, whatever their ranges.
+    They are merged in two steps, the first one salted, so a group that all tasks
+    hold is spread; each group is then solved once, from rows sorted by group. A
+    NULL group is a group.
 
-    One row per group: n, m (distinct x), xmin, xmax, a_k, b_k, c_k, S_k,
-    sse1..sse_max.
+    One row per group: n, m (distinct x, counted up to max_degree + 1), xmin, xmax,
+    centre and half (t = (x - centre) / half), sse and coef (in powers of t) by degree.
     """
     g = list(group_by)
-    # written once: every degree reads the binned rows, the raw ones are scanned once
-    b = materialise(_binned(df, g, x, y), "binned")
-    coef = b.groupBy(*g).agg(
-        F.sum("w").alias("n"), F.count(F.lit(1)).alias("m"),
-        F.min("x").alias("xmin"), F.max("x").alias("xmax"),
-        F.sum("w").alias("S0"),
-        (F.sum(F.col("w") * F.col("x")) / F.sum("w")).alias("a0"),
-        (F.sum("sy") / F.sum("w")).alias("c0"))
-    for k in range(1, max_degree + 1):
-        carried = [c for c in coef.columns if c not in g]
-        pk = _poly_terms(F.col("x"), k)[k]
-        j = b.join(coef, on=g)
-        coef = j.groupBy(*g).agg(
-            *[F.first(c).alias(c) for c in carried],
-            F.sum(F.col("w") * pk * pk).alias(f"S{k}"),
-            F.sum(F.col("w") * F.col("x") * pk * pk).alias(f"_xs{k}"),
-            F.sum(pk * F.col("sy")).alias(f"_ys{k}"))
-        coef = (coef.withColumn(f"a{k}", F.try_divide(F.col(f"_xs{k}"), F.col(f"S{k}")))
-                .withColumn(f"b{k}", F.try_divide(F.col(f"S{k}"), F.col(f"S{k - 1}")))
-                .withColumn(f"c{k}", F.try_divide(F.col(f"_ys{k}"), F.col(f"S{k}")))
-                .drop(f"_xs{k}", f"_ys{k}"))
-    # last pass: SSE of each degree, sum over bins of (y - yhat)^2
-    carried = [c for c in coef.columns if c not in g]
-    ps = _poly_terms(F.col("x"), max_degree)
-    yhat = F.col("c0") * ps[0]
-    sse = []
-    for d in range(1, max_degree + 1):
-        yhat = yhat + F.col(f"c{d}") * ps[d]
-        sse.append(F.sum(F.col("syy") - 2 * yhat * F.col("sy") + F.col("w") * yhat * yhat).alias(f"sse{d}"))
-    return b.join(coef, on=g).groupBy(*g).agg(*[F.first(c).alias(c) for c in carried], *sse)
+    rows = (df.select(*g, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+            .filter(F.col("x").isNotNull() & F.col("y").isNotNull()))
+    sums = T.StructType(rows.select(*g).schema.fields + [T.StructField(c, T.DoubleType()) for c in ("xmin", "xmax", "y0", "yy")]
+                        + [T.StructField(c, T.ArrayType(T.DoubleType())) for c in ("m", "b", "xs")])
+    part = rows.mapInArrow(_merging(g, max_degree, True), sums).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(_SALTS)))
+    part = part.repartition(*g, "salt").mapInArrow(_merging(g, max_degree, False), sums)
+    fits = T.StructType(rows.select(*g).schema.fields
+                        + [T.StructField("n", T.DoubleType()), T.StructField("m", T.LongType())]
+                        + [T.StructField(c, T.DoubleType()) for c in ("xmin", "xmax", "centre", "half")]
+                        + [T.StructField("sse", T.ArrayType(T.DoubleType())),
+                           T.StructField("coef", T.ArrayType(T.ArrayType(T.DoubleType())))])
+    return part.repartition(*g).sortWithinPartitions(*g).mapInArrow(_solving(g, max_degree), fits)
 
 
 def _rmse_col(d: int) -> Column:
     """RMSE of degree d; NULL when the group has fewer than d+1 distinct x."""
-    return F.when(F.col("m") >= d + 1,
-                  F.sqrt(F.greatest(F.col(f"sse{d}"), F.lit(0.0)) / F.col("n")))
+    return F.when(F.col("m") >= d + 1, F.sqrt(F.col("sse")[d - 1] / F.col("n")))
 
 
 def poly_fit_rmse(df: DataFrame, group_by: list[str], x: str, y: str,
@@ -158,7 +293,7 @@ def poly_best_degree(rmse_or_fit: DataFrame, group_by: list[str], max_degree: in
     """M5: the best degree per group, from :func:`poly_fit` rows or from the
     long (group, degree, rmse) rows of :func:`poly_fit_rmse`."""
     g = list(group_by)
-    if "sse1" in rmse_or_fit.columns:
+    if "sse" in rmse_or_fit.columns:
         b = rmse_or_fit.select(*g, _best_degree_col(max_degree).alias("b")).filter(F.col("b").isNotNull())
         return b.select(*g, F.col("b.degree").alias("best_degree"), F.col("b.rmse").alias("rmse"))
     valid = rmse_or_fit.filter(F.col("rmse").isNotNull())
@@ -180,10 +315,8 @@ def fit_curve_grid(df: DataFrame, group_by: list[str], x: str, y: str,
     grid = c.select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
     xg = F.col("xmin") + F.col("i").cast("double") * step
     grid = grid.withColumn("gx", F.when(F.col("i") == points - 1, F.col("xmax")).otherwise(xg))
-    ps = _poly_terms(F.col("gx"), max_degree)
-    yv = F.col("c0")
-    for k in range(1, max_degree + 1):
-        yv = yv + F.when(F.col("best_degree") >= k, F.col(f"c{k}") * ps[k]).otherwise(0.0)
+    t = (F.col("gx") - F.col("centre")) / F.col("half")
+    yv = F.aggregate(F.reverse(F.col("coef")[F.col("best_degree") - 1]), F.lit(0.0), lambda acc, c: acc * t + c)
     return grid.select(*g, F.col("i").alias("i"), F.col("gx").alias("x"), yv.alias("y"))
 
 

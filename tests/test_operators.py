@@ -179,6 +179,39 @@ def test_poly_fits_match_numpy(spark):
     assert np.allclose(grid.x, xg) and np.allclose(grid.y, np.polyval(np.polyfit(x, y, want), xg), atol=1e-7)
 
 
+def test_poly_fits_of_parts_with_other_ranges(spark):
+    """NULL and far-off groups, each in many tasks whose parts have ranges of their own."""
+    rnd = np.random.default_rng(3)
+    parts = {None: np.sort(rnd.normal(size=4000)), "far": np.sort(1e6 + rnd.uniform(0, 1e-2, 3000)),
+             "wide": np.sort(rnd.uniform(-1e8, 1e8, 3000)), "one": np.full(500, 2.5), "two": np.repeat([1.0, 4.0], 300)}
+    rows, want = [], {}
+    for g, x in parts.items():
+        t = (x - x.mean()) / (x.std() or 1)
+        y = 1e5 + 3 * t - t ** 2 + 0.2 * t ** 3 + rnd.normal(size=len(x))
+        rows += [(g, float(a), float(b)) for a, b in zip(x, y)]
+        want[g] = [_np_rmse(t, y, d) if len(set(x)) > d else None for d in range(1, 5)]
+    rows += [("far", None, 1.0), (None, 1.0, None)]
+    df = spark.createDataFrame(rows, "g string, x double, y double").repartitionByRange(13, "x", "y")
+    fit = stats.poly_fit(df, ["g"], "x", "y")
+    got = {(r.g, r.degree): r.rmse for r in stats.poly_fit_rmse(df, ["g"], "x", "y", fit=fit).collect()}
+    for g, rm in want.items():
+        for d, v in enumerate(rm, 1):
+            assert got[g, d] is None if v is None else abs(got[g, d] - v) < 1e-7 * v, (g, d)
+    best = {r.g: r.best_degree for r in stats.poly_best_degree(fit, ["g"]).collect()}
+    assert best == {None: 4, "far": 4, "wide": 4, "two": 1}
+    ends = {(r.g, r.i): r.x for r in stats.fit_curve_grid(df, ["g"], "x", "y", points=5, fit=fit).filter("i in (0, 4)").collect()}
+    assert ends == {(g, i): parts[g][-1 if i else 0] for g in best for i in (0, 4)}
+    plan = fit._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Scan ") == 1
+    assert stats.poly_fit(df.limit(0), ["g"], "x", "y").count() == 0
+
+
+def test_poly_fits_of_many_groups(spark):
+    df = spark.range(60_000).selectExpr("id % 7 AS a", "IF(id % 30000 = 0, NULL, id % 30000) AS g", "id * 1.0D AS x", "id * 2.0D AS y")
+    fit = stats.poly_fit(df, ["g", "a"], "x", "y", 2)
+    assert fit.agg({"n": "sum"}).first()[0] == 60_000 and fit.count() == df.select("g", "a").distinct().count()
+
+
 def test_linear_fit(spark):
     pdf = pd.DataFrame({"g": ["a"] * 5, "x": [1.0, 2, 3, 4, 5], "y": [2.0, 4.1, 5.9, 8.2, 9.9]})
     r = stats.linear_fit(spark.createDataFrame(pdf), ["g"], "x", "y").first()
