@@ -177,3 +177,57 @@ def test_skip_over_later_blocks(spark, tmp_path):
             files.skip_first_rows(scan, 3000).collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", keep)
+
+
+def quoted_rows(seed, n):
+    import random
+    r = random.Random(seed)
+    cell = lambda: r.choice(["plain", "", "two\nlines", "a,b", 'say "hi"', "x\n\n\ny", "é漢\n,", "\n", '"', "end\n" * r.randint(1, 60)])
+    return [[str(i), cell(), cell()] for i in range(n)]
+
+
+def csv_text(rows):
+    def field(v):
+        return '"' + v.replace('"', '""') + '"' if any(c in v for c in ',"\n') else v
+    return "".join(",".join(map(field, r)) + "\n" for r in rows)
+
+
+@pytest.mark.parametrize("block", [37, 200, 1 << 20])
+def test_quoted_records_across_splits(spark, tmp_path, block):
+    """Any split edge, within quoted fields too: the rows of the one-task read."""
+    rows = {k: quoted_rows(k, 60) for k in range(3)}
+    for k, rs in rows.items():
+        (tmp_path / f"p{k}.csv").write_text(csv_text(rs))
+    (tmp_path / "p3.csv").write_text("")
+    (tmp_path / "p4.csv").write_text('0,"open\nat\nits end",z')  # no last newline
+    keep = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0" if block == 200 else "100")
+    try:
+        key = lambda r: tuple((v is not None, v) for v in r)
+        got = sorted((tuple(r) for r in files.read_csv_records(spark, str(tmp_path), 3).collect()), key=key)
+        one = sorted((tuple(r) for r in files.read_csv_multiline(spark, str(tmp_path), 3).collect()), key=key)
+        assert got == one and len(got) == 181
+        assert [r for r in got if r[2] == "z"] == [("0", "open\nat\nits end", "z")]
+        if block > 1000:
+            left = files.read_csv_records(spark, str(tmp_path), 3, skip=2).collect()
+            assert sorted(int(r._c0) for r in left) == sorted([*range(2, 60)] * 3)
+    finally:
+        for c, v in keep.items():
+            spark.conf.set(c, v)
+
+
+def test_quoted_records_read_by_many_tasks(spark, tmp_path):
+    path = tmp_path / "big.csv"
+    rows = [[str(i), f"line {i}\nof \"{i % 7}\", here", "x" * (i % 50)] for i in range(200_000)]
+    path.write_text(csv_text(rows))
+    keep = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        df = files.read_csv_records(spark, str(path), 3)
+        assert df.rdd.getNumPartitions() > 5
+        h = [F.count("*"), F.bit_xor(F.xxhash64("_c0", "_c1", "_c2"))]
+        assert df.agg(*h).first() == spark.createDataFrame(rows, "_c0 string, _c1 string, _c2 string").withColumn(
+            "_c2", F.when(F.col("_c2") != "", F.col("_c2"))).agg(*h).first()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", keep)
