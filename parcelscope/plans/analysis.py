@@ -19,9 +19,11 @@ def analyze(spark: SparkSession, table: DataFrame, key: list[str], features: lis
             share: str = "percent_residential", multi_share: str = "percent_multi",
             total: str = "all_residential", min_total: float = 1, min_share: float = 0.70,
             k: int = 6, ks=range(1, 11), restarts: int = 10,
-            fit_to_rows: bool = False) -> dict[str, DataFrame]:
+            fit_to_rows: bool = False, centres: list[list[float]] | None = None) -> dict[str, DataFrame]:
     """Summary, top-5 tables, clusters and fits of ``table``.
 
+    * ``centres`` (of the scaled features) are taken instead of fitted ones, so that
+      the whole run can be checked: ``k`` is their number;
     * more clusters than rows are an error; with ``fit_to_rows`` the elbow leaves
       them out, and ``k`` is lowered to the number of rows;
     * rows with ``total`` <= ``min_total`` are dropped first (F5);
@@ -40,6 +42,7 @@ def analyze(spark: SparkSession, table: DataFrame, key: list[str], features: lis
     ensure_checkpoint_dir(spark)
     t = table.filter(flt.threshold(total, ">", min_total)).checkpoint(eager=True)
     n_rows = t.count()
+    k = k if centres is None else len(centres)
     if fit_to_rows:
         ks, k = [x for x in ks if x <= n_rows], min(k, n_rows)
     if max([k, *ks]) > n_rows:
@@ -50,8 +53,10 @@ def analyze(spark: SparkSession, table: DataFrame, key: list[str], features: lis
     out["top_single"] = reshape.top_k(t, share, 5, key)
     out["top_multi"] = reshape.top_k(t, multi_share, 5, key)
     out["scaled"] = stats.zscore(t, features, keep=key)
-    out["elbow"] = cluster.kmeans_elbow(spark, t, features, ks=ks, restarts=restarts)
-    out["clusters"] = cluster.kmeans_assign(t, key, features, k=k, restarts=restarts)
+    if ks:
+        out["elbow"] = cluster.kmeans_elbow(spark, t, features, ks=ks, restarts=restarts)
+    out["clusters"] = (cluster.kmeans_assign(t, key, features, k=k, restarts=restarts) if centres is None
+                       else out["scaled"].select(*key, cluster.nearest_centre(features, centres).cast("int").alias("cluster")))
     others = [f for f in features if f != share]
     pairs = stats.share_vs_feature(t, key, share, others, min_share=min_share)
     out["pairs"] = pairs.join(out["clusters"], key, "left")

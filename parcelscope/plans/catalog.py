@@ -24,7 +24,7 @@ from parcelscope.operators import cluster, joins, reshape, stats
 from parcelscope.operators import filters as flt
 from parcelscope.operators.ordering import exact_quantiles
 from parcelscope.plans import features as feat
-from parcelscope.plans import place_run, standin_files
+from parcelscope.plans import analysis, place_run, standin_files
 from parcelscope.plans import standin_data as sd
 from parcelscope.session import scratch_path
 from parcelscope.sources import catalog, files, results, sinks
@@ -104,7 +104,7 @@ def src_csv_multiline(spark, d):
     path = scratch_path(spark, "conversations-csv")
     (c.write.option("quote", '"').option("escape", '"').option("header", False)
      .option("lineSep", "\n").csv(path))
-    back = files.read_csv_multiline(spark, path, 4)
+    back = files.read_csv_records(spark, path, 4)
     return back.select(F.col("_c0").cast("long").alias("conv_id"), F.col("_c1").cast("long").alias("turn"),
                        F.col("_c2").alias("role"), F.md5("_c3").alias("text_md5"))
 
@@ -801,6 +801,40 @@ def share_vs_feature(spark, d):
     return rounded(stats.share_vs_feature(ft, feat.KEY, "percent_residential", others, min_share=SHARE_CUT))
 
 
+# ------------------------------------- the analysis as one run, from fixed centres
+
+def _analysis(spark, d):
+    """E9 on the county features; its clusters start and stay at the first three counties."""
+    ft = feat.county_features(spark, d)
+    t = ft.filter(flt.threshold("all_residential", ">", 1))
+    rows = stats.zscore(t, feat.FEATURES, keep=feat.KEY).orderBy(*feat.KEY).limit(3).collect()
+    centres = [[r[f] for f in feat.FEATURES] for r in rows]
+    return analysis.analyze(spark, ft, feat.KEY, feat.FEATURES, min_share=SHARE_CUT, ks=(), centres=centres)
+
+
+@query("analysis_summary")
+def analysis_summary(spark, d):
+    return rounded(_analysis(spark, d)["summary"])
+
+
+@query("analysis_top")
+def analysis_top(spark, d):
+    res = _analysis(spark, d)
+    cols = [*feat.KEY, "percent_residential", "percent_multi"]
+    return rounded(reshape.union_sources([reshape.tag(res[f"top_{x}"].select(*cols), "ranking", x) for x in ("single", "multi")]))
+
+
+@query("analysis_pairs")
+def analysis_pairs(spark, d):
+    """M7 with the cluster of each county."""
+    return rounded(_analysis(spark, d)["pairs"])
+
+
+@query("analysis_linear")
+def analysis_linear(spark, d):
+    return rounded(_analysis(spark, d)["linear"])
+
+
 # ------------------------------------------------------ end-to-end programs
 
 @query("residential_profile")
@@ -811,7 +845,9 @@ def residential_profile(spark, d):
     counts = sd.parcel_counts(spark, d, sd.RESIDENTIAL_WORDS, by=["l_returnflag"])
     hist = counts.groupBy("l_returnflag", "label").agg(F.sum("n").cast("long").alias("n"))
     totals = agg.histogram_total(hist, "l_returnflag", out_col="key_total")
-    return hist.join(totals, "l_returnflag").withColumnRenamed("l_returnflag", "source")
+    totals = totals.withColumnRenamed("l_returnflag", "_flag")
+    return (hist.join(totals, hist.l_returnflag.eqNullSafe(totals["_flag"])).drop("_flag")
+            .withColumnRenamed("l_returnflag", "source"))
 
 
 # Stand-in land-use codes. Codes starting with one of these

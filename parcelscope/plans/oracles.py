@@ -120,6 +120,19 @@ fl AS (
   UNPIVOT (SELECT state, county, {", ".join(f"{f}::DOUBLE AS {f}" for f in FEATURES)} FROM ft)
   ON {", ".join(FEATURES)} INTO NAME feature VALUE value)"""
 
+# E9 on the counties of more than one residential parcel; the first three are the centres
+ANALYSIS = f"""{FEATURE_CTE},
+an AS (SELECT * FROM ft WHERE all_residential > 1),
+az AS (SELECT state, county, {", ".join(
+    f"(({f}) - avg({f}) OVER ()) / coalesce(nullif(stddev_pop({f}) OVER (), 0), 1) AS {f}" for f in FEATURES)} FROM an),
+ac AS (SELECT row_number() OVER (ORDER BY state, county) - 1 AS j, * FROM (SELECT * FROM az ORDER BY state, county LIMIT 3)),
+ad AS (SELECT az.state, az.county, ac.j, {" + ".join(f"(az.{f} - ac.{f}) * (az.{f} - ac.{f})" for f in FEATURES)} AS d FROM az, ac),
+al AS (SELECT state, county, CAST(arg_min(j, (d, j)) AS INTEGER) AS cluster FROM ad GROUP BY state, county),
+pl AS (UNPIVOT (SELECT state, county, percent_residential::DOUBLE AS percent_residential,
+                {", ".join(f"{f}::DOUBLE AS {f}" for f in FEATURES if f != "percent_residential")} FROM an WHERE percent_residential > 0.125)
+       ON {", ".join(f for f in FEATURES if f != "percent_residential")} INTO NAME feature VALUE value),
+pairs AS (SELECT pl.*, al.cluster FROM pl JOIN al USING (state, county) WHERE value IS NOT NULL AND value <> 0)"""
+
 USER_MODES = """um AS (
   SELECT user_id, count(*) AS total,
     count(*) FILTER (WHERE event_type = 'click') AS click,
@@ -479,6 +492,32 @@ ORACLES: dict[str, str] = {
              ON {", ".join(f for f in FEATURES if f != "percent_residential")} INTO NAME feature VALUE value)
       SELECT state, county, {_r("percent_residential", "percent_residential")}, feature, {_r("value", "value")}
       FROM fl WHERE value IS NOT NULL AND value <> 0""",
+    "analysis_summary": f"""
+      WITH {ANALYSIS},
+      fl AS (UNPIVOT (SELECT state, county, {", ".join(f"{f}::DOUBLE AS {f}" for f in FEATURES)} FROM an)
+             ON {", ".join(FEATURES)} INTO NAME feature VALUE value)
+      SELECT feature, count(*) AS count, {_r("avg(value)", "mean")}, {_r("stddev_samp(value)", "std")},
+        {_r("min(value)", "min")}, {_r("quantile_cont(value, 0.25)", "p25")},
+        {_r("quantile_cont(value, 0.5)", "p50")}, {_r("quantile_cont(value, 0.75)", "p75")},
+        {_r("max(value)", "max")}
+      FROM fl WHERE value IS NOT NULL AND value <> 0 GROUP BY feature""",
+    "analysis_top": f"""
+      WITH {ANALYSIS}
+      SELECT * FROM (SELECT state, county, {_r("percent_residential", "percent_residential")},
+        {_r("percent_multi", "percent_multi")}, 'single' AS ranking FROM an ORDER BY an.percent_residential DESC, state, county LIMIT 5)
+      UNION ALL
+      SELECT * FROM (SELECT state, county, {_r("percent_residential", "percent_residential")},
+        {_r("percent_multi", "percent_multi")}, 'multi' AS ranking FROM an ORDER BY an.percent_multi DESC, state, county LIMIT 5)""",
+    "analysis_pairs": f"""
+      WITH {ANALYSIS}
+      SELECT state, county, {_r("percent_residential", "percent_residential")}, feature, {_r("value", "value")}, cluster
+      FROM pairs""",
+    "analysis_linear": f"""
+      WITH {ANALYSIS}
+      SELECT feature, count(*) AS n, {_r("regr_slope(value, percent_residential)", "slope")},
+        {_r("regr_intercept(value, percent_residential)", "intercept")},
+        {_r("corr(percent_residential, value)", "corr")}, {_r("regr_r2(value, percent_residential)", "r2")}
+      FROM pairs GROUP BY feature""",
     "residential_profile": f"""
       WITH {LABELS},
       r AS (SELECT l.l_returnflag AS source, lab.label FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey

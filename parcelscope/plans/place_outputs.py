@@ -43,9 +43,13 @@ def _nested_text(arr):
 def write_place_outputs(spark: SparkSession, root: str, place: P.PlaceSpec, out_dir: str,
                         mode: str = "overwrite") -> dict[str, str]:
     """Write every result of a place under ``out_dir``; returns name -> path."""
-    base = out_dir.rstrip("/")
+    with sinks.reused(R.label_counts(spark, root, place)) as counts:
+        paths = _write_parcels(R.zoning_profile(spark, root, place, counts), place, out_dir.rstrip("/"), mode)
+    return paths | _write_measures(R.census_measures(spark, root, place), out_dir.rstrip("/"), mode)
+
+
+def _write_parcels(prof: dict[str, DataFrame], place: P.PlaceSpec, base: str, mode: str) -> dict[str, str]:
     title = place.name.capitalize()
-    prof = R.zoning_profile(spark, root, place)
     paths: dict[str, str] = {}
 
     def report(name, counts, heading):
@@ -70,8 +74,11 @@ def write_place_outputs(spark: SparkSession, root: str, place: P.PlaceSpec, out_
             nest_histogram(kept, R.KEY, "label"), "county",
             _pair(F.col("county"), _nested_text(F.col("histogram"))),
             f"{base}/relevantResidentialByCounty", mode)
+    return paths
 
-    measures = R.census_measures(spark, root, place)
+
+def _write_measures(measures: list[DataFrame], base: str, mode: str) -> dict[str, str]:
+    paths: dict[str, str] = {}
     names = ["meanCommuteByCounty", "commuteTypesByCounty", "percentPovertyByCounty",
              "occupancyByCounty", "allQualitiesPlusHealth", "racesByCounty", "financesByCounty"]
     for name, m in zip(names, measures):

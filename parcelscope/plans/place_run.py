@@ -18,7 +18,8 @@ from parcelscope.operators import filters as flt
 from parcelscope.operators.joins import assemble
 from parcelscope.operators.reshape import union_sources
 from parcelscope.plans import places as P
-from parcelscope.sources import files, sinks
+from parcelscope.session import materialise
+from parcelscope.sources import files
 
 KEY = ["state", "county"]
 
@@ -30,11 +31,12 @@ def _label_source(spark: SparkSession, path: str, src: P.ParcelSource) -> DataFr
     need = max(src.label_pos, src.county_pos or 0) + 1
     n_cols = src.n_cols or need
     if src.reader == "csv":
-        raw = files.read_csv_multiline(spark, path, n_cols)
         if src.header == "first":
-            raw = files.drop_header_row(raw)
+            # the first row is read from the first file's beginning, the rows by many tasks
+            head = files.first_row(files.read_csv_multiline(spark, path, n_cols))
+            raw = files.drop_header_row(files.read_csv_records(spark, path, n_cols), head)
         else:
-            raw = files.skip_first_rows(raw, src.skip)
+            raw = files.read_csv_records(spark, path, n_cols, skip=src.skip)
         label = F.col(f"_c{src.label_pos}")
         county = F.col(f"_c{src.county_pos}") if src.county_pos is not None else None
         rows = raw.select(county.alias("county") if county is not None else F.lit(None).alias("county"),
@@ -87,9 +89,18 @@ def _is_single(rule: P.LabelRule) -> Column:
     return out
 
 
-def zoning_profile(spark: SparkSession, root: str, place: P.PlaceSpec) -> dict[str, DataFrame]:
+def label_counts(spark: SparkSession, root: str, place: P.PlaceSpec) -> DataFrame:
+    """Parcels of a place by (state, county, label): the one pass over them that
+    every parcel result is made of."""
+    return agg.histogram_per_key(load_parcels(spark, root, place), KEY, "label")
+
+
+def zoning_profile(spark: SparkSession, root: str, place: P.PlaceSpec, counts: DataFrame | None = None) -> dict[str, DataFrame]:
     """The label reports and per-county counts of a place.
 
+    ``counts`` are its :func:`label_counts`, for instance kept by ``sinks.reused``
+    while several results are written; by default each result reads the parcels.
+
     * ``all_labels``: count per label with a ``Total`` row (all parcels);
     * ``residential_labels``: the same over residential parcels;
     * ``per_county``: residential parcels per county (A4);
@@ -97,8 +108,7 @@ def zoning_profile(spark: SparkSession, root: str, place: P.PlaceSpec) -> dict[s
     * ``kept``: the histogram restricted to the kept codes (A6) with each
       county's total (A7), counties without any kept code included.
     """
-    # K5: the parcels are read once, as counts per (county, label), which every result reuses
-    counts = sinks.persist(agg.histogram_per_key(load_parcels(spark, root, place), KEY, "label"))
+    counts = label_counts(spark, root, place) if counts is None else counts
     hist = residential(counts, place.rule)
 
     def report(of: DataFrame) -> DataFrame:
@@ -117,15 +127,15 @@ def zoning_profile(spark: SparkSession, root: str, place: P.PlaceSpec) -> dict[s
     return out
 
 
-def housing_mix(spark: SparkSession, root: str, place: P.PlaceSpec) -> DataFrame:
+def housing_mix(spark: SparkSession, root: str, place: P.PlaceSpec, counts: DataFrame | None = None) -> DataFrame:
     """P24 per county: all residential (kept codes when the rule has them),
-    single family, the rest, and both shares."""
-    res = residential(load_parcels(spark, root, place), place.rule)
+    single family, the rest, and both shares, from the place's :func:`label_counts`."""
+    res = residential(label_counts(spark, root, place) if counts is None else counts, place.rule)
     if place.rule.kept_prefixes:
         res = res.filter(flt.prefix_any("label", list(place.rule.kept_prefixes)))
     single = _is_single(place.rule)
-    a = res.groupBy(*KEY).agg(F.count(F.lit(1)).alias("all_residential"),
-                              F.count_if(single).alias("sf_residential"))
+    a = res.groupBy(*KEY).agg(F.sum("n").cast("long").alias("all_residential"),
+                              F.sum(F.when(single, F.col("n")).otherwise(0)).cast("long").alias("sf_residential"))
     mix = fn.housing_mix("all_residential", "sf_residential")
     return a.select(*KEY, "all_residential", "sf_residential",
                     mix["multi"].alias("multi_residential"),
@@ -141,8 +151,28 @@ def county_of(name: Column) -> Column:
     return F.trim(F.replace(F.lower(fn.strip_quotes(first)), F.lit(" county"), F.lit("")))
 
 
-def read_census(spark: SparkSession, path: str, positions: dict[str, int],
-                skip: int = P.CENSUS_SKIP, rows: tuple[int, int] | None = None) -> DataFrame:
+#: Files of all places, and the columns read from them.
+NATIONWIDE = {"housing_race": P.RACE, "housing_financial": P.FINANCIAL}
+
+
+def nationwide(spark: SparkSession, root: str, places: list[P.PlaceSpec]) -> dict[str, DataFrame]:
+    """The rows of the nationwide census files that belong to any of the places, with
+    their ``row`` in the file, and the quality rows of their states: each file is
+    scanned once, whatever the number of places, and its few rows are written."""
+    out = {}
+    for name, cols in NATIONWIDE.items():
+        spans = [p.nationwide_rows for p in places]
+        lo, hi = min(s[0] for s in spans), max(s[1] for s in spans)
+        part = read_census(spark, P.dataset_paths(root, places[0])[name], cols, rows=(lo, hi), row_col="row")
+        mine = reduce(lambda a, b: a | b, [(F.col("row") >= a) & (F.col("row") < b) for a, b in spans])
+        out[name] = materialise(part.filter(mine), name)
+    lines = files.drop_header_row(files.read_lines(spark, P.dataset_paths(root, places[0])["QOL"]))
+    out["QOL"] = materialise(lines.filter(flt.prefix_any("value", sorted({p.qol_prefix for p in places}))), "QOL")
+    return out
+
+
+def read_census(spark: SparkSession, path: str, positions: dict[str, int], skip: int = P.CENSUS_SKIP,
+                rows: tuple[int, int] | None = None, row_col: str | None = None) -> DataFrame:
     """A census table: skip its leading rows (S4) or keep a row range (S5),
     parse the line as CSV (quoted names stay one field) and keep the
     (name, <positions>) columns, all as text. Only the needed columns are
@@ -151,10 +181,10 @@ def read_census(spark: SparkSession, path: str, positions: dict[str, int],
     raw = (spark.read.schema(files.string_schema(n)).option("header", False)
            .option("quote", '"').option("escape", '"').csv(path))
     if rows is not None:
-        raw = files.row_range_slice(raw, rows[0], rows[1], per_file=True)
+        raw = files.row_range_slice(raw, rows[0], rows[1], per_file=True, index_col=row_col)
     else:
         raw = files.skip_first_rows(raw, skip, per_file=True)
-    return raw.select(F.col(f"_c{P.CENSUS_NAME_POS}").alias("name"),
+    return raw.select(*([row_col] if row_col else []), F.col(f"_c{P.CENSUS_NAME_POS}").alias("name"),
                       *[F.col(f"_c{p}").alias(k) for k, p in positions.items()])
 
 
@@ -166,8 +196,10 @@ def _keyed(df: DataFrame, place: P.PlaceSpec, name_col: Column) -> DataFrame:
     return out
 
 
-def census_measures(spark: SparkSession, root: str, place: P.PlaceSpec) -> list[DataFrame]:
-    """Per-county measures of a place, typed (missing -> NULL).
+def census_measures(spark: SparkSession, root: str, place: P.PlaceSpec,
+                    shared: dict[str, DataFrame] | None = None) -> list[DataFrame]:
+    """Per-county measures of a place, typed (missing -> NULL); ``shared`` are
+    the :func:`nationwide` rows of several places.
 
     Besides the features: the number of commuters, the bicycle share and the
     margins of error of the poverty rates.
@@ -194,23 +226,28 @@ def census_measures(spark: SparkSession, root: str, place: P.PlaceSpec) -> list[
     parts.append(_keyed(occ, place, county_of(F.col("name"))).select(
         *KEY, fn.ratio(fn.parse_long("occupied"), fn.parse_long("total")).alias("percentage_occupancy"),
         fn.ratio(fn.parse_long("vacant"), fn.parse_long("total")).alias("percentage_vacant")))
-    parts.append(quality_of_life(spark, root, place))
     lo, hi = place.nationwide_rows
-    race = read_census(spark, paths["housing_race"], P.RACE, rows=(lo, hi))
+
+    def of_place(name: str) -> DataFrame:
+        if shared is None:
+            return read_census(spark, paths[name], NATIONWIDE[name], rows=(lo, hi))
+        return shared[name].filter((F.col("row") >= lo) & (F.col("row") < hi)).drop("row")
+    parts.append(quality_of_life(spark, root, place, shared and shared["QOL"]))
+    race = of_place("housing_race")
     parts.append(_keyed(race, place, county_of(F.col("name"))).select(
         *KEY, *[fn.parse_double(fn.null_if_missing(c)).alias(c) for c in P.RACE]))
-    fin = read_census(spark, paths["housing_financial"], P.FINANCIAL, rows=(lo, hi))
+    fin = of_place("housing_financial")
     parts.append(_keyed(fin, place, county_of(F.col("name"))).select(
         *KEY, fn.parse_double(fn.null_if_missing("median_income")).alias("median_income")))
     return parts
 
 
-def quality_of_life(spark: SparkSession, root: str, place: P.PlaceSpec) -> DataFrame:
+def quality_of_life(spark: SparkSession, root: str, place: P.PlaceSpec, lines: DataFrame | None = None) -> DataFrame:
     """Five qualities from QOL.csv left-joined with mental health (J1), which
     is NULL for a place that has none."""
     paths = P.dataset_paths(root, place)
     n = max(P.QOL.values()) + 1
-    lines = files.drop_header_row(files.read_lines(spark, paths["QOL"]))
+    lines = files.drop_header_row(files.read_lines(spark, paths["QOL"])) if lines is None else lines
     q = lines.filter(flt.prefix("value", place.qol_prefix)).select(fn.csv_fields("value", n).alias("r"))
     state, county = fn.clean_key(F.col("r._c0"))
     q = q.select(county.alias("qol_county"),
@@ -233,12 +270,13 @@ def quality_of_life(spark: SparkSession, root: str, place: P.PlaceSpec) -> DataF
 
 
 def place_features(spark: SparkSession, root: str, place: P.PlaceSpec,
-                   zero_fill: bool = True) -> DataFrame:
+                   zero_fill: bool = True, shared: dict[str, DataFrame] | None = None) -> DataFrame:
     """J3 for one place: one row per county (or city), the reference's 23
     features, plus ``level``: the geography of the parcel data (the census
     and quality values of a city come from its county's rows)."""
-    mix = housing_mix(spark, root, place)
-    measures = census_measures(spark, root, place)
+    # one row per county, used as spine and as part: written once
+    mix = materialise(housing_mix(spark, root, place), "housing-mix")
+    measures = census_measures(spark, root, place, shared)
     spine = mix.select(*KEY)
     out = assemble(spine, [mix, *[m.dropDuplicates(KEY) for m in measures]], KEY,
                    P.FEATURE_COLUMNS, zero_fill=zero_fill)
@@ -249,4 +287,6 @@ def feature_table(spark: SparkSession, root: str, names: list[str] | None = None
                   zero_fill: bool = True) -> DataFrame:
     """The feature table of several places (all six by default)."""
     names = names or list(P.PLACES)
-    return union_sources([place_features(spark, root, P.PLACES[n], zero_fill) for n in names])
+    places = [P.PLACES[n] for n in names]
+    shared = nationwide(spark, root, places)
+    return union_sources([place_features(spark, root, p, zero_fill, shared) for p in places])

@@ -7,6 +7,9 @@ that grow with the input.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,5 +70,15 @@ def write_report(report: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 def persist(df: DataFrame) -> DataFrame:
     """K5: keep a reused intermediate (memory, spilling to disk)."""
-    from pyspark import StorageLevel
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+@contextmanager
+def reused(df: DataFrame):
+    """K5 with an end: ``df`` is kept for the actions within, and released after them,
+    also when one fails."""
+    kept = persist(df)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()

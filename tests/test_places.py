@@ -237,6 +237,32 @@ def test_write_outputs_and_read_back(spark, root, tmp_path):
     assert "commuters:100.0" in modes[0] and "percentage_bicycle:0.01" in modes[0]
 
 
+def test_shared_files_are_scanned_once_for_all_places(spark, root):
+    names = ["ohio", "detroit"]
+    key = lambda r: (r.state, r.county)
+    got = sorted(R.feature_table(spark, root, names).collect(), key=key)
+    want = sorted((r for n in names for r in R.place_features(spark, root, P.PLACES[n]).collect()), key=key)
+    assert got == want and len(got) == 3
+    plan = R.feature_table(spark, root, names)._jdf.queryExecution().executedPlan().toString()
+    assert not any(f in plan for f in ("housing_race.csv", "housing_financial.csv", "QOL.csv"))  # their rows were written once
+    shared = R.nationwide(spark, root, [P.PLACES[n] for n in names])
+    assert {r.row for r in shared["housing_race"].collect()} <= {
+        i for n in names for i in range(*P.PLACES[n].nationwide_rows)}
+
+
+def test_nothing_stays_cached(spark, root, tmp_path):
+    from parcelscope.plans.place_outputs import write_place_outputs
+    from parcelscope.sources import sinks
+    held = lambda: spark.sparkContext._jsc.getPersistentRDDs().size()
+    before = held()
+    write_place_outputs(spark, root, P.PLACES["ohio"], str(tmp_path / "out"))
+    assert held() == before
+    with pytest.raises(ZeroDivisionError), sinks.reused(spark.range(10)) as kept:
+        assert kept.count() == 10 and held() == before + 1
+        raise ZeroDivisionError
+    assert held() == before
+
+
 def test_cli_place_and_analysis(spark, root, tmp_path):
     from parcelscope import cli
     out = str(tmp_path / "cli")
