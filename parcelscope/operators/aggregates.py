@@ -118,19 +118,11 @@ def describe_nonzero(long_df: DataFrame, feature_col: str = "feature",
     """A10: per feature, over its non-zero, non-NULL values: count, mean,
     sample std, min, 25/50/75 % (linear interpolation), max.
 
-    ``long_df`` is the (feature, value) long form (R4). The moments are one
-    partial aggregate; the quartiles come from :func:`exact_quantiles`, which
-    never gathers a feature's values into one task.
+    ``long_df`` is the (feature, value) long form (R4). Moments and quartiles come
+    from one pass of :func:`exact_quantiles`, which counts equal values, ranges
+    the different ones over partitions, and never gathers a feature in one task.
     """
     vals = long_df.select(feature_col, F.col(value_col).cast("double").alias(value_col)) \
         .filter(F.col(value_col).isNotNull() & (F.col(value_col) != 0))
-    moments = vals.groupBy(feature_col).agg(
-        F.count(F.lit(1)).alias("count"),
-        F.avg(value_col).alias("mean"),
-        F.stddev_samp(value_col).alias("std"),
-        F.min(value_col).alias("min"),
-        F.max(value_col).alias("max"))
-    quarts = exact_quantiles(vals, value_col, [0.25, 0.5, 0.75], [feature_col],
-                             names=["p25", "p50", "p75"])
-    out = moments.join(quarts, on=feature_col, how="left")
+    out = exact_quantiles(vals, value_col, [0.25, 0.5, 0.75], [feature_col], names=["p25", "p50", "p75"], moments=True)
     return out.select(feature_col, "count", "mean", "std", "min", "p25", "p50", "p75", "max")

@@ -83,10 +83,13 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
 
 def exact_quantiles(df: DataFrame, value_col: str, qs: list[float],
                     group_by: list[str] | None = None,
-                    names: list[str] | None = None) -> DataFrame:
+                    names: list[str] | None = None, moments: bool = False) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy / pandas / DuckDB
     ``quantile_cont`` semantics) per group, NULL values ignored.
 
+    With ``moments`` also count, mean, sample std, min and max, from the same
+    written values: the input is read once for all of them.
+
     No group is ever held in one task, and no hot value either:
 
     1. values are counted per (group, value): a partial aggregate, so a value
@@ -117,11 +120,12 @@ def exact_quantiles(df: DataFrame, value_col: str, qs: list[float],
     # running sum over the already sorted partition (no re-shuffle)
     schema = T.StructType(parted.schema.fields + [T.StructField("_local", T.LongType(), False)])
     s = materialise(parted.mapInPandas(_running_before(g), schema), "quantiles")
-    part = s.groupBy(*g, "_pid").agg(F.sum("_c").alias("_n"))
+    part = s.groupBy(*g, "_pid").agg(F.sum("_c").alias("_n"), F.sum(F.col("_c") * F.col("_v")).alias("_sum"))
     earlier = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     part = (part.withColumn("_pbefore", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-            .withColumn("_size", F.sum("_n").over(Window.partitionBy(*g))))
-    ranked = _join_null_safe(s, part.select(*g, "_pid", "_pbefore", "_size"), [*g, "_pid"])
+            .withColumn("_size", F.sum("_n").over(Window.partitionBy(*g)))
+            .withColumn("_mean", F.sum("_sum").over(Window.partitionBy(*g)) / F.col("_size")))
+    ranked = _join_null_safe(s, part.select(*g, "_pid", "_pbefore", "_size", "_mean"), [*g, "_pid"])
     ranked = ranked.withColumn("_lo_r", F.col("_pbefore") + F.col("_local")) \
         .withColumn("_hi_r", F.col("_lo_r") + F.col("_c") - 1)
 
@@ -138,7 +142,15 @@ def exact_quantiles(df: DataFrame, value_col: str, qs: list[float],
         v_hi = F.max(F.when(holds(hi), F.col("_v")))
         frac = F.max(h - lo)
         aggs.append((v_lo + frac * (v_hi - v_lo)).alias(name))
-    out = ranked.filter(wanted).groupBy(*g).agg(*aggs)
+    if moments:
+        off = F.col("_v") - F.col("_mean")
+        # a group of one value has no sample std
+        std = F.when(F.max("_size") > 1, F.sqrt(F.sum(F.col("_c") * off * off) / (F.max("_size") - 1)))
+        aggs = [F.max("_size").cast("long").alias("count"), F.max("_mean").alias("mean"), std.alias("std"),
+                F.min("_v").alias("min"), F.max("_v").alias("max"), *aggs]
+    else:
+        ranked = ranked.filter(wanted)
+    out = ranked.groupBy(*g).agg(*aggs)
     return out.drop("_g") if ungrouped else out
 
 

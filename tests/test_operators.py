@@ -379,3 +379,22 @@ def test_kmeans_starts_differ_and_stay_few(spark, monkeypatch):
     assert sum(map(len, sent)) == 20 * (2 + 5 + 8)
     few = cluster._starts(df.filter("a < 2"), ["a", "b"], [3], 1, 1)
     assert sorted(few[3, 0]) == [[0.0, 0.0], [1.0, -1.0]]
+
+
+def test_describe_reads_its_input_once(spark):
+    rows = [("a", float(v), i) for i, v in enumerate([3, 3, 3, 0, -1, 8, 2, 2])] + [("one", 5.0, 9), (None, 1.0, 1), (None, 4.0, 2), ("a", None, 3)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    df = spark.createDataFrame(rows, "feature string, value double, id int")
+    got = {r.feature: r for r in agg.describe_nonzero(df.mapInArrow(counted, df.schema)).collect()}
+    x = np.array([3, 3, 3, -1, 8, 2, 2.0])
+    assert (got["a"]["count"], got["a"]["min"], got["a"]["max"]) == (7, -1, 8)
+    assert np.allclose([got["a"]["mean"], got["a"]["std"], got["a"]["p25"], got["a"]["p50"], got["a"]["p75"]],
+                       [x.mean(), x.std(ddof=1), *np.quantile(x, [.25, .5, .75])])
+    assert got["one"]["std"] is None and got[None]["count"] == 2 and got[None]["p50"] == 2.5
+    # ranges are sampled from what the count has shuffled, the input itself is not read again
+    assert seen.value == len(rows)
