@@ -164,7 +164,7 @@ def test_pipeline_judges_every_row_by_its_own_text(spark, tmp_path):
 def test_registered_queries():
     import __spark_entry__ as E
     names = set(E.queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in names and set(E.oracle_sql()) <= names
 
 
