@@ -3,11 +3,12 @@
 Word n-grams of the test items are counted over all documents. An n-gram is common
 for an item when many documents hold it without another n-gram of that item next to
 it; so copies of the item, edited ones included, don't make its n-grams common,
-however many they are. All n-grams of an item but the common ones are its seeds,
-and at least the rarer half. A document that holds a seed is a candidate for that
-item: the words around the seed are aligned with the item by Smith-Waterman,
-many pairs at a time, and the score is the share of a perfect alignment. So
-edited copies are found as long as one n-gram that isn't common is whole.
+however many they are. All n-grams of an item but the common ones are its rare
+seeds, and at least the rarer half. A passage that holds a rare seed is aligned with
+the item by Smith-Waterman, many pairs at a time, and the score is the share of a
+perfect alignment. A passage that holds common n-grams only is aligned too, unless a
+bound on its score (:func:`bound`) rules it out. So rarity decides how much work a
+passage is, never what is found: every copy with one n-gram whole is aligned.
 
 The items are worked on in blocks of bounded size; each block's n-grams go to
 the workers with the function that scans the documents.
@@ -31,9 +32,9 @@ from . import textbytes as tb
 from .common import documents
 
 N = 3
-#: Share of an item's n-grams, from the rarest, that are seeds anyhow; and their least number.
+#: Share of an item's n-grams, from the rarest, that are rare seeds anyhow; and their least number.
 SEED_SHARE, LEAST_SEEDS = 0.5, 6
-#: An n-gram that stands alone in so few documents, or in so small a share of them, is always a seed.
+#: An n-gram that stands alone in so few documents, or in so small a share of them, is always a rare seed.
 RARE_TEXTS, RARE_SHARE = 20, 5e-5
 #: Alignment: points for a match, a mismatch and a gap.
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -41,7 +42,9 @@ FOUND_AT = 0.5
 #: Words of items in a block (8 bytes each on every worker).
 BLOCK_WORDS = 1_000_000
 _FILTER = 1 << 22
-_PAIRS = 512
+#: Pairs worked on together, and words of their windows.
+_PAIRS, _CELLS = 512, 1 << 20
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Items:
@@ -63,8 +66,8 @@ class Items:
         self.unique, self.first = np.unique(self.gram, return_index=True)
         self.last = np.append(self.first[1:], len(self.gram))
 
-    def choose(self, df: np.ndarray, texts: int) -> "Seeds":
-        """The n-grams of each item that aren't common, and its rarer ones with those
+    def rare(self, df: np.ndarray, texts: int) -> np.ndarray:
+        """Which n-grams of each item aren't common, or are among its rarer ones with those
         tied at the edge, from the documents that hold each without its neighbours."""
         order = np.lexsort((df, self.item))
         size = np.bincount(self.item, minlength=len(self.ids))
@@ -73,14 +76,15 @@ class Items:
         full = size > 0
         most = np.zeros(len(size), np.int64)
         most[full] = df[order][(start + edge)[full]]
-        rare = RARE_TEXTS + RARE_SHARE * texts
-        return Seeds(self, np.flatnonzero(df <= np.maximum(most[self.item], rare)))
+        return df <= np.maximum(most[self.item], RARE_TEXTS + RARE_SHARE * texts)
 
+    def own_words(self) -> np.ndarray:
+        """Sorted keys of the (item, word) pairs."""
+        return np.unique(_pair(np.repeat(np.arange(len(self.ids)), np.diff(self.bounds)), self.words))
 
-class Seeds:
-    def __init__(self, items: Items, keep: np.ndarray):
-        self.ids, self.words, self.bounds = items.ids, items.words, items.bounds
-        self.gram, self.item, self.place = items.gram[keep], items.item[keep], items.place[keep]
+
+def _pair(item: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return (word ^ (item.astype(np.uint64) + np.uint64(1)) * _MIX) * _MIX
 
 
 def _in(sorted_grams: np.ndarray):
@@ -97,7 +101,7 @@ def _in(sorted_grams: np.ndarray):
     return find
 
 
-def _passages(seeds: "Items | Seeds", at: np.ndarray, g, row, where, bounds):
+def _passages(seeds: Items, at: np.ndarray, g, row, where, bounds):
     """Hits on n-grams of items, sorted by row, item and passage: (row, item, first
     word, last word + 1, entry of the n-gram, starts of the passages). Hits on about
     the same diagonal are one passage."""
@@ -114,9 +118,22 @@ def _passages(seeds: "Items | Seeds", at: np.ndarray, g, row, where, bounds):
     r, item, a, b, k = r[order], item[order], a[order], b[order], k[order]
     far = np.ones(len(r), bool)
     far[1:] = (r[1:] != r[:-1]) | (item[1:] != item[:-1]) | (a[1:] - a[:-1] > slack[order][1:] // 2)
+    # a long chain of hits is cut, so a window is at most some three times as long as its item
+    start = np.flatnonzero(far)
+    part = (a - np.repeat(a[start], np.diff(np.append(start, len(r))))) // np.maximum(size[order], 1)
+    far[1:] |= part[1:] != part[:-1]
     return r, item, a, b, k, np.flatnonzero(far)
 
 
+def _steps(order: np.ndarray, width: np.ndarray, most: int) -> Iterator[np.ndarray]:
+    """``order`` in pieces of at most ``most`` windows and about ``_CELLS`` words."""
+    i = 0
+    while i < len(order):
+        n = min(max(_CELLS // int(width[order[i:i + most]].max(initial=1) or 1), 1), most)
+        yield order[i:i + n]
+        i += n
+
+
 def _count(items: Items):
     """mapInArrow body: for each n-gram of each item, the texts that hold it in a
     passage without another n-gram of the item."""
@@ -162,28 +179,48 @@ def align(items: np.ndarray, lengths: np.ndarray, windows: np.ndarray) -> np.nda
     return best / (MATCH * np.maximum(lengths, 1))
 
 
-def _candidates(seeds: Seeds, g, row, where, bounds, find):
-    """(row, item, first word, last word + 1) of the passages to align, once each."""
-    r, item, a, b, _, start = _passages(seeds, find(g), g, row, where, bounds)
-    if not len(r):
-        return r, item, a, b
-    return r[start], item[start], a[start], np.maximum.reduceat(b, start)
+def bound(inside: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The most that :func:`align` can give for windows whose words are or aren't among
+    their item's (``inside``): a word of the aligned stretch that the item lacks is a
+    mismatch or a gap, any other a match at best, so no stretch scores more than the
+    dearest run of these prices. Equal keys of different pairs only raise it."""
+    total = np.cumsum(np.where(inside, MATCH, max(MISMATCH, GAP)), axis=1, dtype=np.int32)
+    low = np.minimum(np.minimum.accumulate(total, axis=1), 0)
+    before = np.concatenate([np.zeros((len(total), 1), np.int32), low[:, :-1]], axis=1)
+    return (total - before).max(axis=1, initial=0) / (MATCH * np.maximum(lengths, 1))
+
 
+def _possible(items: Items, h, item, a, b, size, has_word, found_at: float) -> np.ndarray:
+    """Which passages can reach ``found_at``."""
+    out = np.zeros(len(item), bool)
+    for k in _steps(np.argsort(b - a, kind="stable"), b - a, 8 * _PAIRS):
+        windows = _rows(h, a[k], b[k] - a[k], 0)
+        inside = np.zeros(windows.size, bool)
+        inside[has_word(_pair(item[k][:, None], windows).ravel())] = True
+        inside = inside.reshape(windows.shape) & (np.arange(windows.shape[1]) < (b[k] - a[k])[:, None])
+        out[k] = bound(inside, size[k]) >= found_at
+    return out
 
-def _search(seeds: Seeds, found_at: float):
+
+def _search(items: Items, rare: np.ndarray, found_at: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = _in(seeds.gram)
+        find, has_word = _in(items.unique), _in(items.own_words())
         for batch in batches:
             for at, data, offs in tb.chunks(batch.column(1)):
                 h, bounds = tb.word_hashes(data, offs, tb.NOT_ALNUM)
                 g, row, where = tb.grams(h, bounds, N)
-                r, item, a, b = _candidates(seeds, g, row, where, bounds, find)
-                size = (seeds.bounds[1:] - seeds.bounds[:-1])[item]
-                order = np.lexsort((b - a, size))
+                r, item, a, b, entry, start = _passages(items, find(g), g, row, where, bounds)
+                if not len(r):
+                    continue
+                r, item, a, b, seeded = (r[start], item[start], a[start], np.maximum.reduceat(b, start),
+                                         np.logical_or.reduceat(rare[entry], start))
+                size = (items.bounds[1:] - items.bounds[:-1])[item]
+                weak = np.flatnonzero(~seeded)
+                seeded[weak] = _possible(items, h, item[weak], a[weak], b[weak], size[weak], has_word, found_at)
+                r, item, a, b, size = r[seeded], item[seeded], a[seeded], b[seeded], size[seeded]
                 score = np.zeros(len(r))
-                for i in range(0, len(order), _PAIRS):
-                    k = order[i:i + _PAIRS]
-                    score[k] = align(_rows(seeds.words, seeds.bounds[item[k]], size[k], 0), size[k],
+                for k in _steps(np.lexsort((b - a, size)), b - a, _PAIRS):
+                    score[k] = align(_rows(items.words, items.bounds[item[k]], size[k], 0), size[k],
                                      _rows(h, a[k], b[k] - a[k], 1))
                 ok = np.flatnonzero(score >= found_at)
                 # the best passage of each pair, the first of equals
@@ -193,7 +230,7 @@ def _search(seeds: Seeds, found_at: float):
                 ok = ok[new]
                 own = batch.column(0).take(pa.array(at + r[ok]))
                 yield pa.RecordBatch.from_arrays(
-                    [own, pa.array([seeds.ids[i] for i in item[ok]], pa.int64()), pa.array(score[ok]),
+                    [own, pa.array([items.ids[i] for i in item[ok]], pa.int64()), pa.array(score[ok]),
                      pa.array(a[ok] - bounds[r[ok]]), pa.array(b[ok] - bounds[r[ok]])],
                     names=["doc_id", "item_id", "score", "first_word", "end_word"])
     return run
@@ -234,7 +271,7 @@ def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
         texts_with = np.zeros(len(items.gram), np.int64)
         for r in counts:
             texts_with[r.k] = r.n
-        part = docs.mapInArrow(_search(items.choose(texts_with, n), found_at), RESULT)
+        part = docs.mapInArrow(_search(items, items.rare(texts_with, n), found_at), RESULT)
         out = part if out is None else out.union(part)
     if out is None:
         out = docs.sparkSession.createDataFrame([], RESULT)

@@ -529,4 +529,44 @@ def test_many_edited_copies_are_all_found(spark):
     assert len(alone) == 1 and max(alone.values()) >= 600  # the common phrase alone
     df = np.zeros(len(block.gram), np.int64)
     df[list(alone)] = list(alone.values())
-    assert len(block.choose(df, len(texts)).gram) == 17
+    assert block.rare(df, len(texts)).sum() == 17
+
+
+def test_bound_is_never_below_the_alignment():
+    r = np.random.default_rng(8)
+    items, lengths = r.integers(2, 30, (200, 20)).astype(np.uint64), r.integers(3, 21, 200)
+    windows = r.integers(2, 30, (200, 45)).astype(np.uint64)
+    for i, n in enumerate(lengths):
+        items[i, n:] = 0
+        windows[i, 5:5 + n // 2] = items[i, :n // 2]
+    inside = np.array([np.isin(w, x[:n]) for w, x, n in zip(windows, items, lengths)])
+    got, score = decontaminate.bound(inside, lengths), decontaminate.align(items, lengths, windows)
+    assert (got >= score).all() and (got < 0.5).any() and (score >= 0.5).any()
+    assert decontaminate.bound(np.zeros((2, 0), bool), np.array([3, 4])).tolist() == [0, 0]
+
+
+def test_copies_that_keep_only_common_ngrams_are_found(spark):
+    """Brute force: every pair of a text and an item with one n-gram in common is aligned."""
+    r = random.Random(11)
+    phrases = [prose(5000 + i, 4, vocab=400) for i in range(6)]
+    items = [(i, " ".join([prose(5100 + i, 3), phrases[i % 6], prose(5200 + i, 3)])) for i in range(12)]
+    texts = [(i, f"{prose(5300 + i, 30)} {phrases[i % 6]} {prose(5400 + i, 30)}") for i in range(400)]
+    for i, t in items:
+        w = t.split()
+        # every third word of the own parts edited, the common phrase whole
+        w = [f"x{j}" if j % 3 == 1 and not 3 <= j < 7 else x for j, x in enumerate(w)]
+        texts.append((1000 + i, f"{prose(5500 + i, 20)} {' '.join(w)} {prose(5600 + i, 20)}"))
+        texts.append((2000 + i, " ".join(r.sample(t.split(), 10))))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(x.doc_id, x.item_id): x.score for x in decontaminate.contaminated(frame(spark, texts), bench).collect()}
+    want = {}
+    for d, t in texts:
+        a = t.split()
+        for i, u in items:
+            b = u.split()
+            if {tuple(a[j:j + 3]) for j in range(len(a) - 2)} & {tuple(b[j:j + 3]) for j in range(len(b) - 2)}:
+                score = slow_alignment(b, a)
+                if score >= 0.5:
+                    want[d, i] = score
+    assert {(1000 + i, i) for i in range(12)} <= set(want)
+    assert got == pytest.approx(want)
