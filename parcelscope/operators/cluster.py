@@ -1,27 +1,19 @@
-"""k-means (M2, M3): batched Lloyd iterations over DataFrames.
-
-The reference fits k = 1..10 with 10 random restarts each (90 models beside
-k = 1) and k = 6 with 10 restarts. Fitting them one by one costs one pass over the data
-per model per iteration. Here every model advances in the *same* pass:
-
-* each point is assigned to its nearest centre under every active model by
-  an Arrow-batched ``mapInPandas`` step (numpy distances per batch; the
-  centres, k x d numbers per model, travel with the function, so there is
-  no join of points with centres), which emits only per-(model, cluster)
-  partial sums;
-* one ``groupBy(model, cluster)`` sum of those gives every new centre; only
-  that small table (sum of k over the models, times d) comes back to the
-  driver;
-* a model stops when no centre moves by eps or more, where eps is
-  scikit-learn's tolerance translated per centre (:func:`spark_tol`), or
-  after ``max_iter`` passes.
-
-So a full elbow is one pass per Lloyd iteration over the points, not one per
-model per iteration. Initial centres are random points (scikit-learn's
-``init="random"``): for each model, the k rows of the smallest seeded hashes.
-The single k of the assignment is fitted by Spark ML, started by k-means||.
-The points are persisted (memory and disk) for the iterations; a lost block
-is recomputed from its lineage.
+"""k-means (M2, M3) on Spark ML.
+
+The elbow fits k = 1..10 with 10 random restarts each, the assignment k = 6 with
+10 restarts; each fit is Spark ML's ``KMeans``. What this module adds:
+
+* the scaled points are written once, dealt and sorted by their own values (or
+  ids), so all fits read a small, narrow table, the draws of a seed don't depend
+  on how the input was partitioned, and a lost executor costs no recomputation
+  of the input. Adaptive execution sizes its files, so a small table is one task
+  a pass;
+* fits run side by side, as each is a chain of small jobs;
+* k = 1 has one solution, whose cost is an aggregate;
+* scikit-learn's tolerance is translated per centre (:func:`spark_tol`).
+
+Labels and costs for given centres (:func:`totals`, :func:`nearest_centre`) are
+column expressions: the k x d numbers are literals, points join nothing.
 """
 
 from __future__ import annotations
@@ -29,14 +21,17 @@ from __future__ import annotations
 import math
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.clustering import KMeans
+from pyspark import inheritable_thread_target
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from parcelscope.operators.stats import zscore, zscore_params
+from parcelscope.session import materialise
+
+#: Fits that run side by side; each caches its own copy of the points.
+SIDE_BY_SIDE = 8
 
 
 def spark_tol(tol: float, k: int, mean_var: float = 1.0) -> float:
@@ -67,118 +62,24 @@ def nearest_centre(features: list[str], centres: list[list[float]]) -> Column:
     return _nearest(features, centres)["j"]
 
 
-def lloyd_step(df: DataFrame, features: list[str], centres: list[list[float]]) -> DataFrame:
-    """One k-means iteration from fixed centres: assign, then average, by the
-    same pass as the fits.
+def totals(points: DataFrame, features: list[str], models: list[list[list[float]]]) -> DataFrame:
+    """Per model and cluster: count, coordinate sums and squared distances of the
+    points nearest to each of its given centres.
 
-    Rows: (cluster, n, <feature means>, sse). The centres travel with the
-    function, so no join of points with centres is needed.
+    One pass for all models; partial sums leave a task, never points. Clusters
+    without points have no row.
     """
-    return totals(df, features, [centres]).select("cluster", "n", *[(F.col(f) / F.col("n")).alias(f) for f in features], "sse")
+    x = points.select(*[F.col(f).cast("double").alias(f) for f in features])
+    near = F.array(*[F.struct(F.lit(m).alias("model"), _nearest(features, c).alias("near"))
+                     for m, c in enumerate(models)])
+    x = x.select(*features, F.explode(near).alias("_m"))
+    return (x.groupBy(F.col("_m.model").alias("model"), F.col("_m.near.j").alias("cluster"))
+            .agg(F.count(F.lit(1)).alias("n"), *[F.sum(f).alias(f) for f in features], F.sum("_m.near.d").alias("sse")))
 
 
-def _start_picks(features: list[str], models: list[tuple[int, int]], seed: int):
-    """mapInPandas body: for every model (k, restart), the k points of the partition
-    with the smallest hashes under the model's own seed."""
-    def run(batches):
-        import numpy as np
-        import pandas as pd
-        best: dict = {}
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            h = pdf["_h"].to_numpy().view("uint64")
-            for m, (k, r) in enumerate(models):
-                x = (h ^ np.uint64((k * 1_000_003 + seed + r) * 0x9E3779B97F4A7C15 % 2 ** 64)) * np.uint64(0xBF58476D1CE4E5B9)
-                x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-                x = (x ^ (x >> np.uint64(31))) >> np.uint64(1)
-                at = np.argsort(x, kind="stable")[:k]
-                out = pdf.iloc[at][features].reset_index(drop=True)
-                out.insert(0, "place", x[at].astype("int64"))
-                out.insert(0, "model", np.int32(m))
-                if m in best:
-                    out = pd.concat([best[m], out]).sort_values("place", kind="stable").iloc[:k]
-                best[m] = out
-        yield from best.values()
-    return run
-
-
-def _partial_sums(features: list[str], centres: list[list[list[float]]]):
-    """mapInPandas body: for every model, assign each point of the batch to
-    its nearest centre (lowest index on ties) and emit per-(model, cluster)
-    count, coordinate sums and squared-distance sum. At most sum(k) rows
-    leave each batch."""
-    def run(batches):
-        import numpy as np
-        import pandas as pd
-        cs = [np.asarray(c, dtype="float64") for c in centres]
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            x = pdf[features].to_numpy(dtype="float64")
-            out = []
-            for m, c in enumerate(cs):
-                d2 = ((x[:, None, :] - c[None, :, :]) ** 2).sum(axis=2)
-                lab = d2.argmin(axis=1)
-                k = c.shape[0]
-                n = np.bincount(lab, minlength=k)
-                sums = np.stack([np.bincount(lab, weights=x[:, j], minlength=k)
-                                 for j in range(x.shape[1])], axis=1)
-                sse = np.bincount(lab, weights=d2[np.arange(len(lab)), lab], minlength=k)
-                frame = pd.DataFrame(sums, columns=features)
-                frame.insert(0, "n", n.astype("int64"))
-                frame.insert(0, "cluster", np.arange(k, dtype="int32"))
-                frame.insert(0, "model", np.full(k, m, dtype="int32"))
-                frame["sse"] = sse
-                out.append(frame[n > 0])
-            yield pd.concat(out, ignore_index=True)
-    return run
-
-
-def totals(points: DataFrame, features: list[str], centres: list[list[list[float]]]) -> DataFrame:
-    """One pass: per-(model, cluster) totals of the assignment to ``centres``."""
-    schema = T.StructType([T.StructField("model", T.IntegerType()), T.StructField("cluster", T.IntegerType()),
-                           T.StructField("n", T.LongType())]
-                          + [T.StructField(f, T.DoubleType()) for f in features]
-                          + [T.StructField("sse", T.DoubleType())])
-    part = points.select(*features).mapInPandas(_partial_sums(features, centres), schema)
-    return part.groupBy("model", "cluster").agg(
-        F.sum("n").alias("n"), *[F.sum(f).alias(f) for f in features], F.sum("sse").alias("sse"))
-
-
-def batched_lloyd(points: DataFrame, features: list[str], models: dict, max_iter: int = 300,
-                  tol: float = 1e-4) -> dict:
-    """Run Lloyd's algorithm for many models at once (one pass per iteration).
-
-    ``models`` maps a model id to its starting centres (list of k points).
-    Returns id -> {"centres", "sse", "iterations"}; ``sse`` is the
-    within-cluster sum of squares of the final centres.
-    """
-    state = {m: {"centres": [list(c) for c in cs], "iterations": 0, "done": False}
-             for m, cs in models.items()}
-    for _ in range(max_iter):
-        active = [m for m, s in state.items() if not s["done"]]
-        if not active:
-            break
-        rows = totals(points, features, [state[m]["centres"] for m in active]).collect()
-        new = {m: [list(c) for c in state[m]["centres"]] for m in active}
-        for r in rows:
-            m = active[r["model"]]
-            if r["n"]:  # an empty cluster keeps its centre
-                new[m][r["cluster"]] = [r[f] / r["n"] for f in features]
-        for m in active:
-            old, cur = state[m]["centres"], new[m]
-            shift = max(math.dist(a, b) for a, b in zip(old, cur))
-            state[m]["centres"] = cur
-            state[m]["iterations"] += 1
-            if shift < spark_tol(tol, len(cur)):
-                state[m]["done"] = True
-    ids = list(state)
-    out = {m: {"centres": state[m]["centres"], "iterations": state[m]["iterations"], "sse": 0.0}
-           for m in ids}
-    for r in totals(points, features, [state[m]["centres"] for m in ids]).collect():
-        out[ids[r["model"]]]["sse"] += float(r["sse"])
-    return out
+def lloyd_step(df: DataFrame, features: list[str], centres: list[list[float]]) -> DataFrame:
+    """The clusters of given centres: (cluster, n, <feature means>, sse)."""
+    return totals(df, features, [centres]).select("cluster", "n", *[(F.col(f) / F.col("n")).alias(f) for f in features], "sse")
 
 
 def _scaled(df: DataFrame, features: list[str], keep: list[str], params) -> DataFrame:
@@ -187,40 +88,28 @@ def _scaled(df: DataFrame, features: list[str], keep: list[str], params) -> Data
     return df.select(*keep, *[F.col(f).cast("double").alias(f) for f in features])
 
 
-def _prepare(df: DataFrame, features: list[str], keep: list[str], params) -> DataFrame:
-    return _scaled(df, features, keep, params).persist(StorageLevel.MEMORY_AND_DISK)
+def _points(df: DataFrame, features: list[str], keep: list[str], params) -> DataFrame:
+    """The scaled points, written once in an order of their own."""
+    by = keep or features
+    return materialise(_scaled(df, features, keep, params).repartition(*by).sortWithinPartitions(*by), "points")
 
 
-def _starts(points: DataFrame, features: list[str], ks, restarts: int, seed: int) -> dict:
-    """(k, restart) -> k random starting points, drawn for each model on its own.
+def fits(points: DataFrame, features: list[str], models: list[tuple[int, int]], init: str,
+         max_iter: int = 300, tol: float = 1e-4) -> list[KMeansModel]:
+    """Spark ML's model for every (k, seed), side by side."""
+    vectors = points.select(array_to_vector(F.array(*features)).alias("features"))
 
-    A point's place in a model's draw is a hash of its values, so the starts
-    don't depend on how the rows are partitioned. Equal points are drawn once, so
-    a model's starts differ (and are fewer than k only if the points are). One pass
-    for all models; a partition sends k points per model, and the driver gets k.
-    """
-    models = [(k, r) for k in ks for r in range(restarts)]
-    schema = T.StructType([T.StructField("model", T.IntegerType()), T.StructField("place", T.LongType())]
-                          + [T.StructField(f, T.DoubleType()) for f in features])
-    picks = points.select(*features).distinct().withColumn("_h", F.xxhash64(*features)).mapInPandas(
-        _start_picks(features, models, seed), schema)
-    turn = Window.partitionBy("model").orderBy("place", *features)
-    # the constant limit lets each task cut its share of a model's picks before they are shuffled
-    first = picks.withColumn("i", F.row_number().over(turn)).filter(F.col("i") <= max(ks, default=0))
-    k_of = F.element_at(F.array(*[F.lit(k) for k, _ in models]), F.col("model") + 1)
-    out: dict = {m: [] for m in models}
-    for row in first.filter(F.col("i") <= k_of).orderBy("model", "i").collect():
-        out[models[row["model"]]].append([float(row[f]) for f in features])
-    return out
-
-
-def total_sse(df: DataFrame, features: list[str]) -> float:
-    """SSE of the one-cluster solution: the total sum of squared deviations
-    from the mean, sum_f n * var_pop(f) (one aggregate row)."""
-    row = df.agg(F.count(F.lit(1)).alias("n"),
-                 *[F.var_pop(F.col(f).cast("double")).alias(f) for f in features]).first()
-    n = row["n"] or 0
-    return float(sum(n * (row[f] or 0.0) for f in features))
+    def fit(model: tuple[int, int]) -> KMeansModel:
+        k, seed = model
+        return KMeans(k=k, seed=seed, maxIter=max_iter, tol=spark_tol(tol, k), initMode=init).fit(vectors)
+    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+        return list(pool.map(inheritable_thread_target(points.sparkSession)(fit), models))
+
+
+def sse_of_mean(df: DataFrame, features: list[str]) -> DataFrame:
+    """One row ``sse``: the squared deviations from the mean, sum_f n * var_pop(f)."""
+    parts = [F.count(f) * F.coalesce(F.var_pop(F.col(f).cast("double")), F.lit(0.0)) for f in features]
+    return df.agg(sum(parts[1:], parts[0]).alias("sse"))
 
 
 def kmeans_elbow(spark: SparkSession, df: DataFrame, features: list[str],
@@ -229,60 +118,28 @@ def kmeans_elbow(spark: SparkSession, df: DataFrame, features: list[str],
     """M2: within-cluster SSE of the best of ``restarts`` random starts, per k.
 
     ``tol`` follows scikit-learn (see :func:`spark_tol`); the data are
-    z-scored first, so the mean feature variance is 1. k=1 has one solution
-    (the mean), whose SSE is the total sum of squares.
+    z-scored first, so the mean feature variance is 1. Ties between points are
+    drawn as they are: a start with fewer than k different points has fewer centres.
     """
     ks = list(ks)
-    points = _prepare(df, features, [], zscore_params(df, features) if scale else None)
-    try:
-        multi = [k for k in ks if k >= 2]
-        res = (batched_lloyd(points, features, _starts(points, features, multi, restarts, seed),
-                             max_iter, tol) if multi else {})
-        best: dict[int, float] = {}
-        for (k, _r), v in res.items():
-            best[k] = min(v["sse"], best.get(k, float("inf")))
-        if 1 in ks:
-            best[1] = total_sse(points, features)
-    finally:
-        points.unpersist()
-    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("sse", T.DoubleType())])
-    return spark.createDataFrame([(int(k), float(v)) for k, v in sorted(best.items())], schema)
-
-
-def fit_best(points: DataFrame, features: list[str], k: int, restarts: int = 10, seed: int = 42,
-             max_iter: int = 300, tol: float = 1e-4) -> list[list[float]]:
-    """Centres of the lowest-cost of ``restarts`` Spark ML fits, each started by
-    k-means|| (scikit-learn's default start is k-means++, its sequential form).
-
-    The fits run side by side, as each is a chain of small jobs.
-    """
-    vectors = points.select(F.array(*features).alias("v")).select(array_to_vector("v").alias("features"))
-
-    def fit(r: int):
-        model = KMeans(k=k, seed=seed + r, maxIter=max_iter, tol=spark_tol(tol, k), initMode="k-means||").fit(vectors)
-        return model.summary.trainingCost, r, [c.tolist() for c in model.clusterCenters()]
-    with ThreadPoolExecutor(min(restarts, 8)) as pool:
-        return min(pool.map(inheritable_thread_target(points.sparkSession)(fit), range(restarts)))[2]
+    points = _points(df, features, [], zscore_params(df, features) if scale else None)
+    models = [(k, seed + k * restarts + r) for k in ks if k >= 2 for r in range(restarts)]
+    best: dict[int, float] = {}
+    for (k, _), model in zip(models, fits(points, features, models, "random", max_iter, tol)):
+        best[k] = min(float(model.summary.trainingCost), best.get(k, math.inf))
+    if 1 in ks:
+        best[1] = float(sse_of_mean(points, features).first()["sse"])
+    return spark.createDataFrame(sorted(best.items()), "k int, sse double")
 
 
 def kmeans_assign(df: DataFrame, id_cols: list[str], features: list[str], k: int = 6,
                   restarts: int = 10, seed: int = 42, max_iter: int = 300, tol: float = 1e-4,
                   scale: bool = True) -> DataFrame:
-    """M3: cluster label per row from the best of ``restarts`` fits."""
+    """M3: cluster label per row from the best of ``restarts`` fits, each started by
+    k-means|| (scikit-learn's default start is k-means++, its sequential form)."""
     params = zscore_params(df, features) if scale else None
-    # a fixed layout, so the fits draw the same starts however ``df`` is partitioned
-    points = (_scaled(df, features, id_cols, params).repartition(*id_cols).sortWithinPartitions(*id_cols)
-              .persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        best = fit_best(points, features, k, restarts, seed, max_iter, tol)
-    finally:
-        points.unpersist()
-    # labels from the (uncached) scaled rows, same scaling, chosen centres
-    data = _scaled(df, features, id_cols, params)
-    return data.select(*id_cols, nearest_centre(features, best).cast("int").alias("cluster"))
-
-
-def kmeans_cost_k1(df: DataFrame, features: list[str], scale: bool = True) -> float:
-    """Within-cluster SSE at k=1 (the total sum of squares)."""
-    data = zscore(df, features, keep=[]) if scale else df.select(*features)
-    return total_sse(data, features)
+    points = _points(df, features, id_cols, params)
+    done = fits(points, features, [(k, seed + r) for r in range(restarts)], "k-means||", max_iter, tol)
+    best = min(done, key=lambda m: m.summary.trainingCost)
+    centres = [c.tolist() for c in best.clusterCenters()]
+    return points.select(*id_cols, nearest_centre(features, centres).cast("int").alias("cluster"))

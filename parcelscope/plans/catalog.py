@@ -741,8 +741,8 @@ def kmeans_assign(spark, d):
 @query("kmeans_sse_k1")
 def kmeans_sse_k1(spark, d):
     f = sd.customer_features(spark, d)
-    sse = cluster.kmeans_cost_k1(f, sd.CUSTOMER_FEATURES)
-    return spark.createDataFrame([(round(float(sse), 2),)], "sse double")
+    z = stats.zscore(f, sd.CUSTOMER_FEATURES, keep=[])
+    return cluster.sse_of_mean(z, sd.CUSTOMER_FEATURES).select(F.round("sse", 2).alias("sse"))
 
 
 @query("kmeans_one_step")
@@ -757,7 +757,7 @@ def kmeans_one_step(spark, d):
 
 @query("kmeans_fixed_sse")
 def kmeans_fixed_sse(spark, d):
-    """SSE per cluster of a batch of fixed models (k = 2, 4, 6), by the fits' pass."""
+    """SSE per cluster of a batch of fixed models (k = 2, 4, 6) in one pass."""
     f = sd.customer_features(spark, d)
     z = stats.zscore(f, sd.CUSTOMER_FEATURES, keep=["c_custkey"])
     rows = z.orderBy("c_custkey").limit(6).collect()

@@ -286,18 +286,19 @@ def _np_lloyd(x, centres, tol, max_iter=300):
     return c, it, sse
 
 
-def test_batched_lloyd_matches_numpy(spark):
+def test_fits_are_fixed_points_of_numpy_lloyd(spark):
+    """From a fit's centres a plain Lloyd pass moves nothing, and the costs agree."""
     rnd = np.random.default_rng(9)
     x = np.vstack([rnd.normal(loc=c, scale=0.6, size=(80, 3)) for c in [(0, 0, 0), (3, 1, 0), (0, 4, 2)]])
     df = spark.createDataFrame(pd.DataFrame(x, columns=["a", "b", "c"])).repartition(3)
-    models = {("k2", 0): x[[0, 100]].tolist(), ("k3", 0): x[[5, 90, 200]].tolist(),
-              ("k3", 1): x[[1, 2, 3]].tolist(), ("k4", 0): x[[10, 20, 30, 40]].tolist()}
-    got = cluster.batched_lloyd(df, ["a", "b", "c"], models, tol=1e-4)
-    for m, starts in models.items():
-        c, it, sse = _np_lloyd(x, starts, 1e-4)
-        assert got[m]["iterations"] == it
-        assert np.allclose(got[m]["centres"], c, atol=1e-9)
-        assert abs(got[m]["sse"] - sse) < 1e-7 * max(1.0, sse)
+    models = [(2, 1), (3, 1), (3, 2), (4, 5)]
+    for init in ("random", "k-means||"):
+        for (k, _), m in zip(models, cluster.fits(df, ["a", "b", "c"], models, init)):
+            start = [c.tolist() for c in m.clusterCenters()]
+            c, it, sse = _np_lloyd(x, start, 1e-4)
+            assert len(start) == k and it == 1
+            assert np.allclose(start, c, atol=cluster.spark_tol(1e-4, k))
+            assert m.summary.trainingCost == pytest.approx(sse, rel=1e-3)
 
 
 def test_quantile_running_sums_carry_across_arrow_batches(spark):
@@ -316,22 +317,6 @@ def test_quantile_running_sums_carry_across_arrow_batches(spark):
         assert np.allclose(got[key], np.quantile(vals, [0.1, 0.5, 0.9]))
 
 
-def test_batched_lloyd_with_tiny_arrow_batches(spark):
-    rnd = np.random.default_rng(21)
-    x = rnd.normal(size=(150, 2))
-    df = spark.createDataFrame(pd.DataFrame(x, columns=["a", "b"]))
-    models = {"m": x[[0, 1, 2]].tolist()}
-    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "11")
-    try:
-        got = cluster.batched_lloyd(df, ["a", "b"], models)["m"]
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
-    c, it, sse = _np_lloyd(x, models["m"], 1e-4)
-    assert got["iterations"] == it and np.allclose(got["centres"], c) and abs(got["sse"] - sse) < 1e-7
-
-
-@pytest.mark.parametrize("reuse", ["true", "false"])
 def test_ranks_and_quantiles_beyond_the_sampling_size(spark, reuse):
     """Range bounds are sampled: ranks must not depend on two exchanges agreeing."""
     keep = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.exchange.reuse")}
@@ -356,29 +341,41 @@ def test_kmeans_does_not_depend_on_the_layout(spark):
     pdf = pd.DataFrame(rnd.normal(size=(400, 3)), columns=["a", "b", "c"]).assign(id=range(400))
     df = spark.createDataFrame(pdf)
     cols = ["a", "b", "c"]
-    starts = [cluster._starts(df.repartition(n), cols, [2, 3], 2, 1) for n in (1, 7)]
-    assert starts[0] == starts[1] and all(len(v) == k for (k, _), v in starts[0].items())
+    elbow = [cluster.kmeans_elbow(spark, df.repartition(n), cols, ks=[2, 3], restarts=2).collect() for n in (1, 7)]
+    assert [r.k for r in elbow[0]] == [2, 3]
+    assert np.allclose([r.sse for r in elbow[0]], [r.sse for r in elbow[1]])
     labels = [{r.id: r.cluster for r in cluster.kmeans_assign(df.repartition(n), ["id"], cols, k=4, restarts=2).collect()}
               for n in (1, 7)]
     assert labels[0] == labels[1]
 
 
-def test_kmeans_starts_differ_and_stay_few(spark, monkeypatch):
-    """Copies of one point are drawn once; the driver gets k rows per model, not k per batch."""
-    pts = [(0.0, 0.0)] * 3000 + [(float(i), float(-i)) for i in range(1, 40)]
-    df = spark.createDataFrame(pts, "a double, b double").repartition(6)
-    keep = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
-    sent, collect = [], type(df).collect
-    monkeypatch.setattr(type(df), "collect", lambda self: sent.append(collect(self)) or sent[-1])
-    try:
-        starts = cluster._starts(df, ["a", "b"], [2, 5, 8], 20, 1)
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", keep)
-    assert len(starts) == 60 and all(len({tuple(c) for c in cs}) == k for (k, _), cs in starts.items())
-    assert sum(map(len, sent)) == 20 * (2 + 5 + 8)
-    few = cluster._starts(df.filter("a < 2"), ["a", "b"], [3], 1, 1)
-    assert sorted(few[3, 0]) == [[0.0, 0.0], [1.0, -1.0]]
+def test_totals_of_many_models_in_one_pass(spark):
+    rnd = np.random.default_rng(12)
+    pts = np.vstack([rnd.normal(size=(150, 2)), np.zeros((60, 2))])
+    models = [pts[:2].tolist(), pts[5:10].tolist(), [[0.0, 0.0]], [[0.0, 0.0], [0.0, 0.0]]]
+    df = spark.createDataFrame(pd.DataFrame(pts, columns=["a", "b"])).repartition(5)
+    got = {(r.model, r.cluster): r for r in cluster.totals(df, ["a", "b"], models).collect()}
+    want = 0
+    for m, c in enumerate(models):
+        d = ((pts[:, None] - np.array(c)[None]) ** 2).sum(-1)
+        lab = d.argmin(1)  # the first of equal centres
+        for j in np.unique(lab):
+            r, want = got[m, j], want + 1
+            assert r.n == (lab == j).sum()
+            assert np.allclose([r.a, r.b, r.sse], [*pts[lab == j].sum(0), d[lab == j, j].sum()])
+    assert len(got) == want
+    assert cluster.totals(df.limit(0), ["a", "b"], models).count() == 0
+
+
+def test_elbow_reaches_the_known_optimum(spark):
+    """Clusters far apart: the best fit has the groups' own means, the cost is the squares about them."""
+    rnd = np.random.default_rng(14)
+    groups = [rnd.normal(loc=c, scale=0.05, size=(40, 2)) for c in [(0, 0), (9, 0), (0, 9), (9, 9)]]
+    df = spark.createDataFrame(pd.DataFrame(np.vstack(groups), columns=["a", "b"]))
+    el = {r.k: r.sse for r in cluster.kmeans_elbow(spark, df, ["a", "b"], ks=[1, 4], restarts=8, scale=False).collect()}
+    x = np.vstack(groups)
+    assert el[1] == pytest.approx(((x - x.mean(0)) ** 2).sum())
+    assert el[4] == pytest.approx(sum(((g - g.mean(0)) ** 2).sum() for g in groups))
 
 
 def test_describe_reads_its_input_once(spark):
