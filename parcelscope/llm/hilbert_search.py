@@ -7,9 +7,14 @@ curve are within a window of its own; the curves' best are merged and reranked.
 
 Nearness is the inner product, so candidates get one more component that lifts
 all to the largest norm, and queries are scaled to it: along the curves, near
-then means large inner product. The window is the smallest that finds
-``RECALL`` of the true neighbours of a bounded sample of queries, whose truth
-one exact pass over all rows gives. Equal vectors are searched for once.
+then means large inner product. The number of curves and the window are those
+of least work that find ``RECALL`` of the true neighbours of a bounded sample of
+queries, whose truth one exact pass over all rows gives. Equal vectors are
+searched for once.
+
+Queries are compared in chunks, as they follow each other on a curve, with
+blocks of the candidates within the chunk's windows: a task's group holds at
+most ``CHUNK`` queries and ``BLOCK`` candidates, whatever the window.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite
 components take no part; vectors of different lengths are searched each among
@@ -32,12 +37,14 @@ from .common import bounded_sample, cut
 
 K = 20
 CURVES = 24
+#: Numbers of curves to choose from.
+CURVE_CHOICES = (3, 4, 6, 8, 12, 16, 24)
 DIMS, BITS = 8, 4
-#: Candidates compared at once: the bound of a task's group.
-BLOCK = 2048
-#: Bounded samples: vectors that scale the grid, queries that set the window.
-SCALE_SAMPLE, QUERY_SAMPLE = 4_000, 64
-RECALL = 0.955
+#: Candidates and queries compared at once: the bounds of a task's group.
+BLOCK, CHUNK = 8192, 256
+#: Bounded samples: vectors that scale the grid, queries that set curves and window.
+SCALE_SAMPLE, QUERY_SAMPLE = 4_000, 128
+RECALL = 0.97
 LEAST_WINDOW = 64
 
 
@@ -113,36 +120,38 @@ def _places(curves: Curves, query: bool):
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the partition and the number of candidates so far on the curve in it."""
-    part, before, last = TaskContext.get().partitionId(), 0, None
+    """Adds the partition and the numbers of candidates and queries so far on the curve in it."""
+    part, before, last = TaskContext.get().partitionId(), np.zeros(2, np.int64), None
     for batch in batches:
         curve = batch.column(0).to_numpy()
-        cand = 1 - batch.column(2).to_numpy().astype(np.int64)
-        upto = np.cumsum(cand)
+        if not len(curve):
+            continue
+        is_query = batch.column(2).to_numpy().astype(np.int64)
+        kinds = np.stack([1 - is_query, is_query])
+        earlier = np.cumsum(kinds, axis=1) - kinds
         first = np.flatnonzero(np.append(True, curve[1:] != curve[:-1]))
-        base = np.repeat(upto[first] - cand[first], np.diff(np.append(first, len(curve))))
-        at = upto - base
-        if len(curve):
-            at = at + np.where(curve == last, before, 0)
-            before, last = int(at[-1]), int(curve[-1])
+        at = earlier - np.repeat(earlier[:, first], np.diff(np.append(first, len(curve))), axis=1)
+        at += np.where(curve == last, before[:, None], 0)
+        before, last = at[:, -1] + kinds[:, -1], int(curve[-1])
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(2), batch.column(3),
-             pa.array(np.full(len(curve), part, np.int32)), pa.array(at - cand)],
-            names=["curve", "query", "id", "part", "at"])
+             pa.array(np.full(len(curve), part, np.int32)), pa.array(at[0]), pa.array(at[1])],
+            names=["curve", "query", "id", "part", "at", "at_query"])
 
 
 def ranked(cands: DataFrame, queries: DataFrame, curves: Curves) -> DataFrame:
-    """(curve, query, id, rank): candidates before each row on each curve."""
+    """(curve, query, id, rank, turn): candidates and queries before each row on each curve."""
     ddl = "curve int, place long, query int, id long"
     rows = cands.mapInArrow(_places(curves, False), ddl).union(queries.mapInArrow(_places(curves, True), ddl))
     at = cut(rows.repartitionByRange("curve", "place", "query", "id")
              .sortWithinPartitions("curve", "place", "query", "id")
-             .mapInArrow(_counted, "curve int, query int, id long, part int, at long"), "hilbert-ranks")
+             .mapInArrow(_counted, "curve int, query int, id long, part int, at long, at_query long"), "hilbert-ranks")
     # one row per partition and curve
-    sizes = at.groupBy("curve", "part").agg(F.sum(1 - F.col("query")).alias("n"))
+    sizes = at.groupBy("curve", "part").agg(F.sum(1 - F.col("query")).alias("n"), F.sum("query").alias("n_query"))
     before = Window.partitionBy("curve").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.withColumn("skip", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    return at.join(sizes, ["curve", "part"]).select("curve", "query", "id", (F.col("at") + F.col("skip")).alias("rank"))
+    sizes = sizes.select("curve", "part", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"skip_{n}") for n in ("n", "n_query")])
+    return at.join(sizes, ["curve", "part"]).select(
+        "curve", "query", "id", (F.col("at") + F.col("skip_n")).alias("rank"), (F.col("at_query") + F.col("skip_n_query")).alias("turn"))
 
 
 def _nearest(queries: np.ndarray, ids: np.ndarray, k: int):
@@ -156,24 +165,45 @@ def _nearest(queries: np.ndarray, ids: np.ndarray, k: int):
 
 
 def _best(qids: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> pa.RecordBatch:
+    """Each query's k best rows, ties to smaller ids."""
     k = min(k, len(ids))
-    order = np.argsort(ids, kind="stable")
-    ids, scores = ids[order], scores[:, order]
-    # argpartition keeps the k largest; ties at the edge go to smaller ids by a stable sort
-    top = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.repeat(qids, k)), pa.array(ids[top].ravel()),
-         pa.array(np.take_along_axis(scores, top, 1).ravel())], names=["query_id", "id", "score"])
+    least = np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k]
+    # all rows as good as the k-th best: few more than k a query
+    q, c = np.nonzero(scores >= least[:, None])
+    order = np.lexsort((ids[c], -scores[q, c], q))
+    q, c = q[order], c[order]
+    keep = np.arange(len(q)) - np.searchsorted(q, q) < k
+    q, c = q[keep], c[keep]
+    return pa.RecordBatch.from_arrays([pa.array(qids[q]), pa.array(ids[c]), pa.array(scores[q, c])],
+                                      names=["query_id", "id", "score"])
 
 
 FOUND = "query_id long, id long, score double"
 
 
-def _window(cands: DataFrame, queries: DataFrame, ranks: DataFrame, n: int, dim: int, k: int) -> int:
-    """Smallest window that finds RECALL of a query sample's true neighbours."""
+def least_work(far: np.ndarray, n: int, n_query: int) -> tuple[int, int]:
+    """Curves and window of least work that find RECALL of the pairs of a sample.
+
+    ``far``: for each pair of a query and a true neighbour its distance in ranks on
+    each curve. The work of a query on a curve is the candidates of its chunk's
+    windows, which end at the curve's ends.
+    """
+    best = None
+    for m in CURVE_CHOICES:
+        near = np.sort(far[:, :m].min(axis=1))
+        w = max(LEAST_WINDOW, int(near[min(len(near) - 1, int(np.ceil(RECALL * len(near))))]) + 1)
+        span = 2 * w - w * w / n if w < n else n
+        work = m * min(n, span + CHUNK * n / max(n_query, 1))
+        if best is None or work < best[0]:
+            best = work, m, w
+    return best[1:]
+
+
+def _window(cands: DataFrame, queries: DataFrame, ranks: DataFrame, n: int, dim: int, k: int) -> tuple[int, int]:
+    """Curves and window, from the true neighbours of a bounded sample of queries."""
     sample = bounded_sample(queries, "id", QUERY_SAMPLE).toArrow()
     if n <= 2 * LEAST_WINDOW or not len(sample):
-        return n
+        return CURVE_CHOICES[0], n
     qids = sample.column("id").to_numpy()
     truth = (cands.mapInArrow(_nearest(matrix(sample.column("v").combine_chunks(), dim), qids, k + 1), FOUND)
              .filter(F.col("query_id") != F.col("id"))
@@ -182,12 +212,14 @@ def _window(cands: DataFrame, queries: DataFrame, ranks: DataFrame, n: int, dim:
     truth = cut(truth, "hilbert-truth")
     of_q = ranks.filter("query = 1").select("curve", F.col("id").alias("query_id"), F.col("rank").alias("q"))
     of_c = ranks.filter("query = 0").select("curve", "id", "rank")
-    far = (truth.join(of_c, "id").join(of_q, ["curve", "query_id"])
-           .groupBy("query_id", "id").agg(F.min(F.abs(F.col("rank") - F.col("q"))).alias("far"))
-           .select("far").toArrow().column(0).to_numpy())
+    # a row a curve of the sample's pairs
+    got = (truth.join(of_c, "id").join(of_q, ["curve", "query_id"])
+           .select("query_id", "id", "curve", F.abs(F.col("rank") - F.col("q")).alias("far"))
+           .orderBy("query_id", "id", "curve").toArrow())
+    far = got.column("far").to_numpy().reshape(-1, CURVES)
     if not len(far):
-        return n
-    return max(LEAST_WINDOW, int(np.sort(far)[min(len(far) - 1, int(np.ceil(RECALL * len(far))))]) + 1)
+        return CURVE_CHOICES[0], n
+    return least_work(far, n, queries.count())
 
 
 def _compare(dim: int, k: int):
@@ -196,14 +228,11 @@ def _compare(dim: int, k: int):
         is_query = rows.column("query").to_numpy() == 1
         ids = rows.column("id").to_numpy()
         v = matrix(rows.column("v").combine_chunks(), dim)
-        if is_query.all() or not is_query.any():
+        q, c = np.flatnonzero(is_query), np.flatnonzero(~is_query)
+        if not len(q) or not len(c):
             return pa.table({"query_id": pa.array([], pa.int64()), "id": pa.array([], pa.int64()),
                              "score": pa.array([], pa.float64())})
-        q, c, out = np.flatnonzero(is_query), np.flatnonzero(~is_query), []
-        for i in range(0, len(q), 256):
-            some = q[i:i + 256]
-            out.append(_best(ids[some], ids[c], v[some] @ v[c].T, k + 1))
-        return pa.Table.from_batches(out)
+        return pa.Table.from_batches([_best(ids[q], ids[c], v[q] @ v[c].T, k + 1)])
     return run
 
 
@@ -213,14 +242,19 @@ def _search(vectors: DataFrame, n: int, top: float, dim: int, k: int) -> DataFra
     queries = vectors.filter("asked").select("id", "v")
     scale = bounded_sample(cands, "id", SCALE_SAMPLE).toArrow().column("v").combine_chunks()
     ranks = cut(ranked(cands, queries, Curves(dim, top, matrix(scale, dim))), "hilbert-rows")
-    w = _window(cands, queries, ranks, n, dim, k)
-    block = F.floor(F.col("rank") / BLOCK)
-    lo = F.greatest(F.floor((F.col("rank") - w) / BLOCK), F.lit(0))
-    hi = F.least(F.floor((F.col("rank") + w) / BLOCK), F.lit((n - 1) // BLOCK))
-    c_rows = ranks.filter("query = 0").select("curve", "id", "query", block.alias("block"))
-    q_rows = ranks.filter("query = 1").select("curve", "id", "query", F.explode(F.sequence(lo, hi)).alias("block"))
-    found = (c_rows.unionByName(q_rows).join(cands, "id").groupBy("curve", "block")
-             .applyInArrow(_compare(dim, k), FOUND)
+    curves, w = _window(cands, queries, ranks, n, dim, k)
+    ranks = ranks.filter(F.col("curve") < curves)
+    c_rows = ranks.filter("query = 0").select("curve", "id", "query", "rank", F.floor(F.col("rank") / BLOCK).alias("block"))
+    q_rows = ranks.filter("query = 1").select("curve", "id", "query", "rank", F.floor(F.col("turn") / CHUNK).alias("chunk"))
+    # blocks that the windows of each chunk of queries meet
+    chunks = (q_rows.groupBy("curve", "chunk").agg(F.greatest(F.min("rank") - w, F.lit(0)).alias("lo"),
+                                                   F.least(F.max("rank") + w, F.lit(n - 1)).alias("hi"))
+              .withColumn("block", F.explode(F.sequence(F.floor(F.col("lo") / BLOCK), F.floor(F.col("hi") / BLOCK)))))
+    columns = ["curve", "block", "chunk", "id", "query", "v"]
+    of_c = (c_rows.join(cands, "id").join(chunks, ["curve", "block"])
+            .filter(F.col("rank").between(F.col("lo"), F.col("hi"))).select(columns))
+    of_q = q_rows.join(queries, "id").join(chunks.select("curve", "chunk", "block"), ["curve", "chunk"]).select(columns)
+    found = (of_c.unionByName(of_q).groupBy("curve", "block", "chunk").applyInArrow(_compare(dim, k), FOUND)
              .groupBy("query_id", "id").agg(F.max("score").alias("score")))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return found.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k + 1).drop("r")
