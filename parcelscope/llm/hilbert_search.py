@@ -13,8 +13,9 @@ queries, whose truth one exact pass over all rows gives. Equal vectors are
 searched for once.
 
 Queries are compared in chunks, as they follow each other on a curve, with
-blocks of the candidates within the chunk's windows: a task's group holds at
-most ``CHUNK`` queries and ``BLOCK`` candidates, whatever the window.
+blocks of the candidates within the chunk's windows. Chunks and blocks are packed
+into one row each before they meet; a task's group holds at most ``CHUNK`` queries
+and ``BLOCK * GROUP`` candidates, whatever the window.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite
 components take no part; vectors of different lengths are searched each among
@@ -40,8 +41,8 @@ CURVES = 24
 #: Numbers of curves to choose from.
 CURVE_CHOICES = (3, 4, 6, 8, 12, 16, 24)
 DIMS, BITS = 8, 4
-#: Candidates and queries compared at once: the bounds of a task's group.
-BLOCK, CHUNK = 8192, 256
+#: Candidates of a packed block, blocks and queries compared at once: the bounds of a task's group.
+BLOCK, GROUP, CHUNK = 2048, 4, 256
 #: Bounded samples: vectors that scale the grid, queries that set curves and window.
 SCALE_SAMPLE, QUERY_SAMPLE = 4_000, 128
 RECALL = 0.97
@@ -222,17 +223,34 @@ def _window(cands: DataFrame, queries: DataFrame, ranks: DataFrame, n: int, dim:
     return least_work(far, n, queries.count())
 
 
-def _compare(dim: int, k: int):
+def _packed(name: str, dim: int, dtype: str):
+    """One row of a block or chunk: its ids and vectors in the order of their ranks."""
     def run(key: tuple, rows: pa.Table) -> pa.Table:
-        rows = rows.combine_chunks()
-        is_query = rows.column("query").to_numpy() == 1
-        ids = rows.column("id").to_numpy()
-        v = matrix(rows.column("v").combine_chunks(), dim)
-        q, c = np.flatnonzero(is_query), np.flatnonzero(~is_query)
-        if not len(q) or not len(c):
-            return pa.table({"query_id": pa.array([], pa.int64()), "id": pa.array([], pa.int64()),
-                             "score": pa.array([], pa.float64())})
-        return pa.Table.from_batches([_best(ids[q], ids[c], v[q] @ v[c].T, k + 1)])
+        rank = rows.column("rank").to_numpy()
+        order = np.argsort(rank, kind="stable")
+        ids = rows.column("id").to_numpy()[order].astype("<i8")
+        v = matrix(rows.column("v").combine_chunks(), dim)[order].astype(dtype)
+        return pa.table({"curve": pa.array([key[0].as_py()], pa.int32()), name: pa.array([key[1].as_py()], pa.int64()),
+                         "first": pa.array([rank.min()], pa.int64()), "ids": pa.array([ids.tobytes()], pa.binary()),
+                         "v": pa.array([v.tobytes()], pa.binary())})
+    return run
+
+
+def _compare(dim: int, dtype: str, k: int):
+    """The best of a chunk's queries among a few blocks, cut to the chunk's windows."""
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        queries, ids, vectors = None, [], []
+        for r in rows.to_pylist():
+            own = np.frombuffer(r["ids"], "<i8")
+            v = np.frombuffer(r["v"], dtype).reshape(len(own), dim).astype(np.float64)
+            if r["query"]:
+                queries = own, v
+            else:
+                part = slice(max(0, r["lo"] - r["first"]), max(0, r["hi"] - r["first"] + 1))
+                ids.append(own[part])
+                vectors.append(v[part])
+        ids, vectors = np.concatenate(ids), np.concatenate(vectors)
+        return pa.Table.from_batches([_best(queries[0], ids, queries[1] @ vectors.T, k + 1)])
     return run
 
 
@@ -246,15 +264,22 @@ def _search(vectors: DataFrame, n: int, top: float, dim: int, k: int) -> DataFra
     ranks = ranks.filter(F.col("curve") < curves)
     c_rows = ranks.filter("query = 0").select("curve", "id", "query", "rank", F.floor(F.col("rank") / BLOCK).alias("block"))
     q_rows = ranks.filter("query = 1").select("curve", "id", "query", "rank", F.floor(F.col("turn") / CHUNK).alias("chunk"))
-    # blocks that the windows of each chunk of queries meet
-    chunks = (q_rows.groupBy("curve", "chunk").agg(F.greatest(F.min("rank") - w, F.lit(0)).alias("lo"),
-                                                   F.least(F.max("rank") + w, F.lit(n - 1)).alias("hi"))
-              .withColumn("block", F.explode(F.sequence(F.floor(F.col("lo") / BLOCK), F.floor(F.col("hi") / BLOCK)))))
-    columns = ["curve", "block", "chunk", "id", "query", "v"]
-    of_c = (c_rows.join(cands, "id").join(chunks, ["curve", "block"])
-            .filter(F.col("rank").between(F.col("lo"), F.col("hi"))).select(columns))
-    of_q = q_rows.join(queries, "id").join(chunks.select("curve", "chunk", "block"), ["curve", "chunk"]).select(columns)
-    found = (of_c.unionByName(of_q).groupBy("curve", "block", "chunk").applyInArrow(_compare(dim, k), FOUND)
+    dtype = "<f4" if vectors.schema["v"].dataType.elementType.simpleString() == "float" else "<f8"
+    whole = "curve int, {} long, first long, ids binary, v binary"
+    blocks = c_rows.join(cands, "id").groupBy("curve", "block").applyInArrow(_packed("block", dim, dtype), whole.format("block"))
+    packed = q_rows.join(queries, "id").groupBy("curve", "chunk").applyInArrow(_packed("chunk", dim, dtype), whole.format("chunk"))
+    # the candidates within the windows of each chunk, and the blocks that hold them
+    spans = (q_rows.groupBy("curve", "chunk").agg(F.greatest(F.min("rank") - w, F.lit(0)).alias("lo"),
+                                                  F.least(F.max("rank") + w, F.lit(n - 1)).alias("hi")))
+
+    def over(size: int) -> Column:
+        return F.explode(F.sequence(F.floor(F.col("lo") / size), F.floor(F.col("hi") / size)))
+    columns = ["curve", "chunk", "group", "query", "first", "lo", "hi", "ids", "v"]
+    of_c = (blocks.join(spans.withColumn("block", over(BLOCK)), ["curve", "block"])
+            .withColumn("group", F.floor(F.col("block") / GROUP)).withColumn("query", F.lit(0)).select(columns))
+    of_q = (packed.join(spans.withColumn("group", over(BLOCK * GROUP)), ["curve", "chunk"])
+            .withColumn("query", F.lit(1)).select(columns))
+    found = (of_c.unionByName(of_q).groupBy("curve", "chunk", "group").applyInArrow(_compare(dim, dtype, k), FOUND)
              .groupBy("query_id", "id").agg(F.max("score").alias("score")))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return found.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k + 1).drop("r")

@@ -176,3 +176,43 @@ def test_rows_with_ids(spark):
     rest = [r.doc_id for r in without_ids(docs, ids).collect()]
     assert None in rest and sorted(got + [x for x in rest if x is not None]) == sorted([*range(-500, 500), 7])
     assert with_ids(docs, ids.limit(0)).count() == 0 and with_ids(docs.limit(0), ids).count() == 0
+
+
+def test_least_work_takes_few_curves_where_they_tell_nothing_and_small_windows_where_they_do():
+    r = np.random.default_rng(4)
+    n = 100_000
+    noise = np.abs(r.integers(0, n, (2000, 24)) - r.integers(0, n, (2000, 24)))
+    m, w = hilbert_search.least_work(noise, n, n // 20)
+    assert m == hilbert_search.CURVE_CHOICES[0] and np.mean(noise[:, :m].min(axis=1) <= w) >= hilbert_search.RECALL
+    near = np.where(r.random((2000, 24)) < 0.6, r.integers(0, 200, (2000, 24)), noise)
+    m, w = hilbert_search.least_work(near, n, n // 20)
+    assert w <= 300 and np.mean(near[:, :m].min(axis=1) <= w) >= hilbert_search.RECALL
+
+
+def test_best_of_tied_scores_goes_to_smaller_ids():
+    scores = np.array([[1.0, 2.0, 2.0, 2.0, 0.0], [5.0, 5.0, 5.0, 5.0, 5.0]])
+    got = hilbert_search._best(np.array([7, 8]), np.array([9, 4, 3, 1, 2]), scores, 2).to_pydict()
+    assert got == {"query_id": [7, 7, 8, 8], "id": [1, 3, 1, 2], "score": [2.0, 2.0, 5.0, 5.0]}
+
+
+def test_neighbours_over_many_small_groups(spark, monkeypatch):
+    """Clustered vectors, all queries at one place: groups stay small and recall holds."""
+    for name, value in (("BLOCK", 64), ("GROUP", 2), ("CHUNK", 16), ("LEAST_WINDOW", 16)):
+        monkeypatch.setattr(hilbert_search, name, value)
+    r = np.random.default_rng(9)
+    centres = r.normal(size=(20, 12)) * 4
+    x = np.concatenate([centres[r.integers(0, 20, 900)] + r.normal(size=(900, 12)) * 0.3,
+                        centres[:1] + r.normal(size=(300, 12)) * 0.01])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    asked = lambda i: (i % 20 == 0) | (i >= 1100)
+    got = {}
+    for row in hilbert_search.nearest(df, asked(F.col("id")), k=10).collect():
+        got.setdefault(row.query_id, {})[row.vec_id] = row.score
+    hit = total = 0
+    for q in [i for i in range(len(x)) if asked(i)]:
+        s = x @ x[q]
+        s[q] = -np.inf
+        want = np.argsort(-s, kind="stable")[:10]
+        assert len(got[q]) == 10 and all(abs(v - s[i]) < 1e-9 for i, v in got[q].items())
+        hit, total = hit + len(set(want) & set(got[q])), total + 10
+    assert hit / total >= 0.9
