@@ -42,7 +42,7 @@ CURVES = 24
 CURVE_CHOICES = (3, 4, 6, 8, 12, 16, 24)
 DIMS, BITS = 8, 4
 #: Candidates of a packed block, blocks and queries compared at once: the bounds of a task's group.
-BLOCK, GROUP, CHUNK = 2048, 4, 256
+BLOCK, GROUP, CHUNK = 2048, 4, 512
 #: Bounded samples: vectors that scale the grid, queries that set curves and window.
 SCALE_SAMPLE, QUERY_SAMPLE = 4_000, 128
 RECALL = 0.97
