@@ -542,15 +542,18 @@ def nonzero_mask(spark, d):
 
 # -------------------------------------------------------------------- joins
 
-HEALTH_CUT = 9000.0
+def _band(balance: str):
+    """Thousands of an amount, rounded down."""
+    return F.floor(F.col(balance) / 1000.0).cast("long").alias("band")
 
 
 @query("left_join_default")
 def left_join_default(spark, d):
-    c = T_(spark, d, "customer", "c_custkey", "c_nationkey")
-    s = T_(spark, d, "supplier", "s_nationkey", "s_acctbal").filter(F.col("s_acctbal") > HEALTH_CUT)
-    health = s.groupBy(F.col("s_nationkey").alias("c_nationkey")).agg(F.avg("s_acctbal").alias("health"))
-    return rounded(joins.left_join_default(c, health, ["c_nationkey"], {"health": 0.0}))
+    """Customers with the mean balance of the suppliers of their nation and thousand."""
+    c = T_(spark, d, "customer", "c_custkey", "c_nationkey", "c_acctbal").select("c_custkey", "c_nationkey", _band("c_acctbal"))
+    s = T_(spark, d, "supplier", "s_nationkey", "s_acctbal")
+    health = s.groupBy(F.col("s_nationkey").alias("c_nationkey"), _band("s_acctbal")).agg(F.avg("s_acctbal").alias("health"))
+    return rounded(joins.left_join_default(c, health, ["c_nationkey", "band"], {"health": 0.0}))
 
 
 def _two_state_keys(df, nation_col):
@@ -560,22 +563,23 @@ def _two_state_keys(df, nation_col):
 
 @query("lookup_update")
 def lookup_update(spark, d):
-    c = T_(spark, d, "customer", "c_custkey", "c_nationkey")
+    """Customers per county and thousand of balance; where the county has orders of
+    that many thousands, the last one's price instead."""
+    c = T_(spark, d, "customer", "c_custkey", "c_nationkey", "c_acctbal")
     n = T_(spark, d, "nation", "n_nationkey", "n_regionkey")
     keys = _two_state_keys(n, "n_nationkey").withColumnRenamed("n_regionkey", "state")
     # customers are counted, and updates cut to each customer's, then each nation's last, before the joins
-    per = c.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
-    base = (per.join(keys, per.c_nationkey == keys.n_nationkey).groupBy("state", "county")
+    per = c.groupBy("c_nationkey", _band("c_acctbal")).agg(F.count(F.lit(1)).alias("n"))
+    base = (per.join(keys, per.c_nationkey == keys.n_nationkey).groupBy("state", "county", "band")
             .agg(F.sum("n").cast("double").alias("value")))
-    o = T_(spark, d, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus") \
-        .filter(F.col("o_orderstatus") == "P")
+    o = T_(spark, d, "orders", "o_orderkey", "o_custkey", "o_totalprice")
     last = F.max(F.struct("o_orderkey", "o_totalprice")).alias("u")
-    of_customer = o.groupBy("o_custkey").agg(last)
-    of_nation = (of_customer.join(c, of_customer.o_custkey == c.c_custkey)
-                 .groupBy("c_nationkey").agg(F.max("u").alias("u")))
+    of_customer = o.groupBy("o_custkey", _band("o_totalprice")).agg(last)
+    of_nation = (of_customer.join(c.select("c_custkey", "c_nationkey"), of_customer.o_custkey == c.c_custkey)
+                 .groupBy("c_nationkey", "band").agg(F.max("u").alias("u")))
     upd = of_nation.join(keys, of_nation.c_nationkey == keys.n_nationkey).select(
-        "state", "county", F.col("u.o_orderkey").alias("o_orderkey"), F.col("u.o_totalprice").alias("value"))
-    return rounded(joins.lookup_update(base, upd, ["state", "county"], ["value"], order_col="o_orderkey"))
+        "state", "county", "band", F.col("u.o_orderkey").alias("o_orderkey"), F.col("u.o_totalprice").alias("value"))
+    return rounded(joins.lookup_update(base, upd, ["state", "county", "band"], ["value"], order_col="o_orderkey"))
 
 
 @query("feature_table")
@@ -884,7 +888,7 @@ def city_label_counts(spark, d):
 @query("quality_of_life")
 def quality_of_life(spark, d):
     q = _quality_measures(spark, d)
-    s = T_(spark, d, "supplier", "s_nationkey", "s_acctbal").filter(F.col("s_acctbal") > HEALTH_CUT)
+    s = T_(spark, d, "supplier", "s_nationkey", "s_acctbal")
     g = sd.geo(spark, d)
     health = s.join(g, s.s_nationkey == g.n_nationkey).groupBy("state", "county") \
         .agg(F.avg("s_acctbal").alias("mental_health"))

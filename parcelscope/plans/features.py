@@ -24,8 +24,6 @@ FEATURES = [
     "percent_multi", "occupied_share", "vacant_share", "avg_order_price", "mean_acctbal",
     "median_acctbal", "automobile_pct", "building_pct", "supplier_health",
 ]
-# Health stand-in: suppliers above this balance.
-HEALTH_CUT = 5000.0
 
 
 def _with_names(spark: SparkSession, d: str, by_nk: DataFrame) -> DataFrame:
@@ -100,13 +98,13 @@ def median_balance(spark: SparkSession, d: str) -> DataFrame:
     return _with_names(spark, d, _median_by_nation(spark, d))
 
 
-def _health_by_nation(spark: SparkSession, d: str, cut: float = HEALTH_CUT) -> DataFrame:
-    s = sd.table(spark, d, "supplier", "s_nationkey", "s_acctbal").filter(F.col("s_acctbal") > cut)
+def _health_by_nation(spark: SparkSession, d: str) -> DataFrame:
+    s = sd.table(spark, d, "supplier", "s_nationkey", "s_acctbal")
     return s.groupBy(F.col("s_nationkey").alias(NK)).agg(money_avg("s_acctbal").alias("supplier_health"))
 
 
-def supplier_health(spark: SparkSession, d: str, cut: float = HEALTH_CUT) -> DataFrame:
-    return _with_names(spark, d, _health_by_nation(spark, d, cut))
+def supplier_health(spark: SparkSession, d: str) -> DataFrame:
+    return _with_names(spark, d, _health_by_nation(spark, d))
 
 
 def county_features(spark: SparkSession, d: str, zero_fill: bool = True) -> DataFrame:

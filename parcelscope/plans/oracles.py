@@ -75,8 +75,7 @@ cm AS (
   FROM cg GROUP BY ALL),
 sh AS (
   SELECT g.state, g.county, {money_avg("s.s_acctbal")} AS supplier_health
-  FROM supplier s JOIN geo g ON s.s_nationkey = g.n_nationkey
-  WHERE s.s_acctbal > 5000.0 GROUP BY ALL),
+  FROM supplier s JOIN geo g ON s.s_nationkey = g.n_nationkey GROUP BY ALL),
 ft AS (
   SELECT g.state, g.county,
     coalesce(mix.all_residential, 0) AS all_residential,
@@ -360,17 +359,17 @@ ORACLES: dict[str, str] = {
       SELECT event_type, {_r("avg(cnt)", "mean_nonzero")}, count(*) AS n_nonzero
       FROM l WHERE cnt <> 0 GROUP BY event_type""",
     "left_join_default": f"""
-      WITH h AS (SELECT s_nationkey, avg(s_acctbal) AS health FROM supplier WHERE s_acctbal > 9000.0 GROUP BY 1)
-      SELECT c.c_nationkey, c.c_custkey, {_r("coalesce(h.health, 0.0)", "health")}
-      FROM customer c LEFT JOIN h ON c.c_nationkey = h.s_nationkey""",
+      WITH h AS (SELECT s_nationkey, floor(s_acctbal / 1000.0)::BIGINT AS band, avg(s_acctbal) AS health FROM supplier GROUP BY ALL)
+      SELECT c.c_nationkey, c.c_custkey, floor(c.c_acctbal / 1000.0)::BIGINT AS band, {_r("coalesce(h.health, 0.0)", "health")}
+      FROM customer c LEFT JOIN h ON c.c_nationkey = h.s_nationkey AND floor(c.c_acctbal / 1000.0)::BIGINT = h.band""",
     "lookup_update": f"""
-      WITH cn AS (SELECT c.c_custkey, n.n_regionkey AS state, 'c' || cast(n.n_nationkey % 5 AS VARCHAR) AS county
+      WITH cn AS (SELECT c.c_custkey, c.c_acctbal, n.n_regionkey AS state, 'c' || cast(n.n_nationkey % 5 AS VARCHAR) AS county
                   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey),
-      base AS (SELECT state, county, count(*)::DOUBLE AS value FROM cn GROUP BY ALL),
-      upd AS (SELECT cn.state, cn.county, arg_max(o.o_totalprice, o.o_orderkey) AS value
-              FROM orders o JOIN cn ON o.o_custkey = cn.c_custkey WHERE o.o_orderstatus = 'P' GROUP BY ALL)
-      SELECT base.state, base.county, {_r("coalesce(upd.value, base.value)", "value")}
-      FROM base LEFT JOIN upd USING (state, county)""",
+      base AS (SELECT state, county, floor(c_acctbal / 1000.0)::BIGINT AS band, count(*)::DOUBLE AS value FROM cn GROUP BY ALL),
+      upd AS (SELECT cn.state, cn.county, floor(o.o_totalprice / 1000.0)::BIGINT AS band, arg_max(o.o_totalprice, o.o_orderkey) AS value
+              FROM orders o JOIN cn ON o.o_custkey = cn.c_custkey GROUP BY ALL)
+      SELECT base.state, base.county, base.band, {_r("coalesce(upd.value, base.value)", "value")}
+      FROM base LEFT JOIN upd USING (state, county, band)""",
     "feature_table": f"""
       WITH {FEATURE_CTE}
       SELECT state, county, all_residential, sf_residential, multi_residential,
@@ -545,7 +544,7 @@ ORACLES: dict[str, str] = {
     "quality_of_life": f"""
       WITH {QUALITY},
       h AS (SELECT g.state, g.county, avg(s.s_acctbal) AS mental_health FROM supplier s
-            JOIN geo g ON s.s_nationkey = g.n_nationkey WHERE s.s_acctbal > 9000.0 GROUP BY ALL)
+            JOIN geo g ON s.s_nationkey = g.n_nationkey GROUP BY ALL)
       SELECT q.state, q.county, q.n_customers, q.avg_acctbal, q.min_acctbal, q.max_acctbal, q.n_building,
              {_r("coalesce(h.mental_health, 0.0)", "mental_health")}
       FROM q LEFT JOIN h USING (state, county)""",
