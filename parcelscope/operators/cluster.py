@@ -96,12 +96,16 @@ def _points(df: DataFrame, features: list[str], keep: list[str], params) -> Data
 
 def fits(points: DataFrame, features: list[str], models: list[tuple[int, int]], init: str,
          max_iter: int = 300, tol: float = 1e-4) -> list[KMeansModel]:
-    """Spark ML's model for every (k, seed), side by side."""
+    """Spark ML's model for every (k, seed), side by side.
+
+    ``solver="row"`` is what Spark ML settles on by itself for vectors of no more
+    components than there are points, but only after reading them all to find out.
+    """
     vectors = points.select(array_to_vector(F.array(*features)).alias("features"))
 
     def fit(model: tuple[int, int]) -> KMeansModel:
         k, seed = model
-        return KMeans(k=k, seed=seed, maxIter=max_iter, tol=spark_tol(tol, k), initMode=init).fit(vectors)
+        return KMeans(k=k, seed=seed, maxIter=max_iter, tol=spark_tol(tol, k), initMode=init, solver="row").fit(vectors)
     with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
         return list(pool.map(inheritable_thread_target(points.sparkSession)(fit), models))
 

@@ -350,6 +350,22 @@ def test_kmeans_does_not_depend_on_the_layout(spark):
     assert labels[0] == labels[1]
 
 
+def test_a_fit_does_not_read_its_points_to_choose_a_solver(spark):
+    """Points and their norms fill the cache, the cluster sizes are the third read; no more whatever the iterations."""
+    rnd = np.random.default_rng(16)
+    pdf = pd.DataFrame(rnd.normal(size=(300, 2)), columns=["a", "b"])
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    df = spark.createDataFrame(pdf)
+    models = cluster.fits(df.mapInArrow(counted, df.schema), ["a", "b"], [(2, 5), (3, 6)], "random")
+    assert all(m.summary.numIter > 1 for m in models)
+    assert 0 < seen.value <= 2 * 3 * len(pdf)
+
+
 def test_totals_of_many_models_in_one_pass(spark):
     rnd = np.random.default_rng(12)
     pts = np.vstack([rnd.normal(size=(150, 2)), np.zeros((60, 2))])
